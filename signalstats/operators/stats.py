@@ -46,7 +46,9 @@ def aggregate(df: DataFrame, keys: Sequence[str], value: str = "value", k: int =
     return df.groupBy(*keys).agg(*aggregates(F.col(value), k))
 
 
-def _rounded(stats: dict[str, Column]) -> list[Column]:
+def rounded(quantiles: dict[str, Column]) -> list[Column]:
+    """The statistics columns, from the moments of the row and its quantiles."""
+    stats = {**_moments(), **quantiles}
     empty = F.col("samples") == 0
     columns = []
     for name in STATS:
@@ -82,7 +84,7 @@ def finalize(partial: DataFrame) -> DataFrame:
     return read.select(
         *others,
         F.col("samples").cast("int").alias("samples"),
-        *_rounded({**_moments(), **quantiles}),
+        *rounded(quantiles),
         *BINS,
     )
 
@@ -100,7 +102,7 @@ def exact_statistics(df: DataFrame, keys: Sequence[str], value: str = "value") -
     return moments.join(percentiles, "key", "left").select(
         "key.*",
         F.col("samples").cast("int").alias("samples"),
-        *_rounded({**_moments(), **quantiles}),
+        *rounded(quantiles),
         *BINS,
     )
 

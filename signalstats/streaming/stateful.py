@@ -1,0 +1,138 @@
+"""The aggregation with a state timeout per key.
+
+Differs from the built-in aggregation in what it emits: in update mode a key's
+last row comes once more when its window times out, and in append mode a key is
+emitted when the watermark passes its window's *end*. Use it where consumers rely
+on that; otherwise prefer ``pipeline.window_statistics``, which stays in the JVM.
+
+Raw rows are not shuffled to their key: each task summarises its own rows first,
+so a hot key arrives as one small row per task and trigger.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from signalstats.functions.windows import event_window_start
+from signalstats.model import DIMENSIONS, PERCENTILES
+from signalstats.operators.stats import BINS, rounded
+from signalstats.plans.batch import describe_windows
+from signalstats.streaming.pipeline import output_mode
+from signalstats.streaming.summary import Summary
+
+# Points held by one task before it hands its summaries on.
+_FLUSH_POINTS = 4_000_000
+
+_RAW = ("samples", "min", "max", "mean", "variance", *PERCENTILES, *BINS)
+
+
+def _summarise(keys: Sequence[str]):
+    """Task-local step: batches of rows to one ``(key, summary)`` row per key."""
+
+    def flush(held: dict) -> pd.DataFrame:
+        rows = [(*key, summary.to_bytes()) for key, summary in held.items()]
+        return pd.DataFrame(rows, columns=[*keys, "summary"])
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, Summary] = {}
+        points = 0
+        for batch in batches:
+            if batch.empty:
+                continue
+            group = batch.groupby(list(keys), dropna=False, sort=False).ngroup().to_numpy()
+            order = np.argsort(group, kind="stable")
+            values = batch["value"].to_numpy("f8")
+            columns = [batch[k].to_numpy(object) for k in keys]
+            for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+                key = tuple(column[rows[0]] for column in columns)
+                new = Summary(values[rows])
+                if key in held:
+                    points -= held[key].points()
+                    held[key].merge(new)
+                else:
+                    held[key] = new
+                points += held[key].points()
+            if points > _FLUSH_POINTS:
+                yield flush(held)
+                held, points = {}, 0
+        if held:
+            yield flush(held)
+
+    return run
+
+
+def _advance(keys: Sequence[str], minutes: int, emit_updates: bool):
+    """Per key and trigger: merge, store, arm the timeout, emit."""
+    start = keys.index("window_start")
+
+    def row(key: tuple, summary: Summary) -> pd.DataFrame:
+        return pd.DataFrame([{**dict(zip(keys, key)), **summary.row()}])
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            last = Summary.from_bytes(state.get[0])
+            state.remove()
+            if last.n:
+                yield row(key, last)
+            return
+        summary = Summary.from_bytes(state.get[0]) if state.exists else Summary()
+        for batch in batches:
+            for data in batch["summary"]:
+                summary.merge(Summary.from_bytes(data))
+        state.update((summary.to_bytes(),))
+        end = int(key[start]) + minutes * 60_000
+        # Rows may be one trigger late, when the watermark has already passed.
+        state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
+        if emit_updates:
+            yield row(key, summary)
+
+    return run
+
+
+def window_statistics_with_timeout(
+    rows: DataFrame,
+    minutes: int,
+    watermark_minutes: int,
+    dimensions: Sequence[str] = DIMENSIONS,
+    mode: str = "update",
+    id_algorithm: str = "md5",
+) -> DataFrame:
+    """Flat aggregate rows of a stream of metric rows, with a timeout per key."""
+    mode = output_mode(mode)
+    if mode == "complete":
+        raise ValueError("state with a timeout cannot run in complete mode")
+    keys = ["metric", "window_start", *dimensions]
+    named = [T.StructField(k, T.LongType() if k == "window_start" else T.StringType()) for k in keys]
+    raw = [T.StructField(c, T.LongType() if c == "samples" else T.DoubleType()) for c in _RAW]
+
+    start = event_window_start(F.col("event_time"), minutes)
+    keyed = rows.withColumn("window_start", start).select(
+        *[F.col(k).cast(field.dataType) for k, field in zip(keys, named)], "value"
+    )
+    summaries = keyed.mapInPandas(_summarise(keys), T.StructType([*named, T.StructField("summary", T.BinaryType())]))
+    emitted = (
+        summaries.withColumn("_window", F.timestamp_millis("window_start"))
+        .withWatermark("_window", f"{watermark_minutes} minutes")
+        .groupBy(*keys)
+        .applyInPandasWithState(
+            _advance(keys, minutes, mode == "update"),
+            T.StructType([*named, *raw]),
+            T.StructType([T.StructField("summary", T.BinaryType())]),
+            mode,
+            GroupStateTimeout.EventTimeTimeout,
+        )
+    )
+    stats = emitted.select(
+        *keys,
+        F.col("samples").cast("int").alias("samples"),
+        *rounded({name: F.col(name) for name in PERCENTILES}),
+        *BINS,
+    )
+    return describe_windows(stats, minutes, dimensions, id_algorithm)

@@ -1,0 +1,114 @@
+"""A mergeable summary of doubles as bytes, for the Python stateful operator.
+
+Spark's sketches are JVM expressions and cannot be merged inside a pandas state
+function. This holds exact counts and moments, and quantile points in levels:
+points of level ``i`` stand for ``2**i`` values each. A level that outgrows its
+capacity is sorted and every second point moves up, so up to ``CAPACITY`` values
+are kept exactly.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+from signalstats.model import HISTOGRAM_SPLITS, PERCENTILES
+
+CAPACITY = 1024
+_BINS = len(HISTOGRAM_SPLITS) + 1
+_HEAD = 5  # count, min, max, mean, sum of squared deviations
+
+
+class Summary:
+    def __init__(self, values: np.ndarray | None = None):
+        self.n, self.low, self.high, self.mean, self.m2 = 0, np.inf, -np.inf, 0.0, 0.0
+        self.bins = np.zeros(_BINS)
+        self.levels: list[np.ndarray] = []
+        if values is not None:
+            self._load(values[~np.isnan(values)])
+
+    def _load(self, values: np.ndarray) -> None:
+        if not len(values):
+            return
+        self.n = len(values)
+        self.low, self.high = float(values.min()), float(values.max())
+        self.mean = float(values.mean())
+        self.m2 = float(((values - self.mean) ** 2).sum())
+        self.bins += np.bincount(np.searchsorted(HISTOGRAM_SPLITS, values, side="right"), minlength=_BINS)
+        self.levels = [values.astype("f8")]
+        self._compact()
+
+    def merge(self, other: Summary) -> None:
+        if not other.n:
+            return
+        n = self.n + other.n
+        gap = other.mean - self.mean
+        self.mean += gap * other.n / n
+        self.m2 += other.m2 + gap * gap * self.n * other.n / n
+        self.n, self.low, self.high = n, min(self.low, other.low), max(self.high, other.high)
+        self.bins += other.bins
+        for level, points in enumerate(other.levels):
+            if level == len(self.levels):
+                self.levels.append(points)
+            else:
+                self.levels[level] = np.concatenate([self.levels[level], points])
+        self._compact()
+
+    def _compact(self) -> None:
+        # Seeded by the count: a task that runs again gives the same bytes.
+        coin = np.random.default_rng(self.n)
+        level = 0
+        while level < len(self.levels):
+            points = self.levels[level]
+            if len(points) > CAPACITY:
+                points = np.sort(points)
+                even = len(points) // 2 * 2
+                up = points[int(coin.integers(2)) : even : 2]
+                self.levels[level] = points[even:]
+                if level + 1 == len(self.levels):
+                    self.levels.append(up)
+                else:
+                    self.levels[level + 1] = np.concatenate([self.levels[level + 1], up])
+            level += 1
+
+    def percentiles(self) -> list[float]:
+        points = np.concatenate(self.levels)
+        weights = np.repeat([2.0**i for i in range(len(self.levels))], [len(p) for p in self.levels])
+        order = np.argsort(points, kind="stable")
+        reached = np.cumsum(weights[order])
+        wanted = [min(int(p * self.n), self.n - 1) for p in PERCENTILES.values()]
+        return points[order][np.searchsorted(reached, wanted, side="right").clip(max=len(points) - 1)].tolist()
+
+    def row(self) -> dict:
+        """Unrounded statistics; all but the counts unset when there are no values."""
+        quantiles = self.percentiles() if self.n else [None] * len(PERCENTILES)
+        return {
+            "samples": self.n,
+            "min": self.low if self.n else None,
+            "max": self.high if self.n else None,
+            "mean": self.mean if self.n else None,
+            "variance": self.m2 / (self.n - 1) if self.n > 1 else None,
+            **dict(zip(PERCENTILES, quantiles)),
+            **{f"bin{i}": float(count) for i, count in enumerate(self.bins, 1)},
+        }
+
+    def points(self) -> int:
+        return sum(len(level) for level in self.levels)
+
+    def to_bytes(self) -> bytes:
+        head = [self.n, self.low, self.high, self.mean, self.m2, *self.bins, *[len(level) for level in self.levels]]
+        return np.concatenate([[len(self.levels)], head, *self.levels]).astype("<f8").tobytes()
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Summary:
+        numbers = np.frombuffer(data, "<f8")
+        count, rest = int(numbers[0]), numbers[1:]
+        summary = cls()
+        summary.n = int(rest[0])
+        summary.low, summary.high, summary.mean, summary.m2 = rest[1:_HEAD].tolist()
+        summary.bins = rest[_HEAD : _HEAD + _BINS].copy()
+        sizes = rest[_HEAD + _BINS : _HEAD + _BINS + count].astype(int)
+        start = _HEAD + _BINS + count
+        for size in sizes:
+            summary.levels.append(rest[start : start + size])
+            start += size
+        return summary
