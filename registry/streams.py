@@ -1 +1,128 @@
+"""The ``events`` table read as a file stream and drained into a result table."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from registry import query
+from registry.aggregates import sql_window_stats
+from registry.inputs import SQL_METRICS, SQL_MS, SQL_PDD, as_call_events, as_metric_rows, as_payloads, sql_window_start
+from signalstats.model import DIMENSIONS, JobConfig
+from signalstats.operators.dedup import drop_repeated
+from signalstats.plans import batch, ops_metrics
+from signalstats.session import ship_package
+from signalstats.sources.scratch import new_folder
+from signalstats.sources.tables import EVENTS, read_events
+from signalstats.streaming import pipeline
+from signalstats.streaming.progress import ProgressLog
+from signalstats.streaming.stateful import window_statistics_with_timeout
+
+_DELAY = 120  # watermark delay in minutes
+_HOUR = 60
+
+
+def drained(spark, result, mode, name="drained"):
+    """Run a stream over everything there is, then give its result table."""
+    folder = new_folder(spark, name)
+    pipeline.to_table(result, f"{folder}/table", f"{folder}/checkpoint", mode, name=name).awaitTermination()
+    return spark.read.schema(result.schema).parquet(f"{folder}/table").select(*result.columns)
+
+
+def metric_stream(spark, sf_dir):
+    return as_metric_rows(read_events(spark, sf_dir, streaming=True))
+
+
+# The whole table arrives in one trigger, so the watermark that follows is the
+# latest window less the delay.
+_WATERMARK = f"(SELECT max({sql_window_start('event_time', _HOUR)}) - {_DELAY * 60000} FROM {SQL_METRICS})"
+_CLOSED = f"HAVING window_start <= {_WATERMARK}"
+_TIMED_OUT = f"HAVING window_start + {_HOUR * 60000} < {_WATERMARK}"
+
+
+@query(sql_window_stats(SQL_METRICS, _HOUR, [], _CLOSED))
+def stream_append(spark, sf_dir):
+    """Closed windows only."""
+    result = pipeline.window_statistics(metric_stream(spark, sf_dir), _HOUR, _DELAY, [])
+    return drained(spark, result, "append", "stream_append")
+
+
+@query(sql_window_stats(SQL_METRICS, _HOUR, ["route"]))
+def stream_update(spark, sf_dir):
+    """A row per key that a trigger touched."""
+    result = pipeline.window_statistics(metric_stream(spark, sf_dir), _HOUR, _DELAY, ["route"])
+    return drained(spark, result, "update", "stream_update")
+
+
+_EVENT_CLOSED = f"HAVING window_start + {_HOUR * 60000} <= (SELECT max(event_time) - {_DELAY * 60000} FROM {SQL_METRICS})"
+
+
+@query(sql_window_stats(SQL_METRICS, _HOUR, [], _EVENT_CLOSED))
+def stream_aligned_append(spark, sf_dir):
+    """Spark's own windows, with the watermark on event time."""
+    result = pipeline.aligned_statistics(metric_stream(spark, sf_dir), _HOUR, _DELAY, [])
+    return drained(spark, result, "append", "stream_aligned")
+
+
+@query(sql_window_stats(SQL_METRICS, _HOUR, []))
+def stream_complete_many_triggers(spark, sf_dir):
+    """The table cut into files and read one file per trigger; state adds up to the
+    batch result."""
+    folder = new_folder(spark, "stream_complete")
+    read_events(spark, sf_dir).repartition(4, "event_id").write.parquet(f"{folder}/input")
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{folder}/input")
+    result = pipeline.window_statistics(as_metric_rows(stream), _HOUR, _DELAY, [])
+    pipeline.to_table(result, f"{folder}/table", f"{folder}/checkpoint", "complete").awaitTermination()
+    table = spark.read.schema(f"{result._jdf.schema().toDDL()}, batch BIGINT").parquet(f"{folder}/table")
+    last = table.agg(F.max("batch").alias("batch"))
+    return table.join(F.broadcast(last), "batch").drop("batch")
+
+
+@query(
+    f"""{sql_window_stats(SQL_METRICS, _HOUR, [])}
+        UNION ALL {sql_window_stats(SQL_METRICS, _HOUR, [], _TIMED_OUT)}"""
+)
+def stream_timeout_update(spark, sf_dir):
+    """State with a timeout: every key when touched, and once more at its end."""
+    ship_package(spark)
+    result = window_statistics_with_timeout(metric_stream(spark, sf_dir), _HOUR, _DELAY, [], "update")
+    return drained(spark, result, "update", "stream_timeout_update")
+
+
+@query(sql_window_stats(SQL_METRICS, _HOUR, ["route"], _TIMED_OUT))
+def stream_timeout_append(spark, sf_dir):
+    """State with a timeout: keys at their end only."""
+    ship_package(spark)
+    result = window_statistics_with_timeout(metric_stream(spark, sf_dir), _HOUR, _DELAY, ["route"], "append")
+    return drained(spark, result, "append", "stream_timeout_append")
+
+
+@query(sql_window_stats(SQL_PDD, 5, list(DIMENSIONS)))
+def stream_call_statistics(spark, sf_dir):
+    """The whole job as a stream: payloads, decoding, filter, windows, state."""
+    process = pipeline.event_processor(JobConfig())
+    result = process(as_payloads(read_events(spark, sf_dir, streaming=True)))
+    return batch.flattened(drained(spark, result, "update", "stream_calls"))
+
+
+@query(f"SELECT 'E' || event_id AS event_id, {SQL_MS} AS event_time FROM events")
+def stream_dedup(spark, sf_dir):
+    """Events delivered twice in a stream, kept once."""
+    events = as_call_events(read_events(spark, sf_dir, streaming=True)).select("event_id", "event_time")
+    twice = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    timed = twice.withColumn("at", F.timestamp_millis("event_time")).withWatermark("at", "2 hours")
+    return drained(spark, drop_repeated(timed).select("event_id", "event_time"), "append", "stream_dedup")
+
+
+@query()
+def stream_progress_rates(spark, sf_dir):
+    """Row rates of a run over the table; timings differ from run to run."""
+    progress = ProgressLog()
+    spark.streams.addListener(progress)
+    try:
+        result = pipeline.window_statistics(metric_stream(spark, sf_dir), _HOUR, _DELAY, [])
+        drained(spark, result, "append", "stream_progress")
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(progress)
+    rows = progress.rows(spark).filter("query = 'stream_progress'")
+    return ops_metrics.stream_rate_statistics(rows)

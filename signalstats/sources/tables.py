@@ -24,8 +24,11 @@ _SCENARIO = T.StructType(
 
 def read_events(spark: SparkSession, directory: str, streaming: bool = False, **options: str) -> DataFrame:
     """The ``events`` parquet table of a directory, as a table or as a file stream."""
-    reader = (spark.readStream if streaming else spark.read).schema(EVENTS).options(**options)
-    return reader.parquet(f"{directory}/events.parquet")
+    if streaming:
+        # A file stream takes a plain path for a folder. Written as a pattern, it
+        # may be one file or a folder of files, as for the batch reader.
+        return spark.readStream.schema(EVENTS).options(**options).parquet(f"{directory}/{{events}}.parquet")
+    return spark.read.schema(EVENTS).options(**options).parquet(f"{directory}/events.parquet")
 
 
 def read_scenario(spark: SparkSession, path: str) -> DataFrame:

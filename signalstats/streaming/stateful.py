@@ -15,9 +15,11 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from signalstats.functions.windows import event_window_start
@@ -71,27 +73,40 @@ def _summarise(keys: Sequence[str]):
 def _advance(keys: Sequence[str], minutes: int, emit_updates: bool):
     """Per key and trigger: merge, store, arm the timeout, emit."""
     start = keys.index("window_start")
-
-    def row(key: tuple, summary: Summary) -> pd.DataFrame:
-        return pd.DataFrame([{**dict(zip(keys, key)), **summary.row()}])
+    columns = [*keys, "summary"]
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            last = Summary.from_bytes(state.get[0])
+            last = state.get[0]
             state.remove()
-            if last.n:
-                yield row(key, last)
+            if Summary.from_bytes(last).n:
+                yield pd.DataFrame([(*key, last)], columns=columns)
             return
         summary = Summary.from_bytes(state.get[0]) if state.exists else Summary()
         for batch in batches:
             for data in batch["summary"]:
                 summary.merge(Summary.from_bytes(data))
-        state.update((summary.to_bytes(),))
+        merged = summary.to_bytes()
+        state.update((merged,))
         end = int(key[start]) + minutes * 60_000
         # Rows may be one trigger late, when the watermark has already passed.
         state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
         if emit_updates:
-            yield row(key, summary)
+            yield pd.DataFrame([(*key, merged)], columns=columns)
+
+    return run
+
+
+def _read(keys: Sequence[str], schema: T.StructType):
+    """Summary bytes to unrounded statistics, a batch at a time."""
+    arrow_schema = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [Summary.from_bytes(s).row() for s in batch.column("summary").to_pylist()]
+            columns = [batch.column(k) for k in keys]
+            columns += [pa.array([r[c] for r in rows], arrow_schema.field(c).type) for c in _RAW]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
 
     return run
 
@@ -110,26 +125,29 @@ def window_statistics_with_timeout(
         raise ValueError("state with a timeout cannot run in complete mode")
     keys = ["metric", "window_start", *dimensions]
     named = [T.StructField(k, T.LongType() if k == "window_start" else T.StringType()) for k in keys]
-    raw = [T.StructField(c, T.LongType() if c == "samples" else T.DoubleType()) for c in _RAW]
+    summarised = T.StructType([*named, T.StructField("summary", T.BinaryType())])
 
     start = event_window_start(F.col("event_time"), minutes)
     keyed = rows.withColumn("window_start", start).select(
         *[F.col(k).cast(field.dataType) for k, field in zip(keys, named)], "value"
     )
-    summaries = keyed.mapInPandas(_summarise(keys), T.StructType([*named, T.StructField("summary", T.BinaryType())]))
+    summaries = keyed.mapInPandas(_summarise(keys), summarised)
     emitted = (
         summaries.withColumn("_window", F.timestamp_millis("window_start"))
         .withWatermark("_window", f"{watermark_minutes} minutes")
         .groupBy(*keys)
         .applyInPandasWithState(
             _advance(keys, minutes, mode == "update"),
-            T.StructType([*named, *raw]),
+            summarised,
             T.StructType([T.StructField("summary", T.BinaryType())]),
             mode,
             GroupStateTimeout.EventTimeTimeout,
         )
     )
-    stats = emitted.select(
+    raw = T.StructType(
+        [*named, *[T.StructField(c, T.LongType() if c == "samples" else T.DoubleType()) for c in _RAW]]
+    )
+    stats = emitted.mapInArrow(_read(keys, raw), raw).select(
         *keys,
         F.col("samples").cast("int").alias("samples"),
         *rounded({name: F.col(name) for name in PERCENTILES}),
