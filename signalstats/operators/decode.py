@@ -94,8 +94,14 @@ def observe_rejects(decoded: DataFrame, metric: str = "pdd", name: str = "reject
 
 
 def signal_events(events: DataFrame, metric: str = "pdd") -> DataFrame:
-    """Keep signalling events of one signal type."""
-    return events.filter((_event_type("") == "signaling_event") & (_signal_type("") == metric))
+    """Keep signalling events of one signal type.
+
+    Plain comparisons, which reach the scan: an unset type is never equal to a
+    wanted one, so the defaults of ``reject_reason`` make no difference here.
+    """
+    if metric == "unknown_event_type":
+        raise ValueError("the unset signal type is not a metric")
+    return events.filter((F.col("event_type") == "signaling_event") & (F.col("signaling_event.event_type") == metric))
 
 
 def metric_rows(events: DataFrame, metric: str = "pdd") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections import deque
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -13,11 +13,20 @@ from pyspark.sql.streaming import StreamingQueryListener
 PROGRESS = """
     id STRING, runId STRING, name STRING, timestamp STRING, batchId BIGINT, numInputRows BIGINT,
     inputRowsPerSecond DOUBLE, processedRowsPerSecond DOUBLE, durationMs MAP<STRING, BIGINT>,
-    sources ARRAY<STRUCT<description STRING, startOffset STRING, endOffset STRING, numInputRows BIGINT>>,
+    sources ARRAY<STRUCT<description STRING, startOffset STRING, endOffset STRING, numInputRows BIGINT,
+                         inputRowsPerSecond DOUBLE, processedRowsPerSecond DOUBLE>>,
     sink STRUCT<description STRING>
 """
 
 
+def _total(field: str, zero: Column) -> Column:
+    """A figure of the whole query; reports in event logs have it per source only."""
+    per_source = F.aggregate(
+        F.col(f"sources.{field}"), zero, lambda total, x: total + F.coalesce(x, zero)
+    )
+    return F.coalesce(F.col(field), per_source)
+
+
 def progress_rows(reports: DataFrame, column: str = "progress") -> DataFrame:
     """Progress reports (JSON text) to one row per query and trigger."""
     return (
@@ -29,9 +38,9 @@ def progress_rows(reports: DataFrame, column: str = "progress") -> DataFrame:
             F.col("runId").alias("run_id"),
             F.col("batchId").alias("batch_id"),
             F.to_timestamp("timestamp").alias("at"),
-            F.col("numInputRows").alias("input_rows"),
-            F.col("inputRowsPerSecond").alias("input_rate"),
-            F.col("processedRowsPerSecond").alias("processed_rate"),
+            _total("numInputRows", F.lit(0).cast("bigint")).alias("input_rows"),
+            _total("inputRowsPerSecond", F.lit(0.0)).alias("input_rate"),
+            _total("processedRowsPerSecond", F.lit(0.0)).alias("processed_rate"),
             F.col("durationMs").alias("durations"),
             "sources",
             F.col("sink.description").alias("sink"),

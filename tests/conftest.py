@@ -8,16 +8,12 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
 from signalstats.session import session_builder  # noqa: E402
 
-EVENT_LOG = tempfile.mkdtemp(prefix="signalstats-eventlog-")
-
 
 @pytest.fixture(scope="session")
 def spark():
     settings = {
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "4",
-        "spark.eventLog.enabled": "true",
-        "spark.eventLog.dir": f"file:{EVENT_LOG}",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="signalstats-test-"),
     }
     session = session_builder("signalstats-tests", **settings).master("local[4]").getOrCreate()
