@@ -42,8 +42,8 @@ SQL_METRICS = f"""(
 
 def as_call_events(events: DataFrame) -> DataFrame:
     """Call events with every kind of signal, unset fields and unknown types."""
-    kind = F.col("event_type")
-    k = F.get_json_object("props", "$.k").cast("int")
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    kind, k = F.col("event_type"), F.col("k")
     is_pdd = kind.isin("click", "view")
     signal = F.struct(
         kind.alias("name"),
@@ -78,7 +78,8 @@ def event_struct() -> Column:
 
 def as_payloads(events: DataFrame) -> DataFrame:
     """``value BINARY`` JSON payloads; those of ``signup`` events lose their last byte."""
-    text = encode_json(event_struct())
+    # One-element explodes keep the encoder from being copied into filters.
+    text = F.explode(F.array(encode_json(event_struct())))
     cut = F.when(F.col("signaling_event.name") == "signup", F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
     return as_call_events(events).select(text.alias("text"), "signaling_event").select(cut.cast("binary").alias("value"))
 

@@ -84,7 +84,7 @@ def stream_complete_many_triggers(spark, sf_dir):
 def stream_timeout_update(spark, sf_dir):
     """State with a timeout: every key when touched, and once more at its end."""
     ship_package(spark)
-    result = window_statistics_with_timeout(metric_stream(spark, sf_dir), _HOUR, _DELAY, [], "update")
+    result = window_statistics_with_timeout(metric_stream(spark, sf_dir), _HOUR, _DELAY, [], "update", shards=4)
     return drained(spark, result, "update", "stream_timeout_update")
 
 
@@ -92,7 +92,7 @@ def stream_timeout_update(spark, sf_dir):
 def stream_timeout_append(spark, sf_dir):
     """State with a timeout: keys at their end only."""
     ship_package(spark)
-    result = window_statistics_with_timeout(metric_stream(spark, sf_dir), _HOUR, _DELAY, ["route"], "append")
+    result = window_statistics_with_timeout(metric_stream(spark, sf_dir), _HOUR, _DELAY, ["route"], "append", shards=4)
     return drained(spark, result, "append", "stream_timeout_append")
 
 

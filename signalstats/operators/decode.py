@@ -22,10 +22,15 @@ MALFORMED = "failed.to.parse"
 
 
 def decode_json(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``event STRUCT`` decoded from JSON bytes or text; NULL when malformed."""
+    """Add ``event STRUCT`` decoded from JSON bytes or text; NULL when malformed.
+
+    The parsed struct goes through a one-element ``explode``: filters on its
+    fields stop above that, where the optimizer would otherwise copy the parser
+    into each of them and parse every payload several times.
+    """
     schema = T.StructType([*CALL_EVENT.fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value).cast("string"), schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    decoded = df.withColumn("_parsed", parsed)
+    decoded = df.withColumn("_parsed", F.explode(F.array(parsed)))
     event = F.struct(*[F.col(f"_parsed.{name}").alias(name) for name in CALL_EVENT.names])
     good = F.col("_parsed").isNotNull() & F.col(f"_parsed.{_CORRUPT}").isNull()
     return decoded.withColumn("event", F.when(good, event)).drop("_parsed")

@@ -49,14 +49,14 @@ def sketch_size(sketch: Column) -> Column:
     return F.kll_sketch_get_n_double(sketch)
 
 
-def _unless_empty(sketch: Column, result: Column) -> Column:
-    return F.when(sketch_size(sketch) > 0, result)
+def sketch_quantiles(sketch: Column, ps: Sequence[float], filled: Column | None = None) -> Column:
+    """``ARRAY<DOUBLE>`` of the values at the given ranks, NULL for an empty sketch.
 
-
-def sketch_quantiles(sketch: Column, ps: Sequence[float]) -> Column:
-    """``ARRAY<DOUBLE>`` of the values at the given ranks, NULL for an empty sketch."""
+    ``filled`` says whether the sketch holds values, where the row knows already.
+    """
     ranks = F.array(*[F.lit(_rank(p)) for p in ps])
-    return _unless_empty(sketch, F.kll_sketch_get_quantile_double(sketch, ranks))
+    known = sketch_size(sketch) > 0 if filled is None else filled
+    return F.when(known, F.kll_sketch_get_quantile_double(sketch, ranks))
 
 
 def sketch_min(sketch: Column) -> Column:

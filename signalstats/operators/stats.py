@@ -79,7 +79,8 @@ def finalize(partial: DataFrame) -> DataFrame:
     """Mergeable rows to flat statistics, rounded to two decimals."""
     others = [c for c in partial.columns if c not in PARTIAL]
     # One call reads all percentiles from the sketch.
-    read = partial.withColumn("_q", sketch_quantiles(F.col("sketch"), list(PERCENTILES.values())))
+    found = sketch_quantiles(F.col("sketch"), list(PERCENTILES.values()), F.col("samples") > 0)
+    read = partial.withColumn("_q", found)
     quantiles = {name: F.get("_q", F.lit(i)) for i, name in enumerate(PERCENTILES)}
     return read.select(
         *others,

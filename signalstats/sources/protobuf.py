@@ -77,40 +77,54 @@ def _message_class(message: str):
     return message_factory.GetMessageClass(pool.FindMessageTypeByName(f"{_PACKAGE}.{message}"))
 
 
-def _to_row(message) -> dict:
+@cache
+def _readers(message: str) -> dict:
+    """How to turn the value of each field into its column value."""
+
+    def reader(kind: str):
+        if kind in MESSAGES:
+            nested = _readers(kind)
+            return lambda value: _to_row(value, nested)
+        return ENUMS[kind].get if kind in ENUMS else None
+
+    return {name: reader(kind) for name, (_, kind) in MESSAGES[message].items()}
+
+
+def _to_row(message, readers: dict) -> dict:
     """Set fields only; the rest stay NULL."""
     row = {}
     for field, value in message.ListFields():
-        if field.message_type is not None:
-            value = _to_row(value)
-        elif field.enum_type is not None:
-            value = field.enum_type.values_by_number[value].name
-        row[field.name] = value
+        name = field.name
+        read = readers[name]
+        row[name] = value if read is None else read(value)
     return row
 
 
-def _fill(message, row: dict):
+@cache
+def _numbers(enum: str) -> dict[str, int]:
+    return {name: number for number, name in ENUMS[enum].items()}
+
+
+def _fill(target, row: dict, message: str):
     """Set the non-NULL fields of ``row``."""
-    for field in message.DESCRIPTOR.fields:
-        value = row.get(field.name)
+    for name, (_, kind) in MESSAGES[message].items():
+        value = row.get(name)
         if value is None:
             continue
-        if field.message_type is not None:
-            nested = getattr(message, field.name)
+        if kind in MESSAGES:
+            nested = getattr(target, name)
             nested.SetInParent()
-            _fill(nested, value)
-        elif field.enum_type is not None:
-            setattr(message, field.name, field.enum_type.values_by_name[value].number)
+            _fill(nested, value, kind)
         else:
-            setattr(message, field.name, value)
-    return message
+            setattr(target, name, _numbers(kind)[value] if kind in ENUMS else value)
+    return target
 
 
 def _parse(message: str, payload: bytes | None) -> dict | None:
     if payload is None:
         return None
     try:
-        return _to_row(_message_class(message).FromString(payload))
+        return _to_row(_message_class(message).FromString(payload), _readers(message))
     except DecodeError:
         return None
 
@@ -133,7 +147,9 @@ def from_bytes(payload: Column, message: str = "CallEvent", jvm: bool = False) -
     def parse(payloads: pa.Array) -> pa.Array:
         return pa.array([_parse(message, p) for p in payloads.to_pylist()], arrow_type)
 
-    return parse(payload)
+    # Keeps the optimizer from copying the call into filters on the result, which
+    # would send every payload through Python once more.
+    return parse.asNondeterministic()(payload)
 
 
 def to_bytes(row: Column, message: str = "CallEvent", jvm: bool = False) -> Column:
@@ -146,7 +162,7 @@ def to_bytes(row: Column, message: str = "CallEvent", jvm: bool = False) -> Colu
     @F.arrow_udf("binary")
     def serialise(rows: pa.Array) -> pa.Array:
         new = _message_class(message)
-        return pa.array([None if r is None else _fill(new(), r).SerializeToString() for r in rows.to_pylist()], pa.binary())
+        return pa.array([None if r is None else _fill(new(), r, message).SerializeToString() for r in rows.to_pylist()], pa.binary())
 
     return serialise(row)
 

@@ -1,12 +1,14 @@
-"""The aggregation with a state timeout per key.
+"""The aggregation with a state timeout.
 
 Differs from the built-in aggregation in what it emits: in update mode a key's
 last row comes once more when its window times out, and in append mode a key is
 emitted when the watermark passes its window's *end*. Use it where consumers rely
 on that; otherwise prefer ``pipeline.window_statistics``, which stays in the JVM.
 
-Raw rows are not shuffled to their key: each task summarises its own rows first,
-so a hot key arrives as one small row per task and trigger.
+Two things keep it usable at scale. Raw rows are not shuffled to their key: each
+task summarises its own rows first, so a hot key arrives as one small row per task
+and trigger. And one call into Python serves a whole shard of a window's series,
+because the price of a call is the same for one series and for a thousand.
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ def _summarise(keys: Sequence[str]):
             group = batch.groupby(list(keys), dropna=False, sort=False).ngroup().to_numpy()
             order = np.argsort(group, kind="stable")
             values = batch["value"].to_numpy("f8")
-            columns = [batch[k].to_numpy(object) for k in keys]
+            columns = [batch[k].astype(object).where(batch[k].notna(), None).to_numpy() for k in keys]
             for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
                 key = tuple(column[rows[0]] for column in columns)
                 new = Summary(values[rows])
@@ -70,29 +72,53 @@ def _summarise(keys: Sequence[str]):
     return run
 
 
-def _advance(keys: Sequence[str], minutes: int, emit_updates: bool):
-    """Per key and trigger: merge, store, arm the timeout, emit."""
-    start = keys.index("window_start")
-    columns = [*keys, "summary"]
+def _pack(held: dict[tuple, bytes], schema: pa.Schema) -> bytes:
+    """Series and their summaries as an Arrow stream."""
+    columns = [*zip(*held), list(held.values())]
+    arrays = [pa.array(column, field.type) for column, field in zip(columns, schema)]
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as stream:
+        stream.write_batch(pa.RecordBatch.from_arrays(arrays, schema=schema))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(data: bytes) -> dict[tuple, bytes]:
+    *series, summaries = pa.ipc.open_stream(data).read_all().to_pydict().values()
+    return dict(zip(zip(*series), summaries))
+
+
+def _advance(series: Sequence[str], minutes: int, emit_updates: bool):
+    """Per shard and trigger: merge, store, arm the timeout, emit."""
+    columns = [*series, "window_start", "summary"]
+    packed = pa.schema([*[(name, pa.string()) for name in series], ("summary", pa.binary())])
+
+    def rows(start: int, held: dict[tuple, bytes]) -> pd.DataFrame:
+        return pd.DataFrame([(*key, start, data) for key, data in held.items()], columns=columns)
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        start = int(key[0])
         if state.hasTimedOut:
-            last = state.get[0]
+            last = _unpack(state.get[0])
             state.remove()
-            if Summary.from_bytes(last).n:
-                yield pd.DataFrame([(*key, last)], columns=columns)
+            filled = {k: data for k, data in last.items() if Summary.count_of(data)}
+            if filled:
+                yield rows(start, filled)
             return
-        summary = Summary.from_bytes(state.get[0]) if state.exists else Summary()
+        held = _unpack(state.get[0]) if state.exists else {}
+        touched: dict[tuple, Summary] = {}
         for batch in batches:
-            for data in batch["summary"]:
-                summary.merge(Summary.from_bytes(data))
-        merged = summary.to_bytes()
-        state.update((merged,))
-        end = int(key[start]) + minutes * 60_000
+            named = [[None if pd.isna(v) else v for v in batch[name]] for name in series]
+            for which, data in zip(zip(*named), batch["summary"]):
+                if which not in touched:
+                    touched[which] = Summary.from_bytes(held[which]) if which in held else Summary()
+                touched[which].merge(Summary.from_bytes(data))
+        changed = {which: summary.to_bytes() for which, summary in touched.items()}
+        held.update(changed)
+        state.update((_pack(held, packed),))
         # Rows may be one trigger late, when the watermark has already passed.
-        state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
-        if emit_updates:
-            yield pd.DataFrame([(*key, merged)], columns=columns)
+        state.setTimeoutTimestamp(max(start + minutes * 60_000, state.getCurrentWatermarkMs() + 1))
+        if emit_updates and changed:
+            yield rows(start, changed)
 
     return run
 
@@ -118,35 +144,44 @@ def window_statistics_with_timeout(
     dimensions: Sequence[str] = DIMENSIONS,
     mode: str = "update",
     id_algorithm: str = "md5",
+    shards: int = 1024,
 ) -> DataFrame:
-    """Flat aggregate rows of a stream of metric rows, with a timeout per key."""
+    """Flat aggregate rows of a stream of metric rows, with a timeout per window.
+
+    The series of a window are spread over ``shards`` state rows by hash. A state
+    row is read and written as a whole, so take enough shards to keep it to some
+    thousand series; like the number of shuffle partitions, it is fixed for the
+    life of a checkpoint.
+    """
     mode = output_mode(mode)
     if mode == "complete":
         raise ValueError("state with a timeout cannot run in complete mode")
-    keys = ["metric", "window_start", *dimensions]
-    named = [T.StructField(k, T.LongType() if k == "window_start" else T.StringType()) for k in keys]
+    series = ["metric", *dimensions]
+    keys = [*series, "window_start"]
+    named = [*[T.StructField(name, T.StringType()) for name in series], T.StructField("window_start", T.LongType())]
     summarised = T.StructType([*named, T.StructField("summary", T.BinaryType())])
+    raw = T.StructType(
+        [*named, *[T.StructField(c, T.LongType() if c == "samples" else T.DoubleType()) for c in _RAW]]
+    )
 
     start = event_window_start(F.col("event_time"), minutes)
     keyed = rows.withColumn("window_start", start).select(
-        *[F.col(k).cast(field.dataType) for k, field in zip(keys, named)], "value"
+        *[F.col(field.name).cast(field.dataType).alias(field.name) for field in named], "value"
     )
-    summaries = keyed.mapInPandas(_summarise(keys), summarised)
     emitted = (
-        summaries.withColumn("_window", F.timestamp_millis("window_start"))
+        keyed.mapInPandas(_summarise(keys), summarised)
+        .withColumn("_shard", F.pmod(F.xxhash64(*series), F.lit(shards)))
+        .withColumn("_window", F.timestamp_millis("window_start"))
         .withWatermark("_window", f"{watermark_minutes} minutes")
-        .groupBy(*keys)
+        .groupBy("window_start", "_shard")
         .applyInPandasWithState(
-            _advance(keys, minutes, mode == "update"),
+            _advance(series, minutes, mode == "update"),
             summarised,
-            T.StructType([T.StructField("summary", T.BinaryType())]),
+            T.StructType([T.StructField("state", T.BinaryType())]),
             mode,
             GroupStateTimeout.EventTimeTimeout,
         )
     )
-    raw = T.StructType(
-        [*named, *[T.StructField(c, T.LongType() if c == "samples" else T.DoubleType()) for c in _RAW]]
-    )
     stats = emitted.mapInArrow(_read(keys, raw), raw).select(
         *keys,
         F.col("samples").cast("int").alias("samples"),

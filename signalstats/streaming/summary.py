@@ -98,6 +98,11 @@ class Summary:
         head = [self.n, self.low, self.high, self.mean, self.m2, *self.bins, *[len(level) for level in self.levels]]
         return np.concatenate([[len(self.levels)], head, *self.levels]).astype("<f8").tobytes()
 
+    @staticmethod
+    def count_of(data: bytes) -> int:
+        """The number of values, without reading the rest."""
+        return int(np.frombuffer(data, "<f8", count=2)[1])
+
     @classmethod
     def from_bytes(cls, data: bytes) -> Summary:
         numbers = np.frombuffer(data, "<f8")

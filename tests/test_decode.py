@@ -175,7 +175,7 @@ def test_job_on_protobuf_payloads(spark):
 def test_wire_format():
     """Fixed bytes: field numbers and types of the wire layout."""
     new = protobuf._message_class("CallEvent")
-    event = protobuf._fill(new(), pdd_event(1, 2, "a", 2.0))
+    event = protobuf._fill(new(), pdd_event(1, 2, "a", 2.0), "CallEvent")
     assert event.SerializeToString() == (
         b"\x08\x01\x10\x02\x1a\x01a\x22\x03RI1\x28\x01"
         b"\x32\x14\x0a\x09preflight\x10\x01\x1a\x05\x0d\x00\x00\x00\x40"
