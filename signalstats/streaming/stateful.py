@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,12 +30,30 @@ from signalstats.plans.batch import describe_windows
 from signalstats.streaming.pipeline import output_mode
 from signalstats.streaming.summary import Summary
 
-# Points held by one task before it hands its summaries on.
+# Rows summarised at a time, and points held by one task before it hands its
+# summaries on.
+_CHUNK_ROWS = 200_000
 _FLUSH_POINTS = 4_000_000
 
 _RAW = ("samples", "min", "max", "mean", "variance", *PERCENTILES, *BINS)
 
 
+def _chunks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Join small batches, so that a key's rows meet in one step more often."""
+    waiting: list[pd.DataFrame] = []
+    rows = 0
+    for batch in batches:
+        if batch.empty:
+            continue
+        waiting.append(batch)
+        rows += len(batch)
+        if rows >= _CHUNK_ROWS:
+            yield pd.concat(waiting, ignore_index=True)
+            waiting, rows = [], 0
+    if waiting:
+        yield pd.concat(waiting, ignore_index=True)
+
+
 def _summarise(keys: Sequence[str]):
     """Task-local step: batches of rows to one ``(key, summary)`` row per key."""
 
@@ -47,16 +64,13 @@ def _summarise(keys: Sequence[str]):
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, Summary] = {}
         points = 0
-        for batch in batches:
-            if batch.empty:
-                continue
-            group = batch.groupby(list(keys), dropna=False, sort=False).ngroup().to_numpy()
-            order = np.argsort(group, kind="stable")
-            values = batch["value"].to_numpy("f8")
-            columns = [batch[k].astype(object).where(batch[k].notna(), None).to_numpy() for k in keys]
-            for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
-                key = tuple(column[rows[0]] for column in columns)
-                new = Summary(values[rows])
+        for chunk in _chunks(batches):
+            group = chunk.groupby(list(keys), dropna=False, sort=False).ngroup()
+            first = chunk.loc[~group.duplicated(), list(keys)].astype(object)
+            named = first.where(first.notna(), None).itertuples(index=False, name=None)
+            summaries = Summary.of_groups(chunk["value"].to_numpy("f8"), group.to_numpy(), len(first))
+            for key, number in zip(named, group[~group.duplicated()]):
+                new = summaries[number]
                 if key in held:
                     points -= held[key].points()
                     held[key].merge(new)
@@ -87,6 +101,17 @@ def _unpack(data: bytes) -> dict[tuple, bytes]:
     return dict(zip(zip(*series), summaries))
 
 
+def merged(parts: Sequence[bytes]) -> bytes:
+    """Union of summaries."""
+    first, *others = parts
+    if not others:
+        return first
+    total = Summary.from_bytes(first)
+    for part in others:
+        total.merge(Summary.from_bytes(part))
+    return total.to_bytes()
+
+
 def _advance(series: Sequence[str], minutes: int, emit_updates: bool):
     """Per shard and trigger: merge, store, arm the timeout, emit."""
     columns = [*series, "window_start", "summary"]
@@ -105,14 +130,12 @@ def _advance(series: Sequence[str], minutes: int, emit_updates: bool):
                 yield rows(start, filled)
             return
         held = _unpack(state.get[0]) if state.exists else {}
-        touched: dict[tuple, Summary] = {}
+        arrived: dict[tuple, list[bytes]] = {}
         for batch in batches:
             named = [[None if pd.isna(v) else v for v in batch[name]] for name in series]
             for which, data in zip(zip(*named), batch["summary"]):
-                if which not in touched:
-                    touched[which] = Summary.from_bytes(held[which]) if which in held else Summary()
-                touched[which].merge(Summary.from_bytes(data))
-        changed = {which: summary.to_bytes() for which, summary in touched.items()}
+                arrived.setdefault(which, [held[which]] if which in held else []).append(data)
+        changed = {which: merged(parts) for which, parts in arrived.items()}
         held.update(changed)
         state.update((_pack(held, packed),))
         # Rows may be one trigger late, when the watermark has already passed.

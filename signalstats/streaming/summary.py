@@ -19,23 +19,44 @@ _HEAD = 5  # count, min, max, mean, sum of squared deviations
 
 
 class Summary:
+    __slots__ = ("n", "low", "high", "mean", "m2", "bins", "levels")
+
     def __init__(self, values: np.ndarray | None = None):
-        self.n, self.low, self.high, self.mean, self.m2 = 0, np.inf, -np.inf, 0.0, 0.0
-        self.bins = np.zeros(_BINS)
-        self.levels: list[np.ndarray] = []
-        if values is not None:
-            self._load(values[~np.isnan(values)])
-
-    def _load(self, values: np.ndarray) -> None:
-        if not len(values):
-            return
-        self.n = len(values)
-        self.low, self.high = float(values.min()), float(values.max())
-        self.mean = float(values.mean())
-        self.m2 = float(((values - self.mean) ** 2).sum())
-        self.bins += np.bincount(np.searchsorted(HISTOGRAM_SPLITS, values, side="right"), minlength=_BINS)
-        self.levels = [values.astype("f8")]
-        self._compact()
+        if values is None or np.isnan(values).all():
+            self.n, self.low, self.high, self.mean, self.m2 = 0, np.inf, -np.inf, 0.0, 0.0
+            self.bins, self.levels = np.zeros(_BINS), []
+        else:
+            known = Summary.of_groups(values, np.zeros(len(values), "i8"), 1)[0]
+            for name in Summary.__slots__:
+                setattr(self, name, getattr(known, name))
+
+    @classmethod
+    def of_groups(cls, values: np.ndarray, group: np.ndarray, groups: int) -> list[Summary]:
+        """Summaries of all groups of a batch (``group`` counts from 0), computed
+        column-wise: groups are many and mostly small. NaN values are left out."""
+        known = ~np.isnan(values)
+        order = np.argsort(group[known], kind="stable")
+        values, group = values[known][order].astype("f8"), group[known][order]
+        counts = np.bincount(group, minlength=groups)
+        bins = np.searchsorted(HISTOGRAM_SPLITS, values, side="right")
+        bins = np.bincount(group * _BINS + bins, minlength=groups * _BINS).reshape(groups, _BINS).astype("f8")
+        ends = np.cumsum(counts)
+        present = np.flatnonzero(counts)
+        starts = (ends - counts)[present]
+        made = [cls() for _ in range(groups)]
+        if not len(present):
+            return made
+        lows, highs = np.minimum.reduceat(values, starts), np.maximum.reduceat(values, starts)
+        means = np.add.reduceat(values, starts) / counts[present]
+        m2s = np.add.reduceat((values - np.repeat(means, counts[present])) ** 2, starts)
+        for i, g in enumerate(present.tolist()):
+            summary = made[g]
+            summary.n = int(counts[g])
+            summary.low, summary.high, summary.mean, summary.m2 = lows[i], highs[i], means[i], m2s[i]
+            summary.bins = bins[g]
+            summary.levels = [values[starts[i] : ends[g]]]
+            summary._compact()
+        return made
 
     def merge(self, other: Summary) -> None:
         if not other.n:
@@ -54,6 +75,8 @@ class Summary:
         self._compact()
 
     def _compact(self) -> None:
+        if all(len(points) <= CAPACITY for points in self.levels):
+            return
         # Seeded by the count: a task that runs again gives the same bytes.
         coin = np.random.default_rng(self.n)
         level = 0
@@ -71,11 +94,13 @@ class Summary:
             level += 1
 
     def percentiles(self) -> list[float]:
+        wanted = [min(int(p * self.n), self.n - 1) for p in PERCENTILES.values()]
+        if len(self.levels) == 1:
+            return np.sort(self.levels[0])[wanted].tolist()
         points = np.concatenate(self.levels)
         weights = np.repeat([2.0**i for i in range(len(self.levels))], [len(p) for p in self.levels])
         order = np.argsort(points, kind="stable")
         reached = np.cumsum(weights[order])
-        wanted = [min(int(p * self.n), self.n - 1) for p in PERCENTILES.values()]
         return points[order][np.searchsorted(reached, wanted, side="right").clip(max=len(points) - 1)].tolist()
 
     def row(self) -> dict:
