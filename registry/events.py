@@ -22,7 +22,8 @@ from signalstats.operators.dedup import drop_repeated
 from signalstats.plans import batch
 from signalstats.session import ship_package
 from signalstats.sources import kafka, protobuf
-from signalstats.sources.tables import read_events
+from signalstats.sources.scratch import new_folder
+from signalstats.sources.tables import read_events, read_scenario
 
 
 def _flat(events):
@@ -64,6 +65,16 @@ def event_json_roundtrip(spark, sf_dir):
     return _flat(text.select(F.from_json("text", CALL_EVENT).alias("e")).select("e.*"))
 
 
+@query(f"{_SQL_FLAT} FROM {SQL_CALLS} UNION ALL {_SQL_FLAT} FROM {SQL_CALLS}")
+def scenario_load(spark, sf_dir):
+    """Scenario documents, each with an event and its repetition."""
+    folder = new_folder(spark, "scenario")
+    events = call_events(spark, sf_dir)
+    document = F.to_json(F.struct(F.array(event_struct(), event_struct()).alias("input"), F.lit("twice").alias("expected")))
+    events.select(document.alias("value")).write.text(folder)
+    return _flat(read_scenario(spark, folder, multi_line=False))
+
+
 if protobuf.available():
 
     @query(f"{_SQL_FLAT} FROM {SQL_CALLS} WHERE signal_name <> 'signup'")

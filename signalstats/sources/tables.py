@@ -31,9 +31,14 @@ def read_events(spark: SparkSession, directory: str, streaming: bool = False, **
     return spark.read.schema(EVENTS).options(**options).parquet(f"{directory}/events.parquet")
 
 
-def read_scenario(spark: SparkSession, path: str) -> DataFrame:
-    """Events of a scenario document ``{"input": [event, ...], "expected": ...}``."""
-    return spark.read.schema(_SCENARIO).json(path, multiLine=True).select(F.explode("input").alias("e")).select("e.*")
+def read_scenario(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Events of scenario documents ``{"input": [event, ...], "expected": ...}``.
+
+    One document per file, or one per line without ``multi_line``; only the
+    latter lets Spark split large files.
+    """
+    documents = spark.read.schema(_SCENARIO).json(path, multiLine=multi_line)
+    return documents.select(F.explode("input").alias("e")).select("e.*")
 
 
 def read_json_values(spark: SparkSession, path: str, streaming: bool = False, **options: str) -> DataFrame:
