@@ -109,7 +109,10 @@ def _cells(v: Column) -> list[Column]:
     infinite = size == float("inf")
     top = F.when(v == 0, F.lit(0)).when(infinite, sign * 4000).otherwise(sign * (exponent + 1100))
     fraction = F.when((v == 0) | infinite, 0.0).otherwise(size / F.pow(F.lit(2.0), exponent) - 1) * _CELLS
-    return [top, sign * F.floor(fraction), sign * F.floor((fraction - F.floor(fraction)) * _CELLS)]
+    cells = [top, sign * F.floor(fraction), sign * F.floor((fraction - F.floor(fraction)) * _CELLS)]
+    # Never NULL, and said so: else every join on a cell would push its own
+    # not-null filter down to the scan and the counts could not be shared.
+    return [F.coalesce(cell, F.lit(0).cast("long")) for cell in cells]
 
 
 def exact_percentiles(
