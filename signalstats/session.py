@@ -33,6 +33,15 @@ def session_builder(app_name: str = "signal-statistics", **extra: str) -> SparkS
     return builder
 
 
+def tune(spark: SparkSession) -> None:
+    """Give a running session the settings for aggregation and state, unless it was
+    launched with its own. Time zone and launch-time settings stay as they are."""
+    launched = spark.sparkContext.getConf()
+    for key in (k for k in SETTINGS if "objectHashAggregate" in k or "stateStore" in k):
+        if not launched.contains(key):
+            spark.conf.set(key, SETTINGS[key])
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers.
 
