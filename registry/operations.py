@@ -105,7 +105,7 @@ _TASKS = f"(SELECT *, CAST(k AS VARCHAR) AS executor FROM {_EVENTS} WHERE kind I
         UNION ALL SELECT app, executor, 'spark.task.executor.cpu.time', CAST(size * 7 AS DOUBLE) FROM {_TASKS}
         UNION ALL SELECT app, executor, 'spark.task.jvm.gc.time', CAST(size AS DOUBLE) FROM {_TASKS}) GROUP BY ALL"""
 )
-def ops_task_times(spark, sf_dir):
+def log_task_times(spark, sf_dir):
     return ops_metrics.task_time_statistics(log_table(spark, sf_dir))
 
 
@@ -113,7 +113,7 @@ def ops_task_times(spark, sf_dir):
     f"""SELECT app, executor, count(*) FILTER (WHERE NOT failed) AS completed, count(*) FILTER (WHERE failed) AS failed
         FROM {_TASKS} GROUP BY ALL"""
 )
-def ops_task_outcomes(spark, sf_dir):
+def log_task_outcomes(spark, sf_dir):
     return ops_metrics.task_outcomes(log_table(spark, sf_dir))
 
 
@@ -121,7 +121,7 @@ def ops_task_outcomes(spark, sf_dir):
     f"""SELECT app, CASE WHEN failed AND value > 100 THEN 'ExecutorLostFailure' WHEN failed THEN 'ExceptionFailure'
                          ELSE 'Success' END AS reason, count(*) AS tasks FROM {_TASKS} GROUP BY ALL"""
 )
-def ops_task_end_reasons(spark, sf_dir):
+def log_task_end_reasons(spark, sf_dir):
     return ops_metrics.task_end_reasons(log_table(spark, sf_dir))
 
 
@@ -148,7 +148,7 @@ _STAGE_SUMS = _sums(
     f"""SELECT app, CAST(k // 20 AS INTEGER) AS stage, 0 AS stage_attempt, count(*) AS tasks, {_STAGE_SUMS},
                max(user_id) AS max_result_size, max(user_id * 1024) AS max_peak_memory FROM {_TASKS} GROUP BY ALL"""
 )
-def ops_stage_measures(spark, sf_dir):
+def log_stage_measures(spark, sf_dir):
     return ops_metrics.stage_measures(log_table(spark, sf_dir))
 
 
@@ -157,7 +157,7 @@ def ops_stage_measures(spark, sf_dir):
             SELECT app, ms AS time, 1 AS delta FROM {_EVENTS} WHERE kind = 'signup'
             UNION ALL SELECT app, ms + size * 1000, -1 FROM {_EVENTS} WHERE kind = 'signup' AND value < 40) GROUP BY app, time"""
 )
-def ops_executor_counts(spark, sf_dir):
+def log_executor_counts(spark, sf_dir):
     return ops_metrics.executor_counts(log_table(spark, sf_dir))
 
 
@@ -165,7 +165,7 @@ def ops_executor_counts(spark, sf_dir):
     f"""SELECT app, event_id AS execution, ms AS started, ms + size * 1000 AS ended, size * 1000 AS duration
         FROM {_EVENTS} WHERE kind = 'purchase' AND value < 100"""
 )
-def ops_sql_durations(spark, sf_dir):
+def log_sql_durations(spark, sf_dir):
     return ops_metrics.sql_durations(log_table(spark, sf_dir))
 
 
@@ -173,7 +173,7 @@ def ops_sql_durations(spark, sf_dir):
     f"""SELECT app, CASE WHEN value < 30 THEN 'SparkListenerApplicationStart' ELSE 'SparkListenerApplicationEnd' END AS event,
                min(ms) AS "first", max(ms) AS "last", count(*) AS events FROM {_EVENTS} WHERE kind = 'error' GROUP BY ALL"""
 )
-def ops_lifecycle(spark, sf_dir):
+def log_lifecycle(spark, sf_dir):
     return ops_metrics.lifecycle(log_table(spark, sf_dir))
 
 
@@ -184,7 +184,7 @@ def ops_lifecycle(spark, sf_dir):
         UNION ALL SELECT kind || '-' || k, 'spark.query.progress.input.rows.rate', floor(value / 2) FROM {_EVENTS}
     ) GROUP BY ALL"""
 )
-def ops_stream_rates(spark, sf_dir):
+def log_stream_rates(spark, sf_dir):
     """Rates of progress reports made from the events, one report per event."""
     report = F.to_json(
         F.struct(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -176,3 +177,29 @@ class JobConfig:
     spark_conf: dict[str, str] = field(default_factory=dict)
     source: TopicConfig | None = None
     sink: TopicConfig | None = None
+
+    @classmethod
+    def from_mapping(cls, settings: Mapping) -> JobConfig:
+        """From a parsed configuration file; keys that are not set keep their defaults.
+
+        Fixed values: the names of the keys.
+        """
+        names = {
+            "appName": "app_name",
+            "triggerInterval": "trigger_interval",
+            "outputMode": "output_mode",
+            "checkpointPath": "checkpoint_path",
+            "windowInterval": "window_minutes",
+            "watermarkInterval": "watermark_minutes",
+            "core": "spark_conf",
+        }
+        topics = {"callEventsTopic": "source", "aggregationsTopic": "sink"}
+        unknown = set(settings) - set(names) - set(topics)
+        if unknown:
+            raise ValueError(f"unknown settings: {sorted(unknown)}")
+        found = {names[key]: value for key, value in settings.items() if key in names}
+        for key, name in topics.items():
+            if key in settings:
+                topic = settings[key]
+                found[name] = TopicConfig(topic["topic"], topic.get("subscriptionType", "subscribe"), topic.get("conf", {}))
+        return cls(**found)
