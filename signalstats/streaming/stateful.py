@@ -30,9 +30,10 @@ from signalstats.plans.batch import describe_windows
 from signalstats.streaming.pipeline import output_mode
 from signalstats.streaming.summary import Summary
 
-# Rows summarised at a time, and points held by one task before it hands its
+# Rows summarised at a time, and what one task holds before it hands its
 # summaries on.
 _CHUNK_ROWS = 200_000
+_FLUSH_KEYS = 200_000
 _FLUSH_POINTS = 4_000_000
 
 _RAW = ("samples", "min", "max", "mean", "variance", *PERCENTILES, *BINS)
@@ -77,7 +78,7 @@ def _summarise(keys: Sequence[str]):
                 else:
                     held[key] = new
                 points += held[key].points()
-            if points > _FLUSH_POINTS:
+            if points > _FLUSH_POINTS or len(held) > _FLUSH_KEYS:
                 yield flush(held)
                 held, points = {}, 0
         if held:
