@@ -104,10 +104,25 @@ class Words:
 
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word."""
-        ahead, back = _powers(len(self.raw) + 1)
-        sums = np.zeros(len(self.raw) + 1, np.uint64)
-        np.cumsum(_bytes_to_random(seed)[self.raw] * ahead[: len(self.raw)], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * back[self.starts])
+        return range_hashes(self.raw, self.starts, self.ends, seed)
+
+
+def prefix_sums(raw: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Sums from which the hash of any byte range follows, see :func:`range_hash`."""
+    ahead = _powers(len(raw) + 1)[0]
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_bytes_to_random(seed)[raw] * ahead[: len(raw)], out=sums[1:])
+    return sums
+
+
+def range_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges, equal for equal bytes."""
+    back = _powers(len(sums))[1]
+    return mix((sums[ends] - sums[starts]) * back[starts])
+
+
+def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    return range_hash(prefix_sums(raw, seed), starts, ends)
 
 
 _random: dict[int, np.ndarray] = {}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstats.llm import chat, lines
+from signalstats.llm import chat, decontaminate, lines, quality
 from signalstats.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,99 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines before and after dedup, per document."""
     result = lines.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return result.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query(
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text
+        FROM documents
+    ), w AS (
+        SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d
+    ), g AS (
+        SELECT r, p, ws[p:p + 7] AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS p FROM w)
+    ), rep AS (
+        SELECT r, count(DISTINCT q) AS n_repeat_words FROM (
+            SELECT r, unnest(range(p, p + 8)) AS q
+            FROM (SELECT r, p, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1)
+        GROUP BY r
+    ), l AS (
+        SELECT r, host, text, unnest(string_split(text, chr(10))) AS line FROM d
+    ), k AS (
+        SELECT r, host, text, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+               translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+    ), dup AS (
+        SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM k GROUP BY r
+    ), h AS (
+        SELECT host, count(DISTINCT text) AS docs FROM d GROUP BY host
+    ), f AS (
+        SELECT k.host, k.key FROM k JOIN h USING (host) GROUP BY k.host, k.key, h.docs
+        HAVING count(DISTINCT k.text) > 10 AND count(DISTINCT k.text) * 1000 > h.docs
+    ), gone AS (
+        SELECT r, sum(words) AS n FROM k JOIN f USING (host, key) GROUP BY r
+    ), m AS (
+        SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words,
+               CAST(list_sum([0] || list_transform(w.ws, lambda x: length(x))) AS BIGINT) AS word_chars,
+               CAST(length(w.text) - length(translate(w.text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+               coalesce(dup.n_dup_lines, 0) AS n_dup_lines, coalesce(rep.n_repeat_words, 0) AS n_repeat_words,
+               CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words
+        FROM w LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN gone USING (r)
+    ), b AS (
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
+    )
+    SELECT *, NOT base_failed AND 100 * (n_words - n_removed_words) >= 50 * n_words AS kept FROM b
+    """
+)
+def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and the verdict of the line frequency of every document."""
+    return quality.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+@_query(
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+        FROM documents
+    ), b AS (
+        SELECT coalesce(CAST(item_id AS VARCHAR), '') AS id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+        FROM benchmark
+    ), p AS (
+        SELECT DISTINCT id, m, array_to_string(ws[q:q + m - 1], ' ') AS g FROM (
+            SELECT id, ws, least(13, len(ws)) AS m, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS q
+            FROM b WHERE len(ws) > 0)
+    ), w AS (
+        SELECT r, m, q, array_to_string(ws[q:q + m - 1], ' ') AS g FROM (
+            SELECT r, ws, m, unnest(range(1, len(ws) - m + 2)) AS q
+            FROM d, (SELECT DISTINCT m FROM p) WHERE len(ws) >= m)
+    ), o AS (
+        SELECT w.r, w.q, w.m, p.id FROM w JOIN p ON w.m = p.m AND w.g = p.g
+    ), h AS (
+        SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(q, q + m)) AS x FROM o) GROUP BY r
+    ), i AS (
+        SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT r, id FROM o) GROUP BY r
+    )
+    SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+           coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+           coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.ws) AS contaminated
+    FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)
+    """
+)
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that benchmark items hit, and the items."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_benchmark(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
