@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstats.llm import chat, decontaminate, lines, quality
+from signalstats.llm import chat, decontaminate, lines, quality, substring
 from signalstats.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,3 +212,32 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@_query(
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), g AS (
+        SELECT r, p, sha256(array_to_string(ws[p:p + 34], ' ')) AS g
+        FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS p FROM d)
+    ), lost AS (
+        SELECT DISTINCT r, q FROM (
+            SELECT r, unnest(range(p, p + 35)) AS q
+            FROM g JOIN (SELECT g FROM g GROUP BY g HAVING count(*) > 1) USING (g))
+    ), w AS (
+        SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS q FROM d
+    ), k AS (
+        SELECT r, count(lost.q) AS n_removed, string_agg(word, ' ' ORDER BY w.q) FILTER (lost.q IS NULL) AS kept
+        FROM w LEFT JOIN lost USING (r, q) GROUP BY r
+    )
+    SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+           sha256(coalesce(k.kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k USING (r)
+    """
+)
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document without its windows that occur elsewhere."""
+    result = substring.substring_dedup(_table(spark, sf_dir, "documents"))
+    return result.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
