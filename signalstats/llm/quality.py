@@ -130,7 +130,8 @@ def quality_rules(
         "row", "host", "text_hash", "l.*"
     )
     hosts = figures.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("docs"))
-    frequent = (
+    # Written, so that the join below reads two plain shuffles, which can be split.
+    frequent = stored(
         lines.select("host", "h", "text_hash")
         .distinct()
         .groupBy("host", "h")
@@ -138,7 +139,8 @@ def quality_rules(
         .where(F.col("n") > max_docs)
         .join(hosts, "host")
         .where(F.col("n") * 1000 > F.col("docs") * max_permille)
-        .select("host", "h")
+        .select("host", "h"),
+        "frequent-host-lines",
     )
     removed = lines.join(frequent, ["host", "h"]).groupBy("row").agg(F.sum("words").alias("n_removed_words"))
     base_failed = (F.col("n_words") < min_words) | (
