@@ -191,7 +191,8 @@ def windows(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sum of the values of each text."""
-    sums = np.concatenate([[0], np.cumsum(values)])
+    sums = np.cumsum(values)
+    sums = np.concatenate([np.zeros(1, sums.dtype), sums])
     return sums[first[1:]] - sums[first[:-1]]
 
 

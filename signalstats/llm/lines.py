@@ -51,12 +51,14 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
         .select("doc_id", "k.a", "k.b"),
         "line-keys",
     )
-    frequent = (
+    # Written, so that the join below reads two plain shuffles, which can be split.
+    frequent = stored(
         keyed.distinct()
         .groupBy("a", "b")
         .agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("a", "b", "keeper")
+        .select("a", "b", "keeper"),
+        "frequent-lines",
     )
     lost = (
         keyed.join(frequent, ["a", "b"])

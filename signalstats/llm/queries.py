@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstats.llm import chat, decontaminate, lines, quality, substring
+from signalstats.llm import chat, decontaminate, lines, ngram_join, quality, substring
 from signalstats.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,3 +241,35 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document without its windows that occur elsewhere."""
     result = substring.substring_dedup(_table(spark, sf_dir, "documents"))
     return result.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query(
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+        FROM documents
+    ), s AS (
+        SELECT DISTINCT r, array_to_string(ws[p:p + 4], ' ') AS g
+        FROM (SELECT r, ws, unnest(range(1, greatest(1, len(ws) - 4) + 1)) AS p FROM d WHERE len(ws) > 0)
+    ), n AS (
+        SELECT r, count(*) AS n FROM s GROUP BY r
+    ), links AS (
+        SELECT x.r AS a, y.r AS b FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r
+        JOIN n nx ON nx.r = x.r JOIN n ny ON ny.r = y.r
+        GROUP BY x.r, y.r, nx.n, ny.n HAVING 100 * count(*) >= 80 * (nx.n + ny.n - count(*))
+    ), reach AS (
+        SELECT r AS a, r AS b FROM d
+        UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ), c AS (
+        SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a
+    )
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+    FROM d JOIN c USING (r) LEFT JOIN n USING (r)
+    """
+)
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near duplicates that every document belongs to."""
+    found = ngram_join.ngram_components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
