@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstats.llm import chat, decontaminate, lines, ngram_join, quality, substring
+from signalstats.llm import chat, decontaminate, lines, ngram_join, quality, substring, toxicity
 from signalstats.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -273,3 +273,16 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near duplicates that every document belongs to."""
     found = ngram_join.ngram_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@_query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    return model.score(docs).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
