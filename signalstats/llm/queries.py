@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstats.llm import chat, decontaminate, lines, mixing, ngram_join, quality, substring, toxicity
+from signalstats.llm import chat, decontaminate, html, lines, mixing, ngram_join, quality, substring, toxicity
 from signalstats.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -293,3 +293,9 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in the mix of all sources."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_sources(docs).select("doc_id", "source", "block", "slot", "position")
+
+
+@_query()
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract_text(_table(spark, sf_dir, "pages"))
