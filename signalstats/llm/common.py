@@ -177,6 +177,18 @@ def ngrams(words: np.ndarray, length: int) -> np.ndarray:
         size *= 2
 
 
+def leftmost_smallest(hashes: np.ndarray, width: int) -> np.ndarray:
+    """For each position the leftmost smallest of the ``width`` hashes from there on."""
+    at, size = np.arange(len(hashes)), 1
+    while size * 2 <= width:
+        at = np.where(hashes[at[:-size]] <= hashes[at[size:]], at[:-size], at[size:])
+        size *= 2
+    shift = width - size
+    if not shift:
+        return at
+    return np.where(hashes[at[:-shift]] <= hashes[at[shift:]], at[:-shift], at[shift:])
+
+
 def spans(counts: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each of ``counts[i]`` consecutive numbers from ``begins[i]`` on: ``i`` and the number."""
     owner = np.repeat(np.arange(len(counts)), counts)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstats.llm import chat, decontaminate, html, lines, mixing, ngram_join, quality, substring, toxicity
+from signalstats.llm import chat, decontaminate, html, license, lines, mixing, ngram_join, quality, substring, toxicity
 from signalstats.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,3 +299,9 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract_text(_table(spark, sf_dir, "pages"))
+
+
+@_query()
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return license.scan_licenses(_table(spark, sf_dir, "documents"))

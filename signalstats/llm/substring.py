@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalstats.llm.common import Words, joined, mix, ngrams, pieces, signed, spans, windows
+from signalstats.llm.common import Words, joined, leftmost_smallest, mix, ngrams, pieces, signed, spans, windows
 from signalstats.llm.quality import covered
 
 #: Rows that a task compares among themselves before it sends what is left to others.
@@ -24,18 +24,6 @@ _OPEN, _MET, _SETTLED = 0, 1, 2
 _RUN = 60
 
 
-def _anchors(hashes: np.ndarray, width: int) -> np.ndarray:
-    """For each position the leftmost smallest of the ``width`` hashes from there on."""
-    at, size = np.arange(len(hashes)), 1
-    while size * 2 <= width:
-        at = np.where(hashes[at[:-size]] <= hashes[at[size:]], at[:-size], at[size:])
-        size *= 2
-    shift = width - size
-    if not shift:
-        return at
-    return np.where(hashes[at[:-shift]] <= hashes[at[shift:]], at[:-shift], at[shift:])
-
-
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which keys are the first of their value, and which values occur more than once."""
     order = np.argsort(keys, kind="stable")
@@ -61,7 +49,7 @@ def _first_level(length: int, base: int):
             if not len(at):
                 continue
             hashes = ngrams(words.hashes(), base)
-            anchor = _anchors(hashes, length - base + 1)[at]
+            anchor = leftmost_smallest(hashes, length - base + 1)[at]
             new = np.flatnonzero(np.diff(anchor, prepend=-1))
             run = np.diff(np.append(new, len(at)))
             own = text[new]
@@ -112,7 +100,7 @@ def _second_level(length: int, base: int):
             at, text = at[order], owner[which][order]
             hashed = words.hashes()
             hashes = ngrams(hashed, base)
-            key = hashes[_anchors(hashes, length - base + 1)[at]]
+            key = hashes[leftmost_smallest(hashes, length - base + 1)[at]]
             ids, marks = (piece.column(c).to_numpy(zero_copy_only=False) for c in ("id", "mark"))
             held.append(
                 (key, ngrams(hashed, length)[at], ids[text], marks[text] << _POSITION_BITS | (at - words.first[text]))
