@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalstats.llm import graph
@@ -15,8 +15,10 @@ from signalstats.llm.common import Words, mix, ngrams, per_text, pieces, signed,
 _CHUNK = 500_000
 _OPEN, _MET, _SETTLED = 0, 1, 2
 _NO_ID = -(2**63)
-#: Shingles are counted by the first 16 bits of their hash; the global order follows these counts.
-_BUCKET_BITS = 16
+#: Of all shingles those whose hash is below this share tell which sets cannot link.
+_SAMPLED = np.uint64(int(0.3 * 2**64))
+#: Shingles are counted by the first 20 bits of their hash; the global order follows these counts.
+_BUCKET_BITS = 20
 _LOW_BITS = np.uint64(64 - _BUCKET_BITS)
 #: Candidates of one probe that share a trie.
 _TRIE = 256
@@ -63,51 +65,63 @@ def _identities(shingles: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 
 
 def _set_rows(length: int):
-    """A row per text, and in a last row of each task how many shingles it has per bucket."""
+    """A row per text: size and identity of its set, and how many sampled shingles it has."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << _BUCKET_BITS, np.int64)
-        names = ["id", "mark", "n", "set_a", "set_b", "counts"]
-        nothing = pa.list_(pa.int64())
         for piece in pieces(batches, "text"):
             shingles, first = shingle_sets(piece.column("text"), length)
-            counts += np.bincount((shingles >> _LOW_BITS).astype(np.int64), minlength=len(counts))
-            columns = [piece.column("id"), piece.column("mark"), np.diff(first), *_identities(shingles, first)]
+            columns = [
+                piece.column("id"),
+                piece.column("mark"),
+                np.diff(first),
+                per_text(mix(shingles) < _SAMPLED, first),
+                *_identities(shingles, first),
+            ]
             yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, columns), pa.nulls(piece.num_rows, nothing)], names
+                [*map(pa.array, columns)], ["id", "mark", "n", "sampled", "set_a", "set_b"]
             )
-        one = pa.array([0], pa.int64())
-        yield pa.RecordBatch.from_arrays([one, one, pa.array([-1], pa.int64()), one, one, pa.array([counts], nothing)], names)
 
     return rows
 
 
-def _postings(length: int, percent: int, ranks):
-    """Rows ``(key, token, set_a, kind)``: the first shingles, in the global order, of
-    each set. Two sets that are similar enough share at least one of them."""
+def _sampled_rows(length: int):
+    """Rows ``(key, set_a, n)`` of the sampled shingles: those that the task has met in
+    one set only (``n`` 0), a mark for each of the others (-1), and per set the number
+    of the others."""
+
+    def compared(held: list[tuple]) -> pa.RecordBatch:
+        token, own, new_token, many = _once(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        sets, counts = np.unique(own[many], return_counts=True)
+        marks = token[new_token & many]
+        return pa.RecordBatch.from_arrays(
+            [
+                signed(np.concatenate([token[~many], marks, mix(sets.view(np.uint64))])),
+                np.concatenate([own[~many], np.zeros(len(marks), np.int64), sets]),
+                np.concatenate([np.zeros(len(token) - many.sum()), np.full(len(marks), -1), counts]).astype(np.int32),
+            ],
+            ["key", "set_a", "n"],
+        )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for piece in pieces(batches, "text"):
             shingles, first = shingle_sets(piece.column("text"), length)
-            n = np.diff(first)
-            prefix = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
-            owner, chosen = spans(prefix, first[:-1])
-            own = _identities(shingles, first)[0]
-            held.append((globally_ordered(shingles, first, ranks.value)[chosen], own[owner]))
-            size += len(chosen)
+            own = np.repeat(_identities(shingles, first)[0], np.diff(first))
+            chosen = mix(shingles) < _SAMPLED
+            held.append((shingles[chosen], own[chosen]))
+            size += int(chosen.sum())
             if size >= _CHUNK:
-                yield _compared(held)
+                yield compared(held)
                 held, size = [], 0
         if held:
-            yield _compared(held)
+            yield compared(held)
 
     return rows
 
 
-def _compared(held: list[tuple]) -> pa.RecordBatch:
-    """The task's own rows compared: copies dropped, and one mark for a token of several sets."""
-    token, own = (np.concatenate(x) for x in zip(*held, strict=True))
+def _once(token: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of token and set; whether each is the first of its token, and
+    whether the token has several sets."""
     order = np.lexsort((own, token))
     token, own = token[order], own[order]
     new_token = np.append(True, token[1:] != token[:-1])[: len(token)]
@@ -115,18 +129,64 @@ def _compared(held: list[tuple]) -> pa.RecordBatch:
     token, own, new_token = token[new], own[new], new_token[new]
     group = np.cumsum(new_token) - 1
     many = np.bincount(group)[group] > 1 if len(token) else np.zeros(0, bool)
-    met = new_token & many
-    n = int(met.sum())
-    spread = mix(token ^ mix(own.view(np.uint64)))
-    return pa.RecordBatch.from_arrays(
-        [
-            signed(np.concatenate([np.where(many, spread, token), token[met]])),
-            signed(np.concatenate([token, token[met]])),
-            np.concatenate([own, own[met]]),
-            np.concatenate([np.where(many, _SETTLED, _OPEN), np.full(n, _MET)]).astype(np.int32),
-        ],
-        ["key", "token", "set_a", "kind"],
-    )
+    return token, own, new_token, many
+
+
+def _bucket_counts(length: int):
+    """How many shingles of the task's texts fall into each bucket."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << _BUCKET_BITS, np.int64)
+        for piece in pieces(batches, "text"):
+            shingles, _ = shingle_sets(piece.column("text"), length)
+            counts += np.bincount((shingles >> _LOW_BITS).astype(np.int64), minlength=len(counts))
+        used = np.flatnonzero(counts)
+        for part in range(0, len(used), 10_000):
+            buckets = used[part : part + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(counts[buckets])], ["bucket", "n"])
+
+    return rows
+
+
+def _postings(length: int, percent: int, ranks):
+    """Rows ``(key, token, set_a, n, kind)``: the first shingles, in the global order, of
+    each set. Two sets that are similar enough share at least one of them."""
+
+    def compared(held: list[tuple]) -> pa.RecordBatch:
+        token, own, size = (np.concatenate(x) for x in zip(*held, strict=True))
+        sizes = dict(zip(own.tolist(), size.tolist(), strict=True))
+        token, own, new_token, many = _once(token, own)
+        size = np.array([sizes[x] for x in own.tolist()], np.int64)
+        met = new_token & many
+        spread = mix(token ^ mix(own.view(np.uint64)))
+        return pa.RecordBatch.from_arrays(
+            [
+                signed(np.concatenate([np.where(many, spread, token), token[met]])),
+                signed(np.concatenate([token, token[met]])),
+                np.concatenate([own, own[met]]),
+                np.concatenate([size, size[met]]),
+                np.concatenate([np.where(many, _SETTLED, _OPEN), np.full(int(met.sum()), _MET)]).astype(np.int32),
+            ],
+            ["key", "token", "set_a", "n", "kind"],
+        )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for piece in pieces(batches, "text"):
+            shingles, first = shingle_sets(piece.column("text"), length)
+            n = np.diff(first)
+            prefix = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
+            owner, chosen = spans(prefix, first[:-1])
+            ordered = globally_ordered(shingles, first, ranks.value)
+            held.append((ordered[chosen], piece.column("set_a").to_numpy()[owner], n[owner]))
+            size += len(chosen)
+            if size >= _CHUNK:
+                yield compared(held)
+                held, size = [], 0
+        if held:
+            yield compared(held)
+
+    return rows
 
 
 def _overlaps(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[bool]:
@@ -218,6 +278,45 @@ def _verified(pairs: DataFrame, texts: DataFrame, length: int, percent: int, ran
     )
 
 
+def _common(x: str, y: str, percent: int) -> Column:
+    """How many of their first shingles two linked sets of the given sizes have in common at least."""
+    overlap = F.ceil(percent * (F.col(x) + F.col(y)) / (100 + percent))
+    return F.greatest(overlap - F.ceil(percent * F.greatest(x, y) / 100) + 1, F.lit(1))
+
+
+def _able(shared: DataFrame, percent: int) -> DataFrame:
+    """From rows ``(token, set_a, n, root)`` the sets that share enough with sets of
+    another root to be linked with one: ``set_a, n, root, tokens, c, need``.
+
+    ``tokens`` are the ``c`` shared ones, those of few sets first; ``need`` of them a
+    linked set has too, given the sizes of the sets that hold them.
+    """
+    tokens = stored(
+        shared.groupBy("token")
+        .agg(
+            F.min("n").alias("low"),
+            F.max("n").alias("high"),
+            F.count("*").alias("d"),
+            F.min("root").alias("first"),
+            F.max("root").alias("last"),
+        )
+        .where("first != last")
+        .select("token", "low", "high", "d"),
+        "tokens",
+    )
+    low = F.greatest(F.min("low"), F.ceil(percent * F.col("n") / 100)).alias("low")
+    high = F.least(F.max("high"), F.floor(100 * F.col("n") / percent)).alias("high")
+    sets = (
+        shared.join(tokens, "token")
+        .groupBy("set_a", "n", "root")
+        .agg(low, high, F.sort_array(F.collect_list(F.struct("d", "token"))).alias("tokens"))
+        .withColumn("c", F.size("tokens"))
+        .withColumn("need", F.least(_common("n", "low", percent), _common("n", "high", percent)))
+        .where("c >= need")
+    )
+    return stored(sets.drop("low", "high"), "able-sets")
+
+
 def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, text``): ``doc_id, text_hash, n_shingles,
     component_id``.
@@ -233,14 +332,19 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
     null. Other columns are not used. ``text_hash`` (xxhash64) goes with ``doc_id`` to
     name the row.
 
-    Equal sets are one class from the start. Shingles are ordered globally by how
-    often their bucket occurs in all documents; two linked sets share one of the
-    first, rarest, fifth of their shingles. Tasks compare these among themselves
-    first, so a receiver gets one row per task for a frequent shingle. Each class is
-    then compared with one representative among those it shares most with, and what
-    links forms components; after that, only pairs between different components that
-    share enough of those shingles are left and all of them are compared. Comparison
-    walks a trie of the ordered sets of all candidates of one probe.
+    Equal sets are one class from the start. A set of ``n`` shingles is linked only
+    with sets that hold one of its first ``n - ceil(percent n / 100) + 1`` shingles,
+    whatever the global order. First, the order in which shingles of one class come
+    first: a class with that many of them among three tenths of all shingles, picked
+    by hash and counted over all documents, cannot link. For the rest the order
+    follows how often a shingle's bucket occurs, rare ones first. Tasks compare their
+    own rows first, so a receiver gets one row per task for a frequent shingle.
+
+    What shares a shingle is compared with one class, the one among those it shares
+    most with that itself shares most; links form components. Then only pairs between
+    different components are left. Both must have enough shared shingles in common,
+    so each looks up its rarest ones alone, and every pair that shares enough is
+    compared. Comparison walks a trie of the ordered sets of a probe's candidates.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -248,107 +352,141 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         F.xxhash64("text").alias("mark"),
         "text",
     )
-    base = stored(
+    members = stored(
         rows.mapInArrow(
-            _set_rows(length),
-            "id bigint, mark bigint, n bigint, set_a bigint, set_b bigint, counts array<bigint>",
+            _set_rows(length), "id bigint, mark bigint, n bigint, sampled bigint, set_a bigint, set_b bigint"
         ),
         "shingle-sets",
     )
-    counts = np.zeros(1 << _BUCKET_BITS, np.int64)
-    summed = (
-        base.where("n = -1").select(F.posexplode("counts").alias("bucket", "n")).groupBy("bucket").agg(F.sum("n"))
-    )
-    for bucket, n in summed.collect():
-        counts[bucket] = n
-    rank = np.empty(len(counts), np.uint64)
-    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
-    ranks = spark.sparkContext.broadcast(rank)
-
-    members = base.where("n >= 0").drop("counts")
     classes = stored(
         members.where("n > 0")
         .groupBy("set_a", "set_b", "n")
         .agg(
+            F.first("sampled").alias("sampled"),
             F.min(F.when(F.col("id") != _NO_ID, F.col("id"))).alias("least"),
             F.min(F.struct("id", "mark")).alias("row"),
         ),
         "shingle-classes",
     )
-    key = F.col("key")
-    shared = stored(
+    key = Window.partitionBy("key")
+    repeated = (
         rows.select("text")
-        .mapInArrow(_postings(length, percent, ranks), "key bigint, token bigint, set_a bigint, kind int")
+        .mapInArrow(_sampled_rows(length), "key bigint, set_a bigint, n int")
+        .repartition("key")
+        .select(
+            "set_a",
+            F.when(F.col("n") != 0, F.greatest("n", F.lit(0)))
+            .when(F.min("set_a").over(key) != F.max("set_a").over(key), 1)
+            .otherwise(0)
+            .alias("n"),
+        )
+        .where("n > 0")
+        .groupBy("set_a")
+        .agg(F.sum("n").alias("repeated"))
+    )
+    prefix = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    able = (
+        classes.join(repeated, "set_a", "left")
+        .where(F.col("sampled") - F.coalesce("repeated", F.lit(0)) < prefix)
+        .select("set_a", "row.id", "row.mark")
+    )
+    texts = stored(rows.join(stored(able, "able-classes"), ["id", "mark"]).select("set_a", "text"), "able-texts")
+
+    counted = texts.mapInArrow(_bucket_counts(length), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n"))
+    table = counted.toArrow()
+    counts = np.zeros(1 << _BUCKET_BITS, np.int64)
+    counts[table.column(0).to_numpy()] = table.column(1).to_numpy()
+    rank = np.empty(len(counts), np.uint64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
+    ranks = spark.sparkContext.broadcast(rank)
+
+    shared = stored(
+        texts.mapInArrow(
+            _postings(length, percent, ranks), "key bigint, token bigint, set_a bigint, n bigint, kind int"
+        )
         .repartition("key")
-        .withColumn("low", F.min("set_a").over(Window.partitionBy(key)))
-        .withColumn("high", F.max("set_a").over(Window.partitionBy(key)))
-        .withColumn("met", F.max("kind").over(Window.partitionBy(key)))
+        .withColumn("low", F.min("set_a").over(key))
+        .withColumn("high", F.max("set_a").over(key))
+        .withColumn("met", F.max("kind").over(key))
         .where((F.col("kind") != _MET) & ((F.col("met") > _OPEN) | (F.col("low") != F.col("high"))))
-        .select("token", "set_a"),
+        .select("token", "set_a", "n")
+        .distinct(),
         "shared-shingles",
     )
-    wanted = classes.join(shared.select("set_a").distinct(), "set_a").select("set_a", "n", "row.id", "row.mark")
-    texts = stored(
-        rows.join(wanted.select("set_a", "id", "mark"), ["id", "mark"]).select("set_a", "text"), "shared-texts"
-    )
+    sharing = _able(shared.withColumn("root", F.col("set_a")), percent)
 
     # One representative per class, the one with which it shares most shingles.
-    heads = stored(shared.groupBy("token").agg(F.min("set_a").alias("head")), "heads")
+    spread = stored(
+        sharing.select("set_a", "c", F.explode("tokens.token").alias("token")), "sharing-shingles"
+    )
+    heads = stored(spread.groupBy("token").agg(F.max_by("set_a", F.struct("c", "set_a")).alias("head")), "heads")
     stars = (
-        shared.join(heads, "token")
+        spread.join(heads, "token")
         .where(F.col("set_a") != F.col("head"))
         .groupBy("head", "set_a")
         .agg(F.count("*").alias("c"))
         .groupBy("set_a")
-        .agg(F.max_by("head", "c").alias("head"))
+        .agg(F.max_by("head", F.struct("c", "head")).alias("head"))
         .select(F.col("head").alias("a"), F.col("set_a").alias("b"))
     )
-    links = stored(_verified(stars, texts, length, percent, ranks), "star-links")
+    links = stored(_verified(stored(stars, "stars"), texts, length, percent, ranks), "star-links")
     labels = graph.components(links)
 
-    # Whatever shares a shingle across components.
-    named = stored(
-        wanted.select("set_a", "n")
-        .join(labels.select(F.col("node").alias("set_a"), "root"), "set_a", "left")
-        .select("set_a", "n", F.coalesce("root", "set_a").alias("root")),
-        "named-classes",
+    # Whatever shares enough across components.
+    roots = labels.select(F.col("node").alias("set_a"), "root")
+    named = sharing.drop("root").join(roots, "set_a", "left").select(
+        "set_a", "n", F.coalesce("root", "set_a").alias("root"), F.explode("tokens.token").alias("token")
+    )
+    apart = _able(stored(named, "named-shingles"), percent)
+    looked_up = stored(
+        apart.select(
+            "set_a", "root", F.explode(F.expr("slice(tokens, 1, cast(c - need + 1 as int)).token")).alias("token")
+        ),
+        "looked-up-shingles",
     )
-    spread = stored(shared.distinct().join(named, "set_a"), "named-shingles")
-    sizes = spread.groupBy("token", "root").agg(F.count("*").alias("c"))
     mixed = stored(
-        sizes.groupBy("token")
+        looked_up.groupBy("token", "root")
+        .agg(F.count("*").alias("c"))
+        .groupBy("token")
         .agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"))
         .where("roots > 1")
         .select("token", "main"),
         "mixed-shingles",
     )
-    across = stored(spread.join(mixed, "token"), "mixed-postings")
-    x = across.where("root != main").select("token", *(F.col(c).alias(f"x_{c}") for c in ("set_a", "n", "root")))
-    small, large = F.least("x_n", "n"), F.greatest("x_n", "n")
-    need = (percent * (small + large) + 99 + percent) / (100 + percent)
-    enough = F.floor(need) - F.ceil(percent * large / 100) + 1
-    pairs = (
-        x.join(across, "token")
-        .where("x_root != root AND (root = main OR x_set_a < set_a)")
-        .where(100 * small >= percent * large)
-        .groupBy("x_set_a", "set_a", "x_n", "n")
-        .agg(F.count("*").alias("c"))
-        .where(F.col("c") >= enough)
-        .select(F.col("x_set_a").alias("a"), F.col("set_a").alias("b"))
+    across = stored(looked_up.join(mixed, "token"), "mixed-postings")
+    others = across.where("root != main").select("token", F.col("set_a").alias("x"), F.col("root").alias("x_root"))
+    pairs = stored(
+        others.join(across, "token")
+        .where("x_root != root AND (root = main OR x < set_a)")
+        .select("x", F.col("set_a").alias("y"))
+        .distinct(),
+        "pairs",
+    )
+    sets = apart.select("set_a", "n", F.col("tokens.token").alias("tokens"))
+    x, y = (sets.select(*(F.col(c).alias(f"{side}_{c}") for c in sets.columns)) for side in "xy")
+    enough = (
+        pairs.join(x, F.col("x") == F.col("x_set_a"))
+        .join(y, F.col("y") == F.col("y_set_a"))
+        .where(100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+        .where(F.size(F.array_intersect("x_tokens", "y_tokens")) >= _common("x_n", "y_n", percent))
+        .select(F.col("x").alias("a"), F.col("y").alias("b"))
     )
-    more = stored(_verified(stored(pairs, "pairs"), texts, length, percent, ranks), "more-links")
+    more = stored(_verified(stored(enough, "pairs"), texts, length, percent, ranks), "more-links")
     labels = graph.components(links.unionByName(more)) if more.take(1) else labels
 
-    ids = classes.join(labels.select(F.col("node").alias("set_a"), "root"), "set_a", "left").withColumn(
-        "root", F.coalesce("root", "set_a")
-    )
+    roots = labels.select(F.col("node").alias("set_a"), "root")
+    ids = classes.join(roots, "set_a", "left").withColumn("root", F.coalesce("root", "set_a"))
     least = stored(ids.groupBy("root").agg(F.min("least").alias("component_id")), "least-ids")
-    named = stored(ids.join(least, "root").select("set_a", "set_b", F.col("n").alias("size"), "component_id"), "components")
-    same = (F.col("m.set_a") == F.col("c.set_a")) & (F.col("m.set_b") == F.col("c.set_b")) & (F.col("n") == F.col("size"))
+    found = stored(
+        ids.join(least, "root").select(
+            F.col("set_a").alias("a"), F.col("set_b").alias("b"), F.col("n").alias("size"), "component_id"
+        ),
+        "components",
+    )
+    same = (F.col("set_a") == F.col("a")) & (F.col("set_b") == F.col("b")) & (F.col("n") == F.col("size"))
     own = F.when(F.col("id") != _NO_ID, F.col("id"))
     return (
-        members.alias("m")
-        .join(named.alias("c"), same, "left")
+        members.join(found, same, "left")
         .select(
             own.alias("doc_id"),
             F.col("mark").alias("text_hash"),
