@@ -131,6 +131,22 @@ def rejects(spark, sf_dir):
     return decode.reject_counts(decode.decode_json(payloads(spark, sf_dir)))
 
 
+@query(
+    f"""SELECT CASE WHEN signal_name IN ('signup', 'purchase', 'view') THEN 'failed.to.parse'
+                    ELSE 'unknown.call.event.type' END AS reason, count(*) AS events
+        FROM {SQL_CALLS}
+        WHERE signal_name IN ('signup', 'purchase', 'view') OR event_type <> 'signaling_event' GROUP BY ALL"""
+)
+def reject_counts_of_joined_payloads(spark, sf_dir):
+    """Payloads with two events or with text after the event are malformed, as cut ones are."""
+    name = F.col("event.signaling_event.name")
+    decoded = decode.decode_json(payloads(spark, sf_dir))
+    whole = F.col("value").cast("string")
+    more = F.when(name == "purchase", F.concat(whole, whole)).when(name == "view", F.concat(whole, F.lit(" trailing")))
+    joined = decoded.select(F.coalesce(more, whole).cast("binary").alias("value"))
+    return decode.reject_counts(decode.decode_json(joined))
+
+
 @query(
     f"""SELECT event_id, CASE WHEN event_type <> 'signaling_event' THEN 'unknown.call.event.type'
                               WHEN signal_type = 'pdd' THEN NULL

@@ -146,7 +146,7 @@ def sql_stats(value: str = "value") -> str:
         "sd": f"round(sqrt({variance}), 9)",
         **{name: sql_quantile(p, value) for name, p in PERCENTILES.items()},
     }
-    columns = [f"CAST(count({value}) AS INTEGER) AS samples"]
+    columns = [f"CAST(count({value}) AS BIGINT) AS samples"]
     columns += [f"{sql_round(exact[name])} AS {name}" for name in STATS]
     return ",\n           ".join(columns + sql_bins(value))
 

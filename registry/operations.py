@@ -162,8 +162,9 @@ def log_executor_counts(spark, sf_dir):
 
 
 @query(
-    f"""SELECT app, event_id AS execution, ms AS started, ms + size * 1000 AS ended, size * 1000 AS duration
-        FROM {_EVENTS} WHERE kind = 'purchase' AND value < 100"""
+    f"""SELECT app, event_id AS execution, ms AS started, CASE WHEN value < 100 THEN ms + size * 1000 END AS ended,
+               CASE WHEN value < 100 THEN size * 1000 END AS duration
+        FROM {_EVENTS} WHERE kind = 'purchase'"""
 )
 def log_sql_durations(spark, sf_dir):
     return ops_metrics.sql_durations(log_table(spark, sf_dir))

@@ -5,17 +5,29 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry import query
-from registry.aggregates import sql_window_stats
-from registry.inputs import SQL_METRICS, SQL_MS, SQL_PDD, as_call_events, as_metric_rows, as_payloads, sql_window_start
+from registry.aggregates import _MANY, _sql_histogram, sql_window_stats
+from registry.inputs import (
+    SQL_CALLS,
+    SQL_METRICS,
+    SQL_MS,
+    SQL_PDD,
+    as_call_events,
+    as_metric_rows,
+    as_payloads,
+    call_events,
+    event_struct,
+    sql_window_start,
+)
 from signalstats.model import DIMENSIONS, JobConfig
 from signalstats.operators.dedup import drop_repeated
-from signalstats.plans import batch, ops_metrics
+from signalstats.operators.histogram import histogram, histogram_rows
+from signalstats.plans import batch
 from signalstats.session import ship_package
+from signalstats.sources import protobuf
 from signalstats.sources.scratch import new_folder
 from signalstats.sources.tables import EVENTS, read_events
 from signalstats.streaming import pipeline
-from signalstats.streaming.progress import ProgressLog
-from signalstats.streaming.stateful import window_statistics_with_timeout
+from signalstats.streaming.progress import ProgressLog, progress_rows
 
 _DELAY = 120  # watermark delay in minutes
 _HOUR = 60
@@ -36,8 +48,6 @@ def metric_stream(spark, sf_dir):
 # latest window less the delay.
 _WATERMARK = f"(SELECT max({sql_window_start('event_time', _HOUR)}) - {_DELAY * 60000} FROM {SQL_METRICS})"
 _CLOSED = f"HAVING window_start <= {_WATERMARK}"
-_TIMED_OUT = f"HAVING window_start + {_HOUR * 60000} < {_WATERMARK}"
-
 
 @query(sql_window_stats(SQL_METRICS, _HOUR, [], _CLOSED))
 def stream_append(spark, sf_dir):
@@ -72,30 +82,106 @@ def stream_complete_many_triggers(spark, sf_dir):
     stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{folder}/input")
     result = pipeline.window_statistics(as_metric_rows(stream), _HOUR, _DELAY, [])
     pipeline.to_table(result, f"{folder}/table", f"{folder}/checkpoint", "complete").awaitTermination()
-    table = spark.read.schema(f"{result._jdf.schema().toDDL()}, batch BIGINT").parquet(f"{folder}/table")
-    last = table.agg(F.max("batch").alias("batch"))
-    return table.join(F.broadcast(last), "batch").drop("batch")
+    return spark.read.schema(result.schema).parquet(f"{folder}/table").select(*result.columns)
 
 
-@query(
-    f"""{sql_window_stats(SQL_METRICS, _HOUR, [])}
-        UNION ALL {sql_window_stats(SQL_METRICS, _HOUR, [], _TIMED_OUT)}"""
-)
+# -- several triggers, with late rows -----------------------------------------
+
+_CHUNKS = 4
+# A quarter of the time span per chunk; every tenth event comes two chunks late.
+_SQL_CHUNKED = f"""(
+    SELECT *, CASE WHEN late THEN least(quarter + 2, {_CHUNKS - 1}) ELSE quarter END AS chunk FROM (
+        SELECT event_type AS metric, {SQL_MS} AS event_time, json_extract_string(props, '$.k') AS route, value,
+               event_id % 10 = 3 AS late,
+               {_CHUNKS} * ({SQL_MS} - (SELECT min({SQL_MS}) FROM events))
+                   // ((SELECT max({SQL_MS}) - min({SQL_MS}) FROM events) + 1) AS quarter
+        FROM events))"""
+# A row is late when its window starts at or before the watermark with which the
+# trigger before ran, which the chunks before that one have left.
+_SQL_ON_TIME = f"""(
+    SELECT r.* FROM {_SQL_CHUNKED} r
+    LEFT JOIN (SELECT c.chunk, max({sql_window_start('e.event_time', _HOUR)}) - {_DELAY * 60000} AS watermark
+               FROM (SELECT unnest(range({_CHUNKS})) AS chunk) c JOIN {_SQL_CHUNKED} e ON e.chunk < c.chunk - 1
+               GROUP BY c.chunk) w ON w.chunk = r.chunk
+    WHERE w.watermark IS NULL OR {sql_window_start('r.event_time', _HOUR)} > w.watermark)"""
+
+
+def _sql_updates(dims: list[str]) -> str:
+    """A row per chunk and key that it touched, with all rows so far."""
+    return " UNION ALL ".join(
+        sql_window_stats(f"(SELECT * FROM {_SQL_ON_TIME} WHERE chunk <= {c})", _HOUR, dims, f"HAVING max(chunk) = {c}")
+        for c in range(_CHUNKS)
+    )
+
+
+def chunked_stream(spark, sf_dir):
+    """The table as files in the order of time, with late rows, one file per trigger."""
+    folder = new_folder(spark, "chunks")
+    events = read_events(spark, sf_dir).withColumn("_ms", F.unix_millis("ts"))
+    low, high = events.agg(F.min("_ms"), F.max("_ms")).first()
+    quarter = F.floor(_CHUNKS * (F.col("_ms") - low) / (high - low + 1))
+    late = F.col("event_id") % 10 == 3
+    chunk = F.when(late, F.least(quarter + 2, F.lit(_CHUNKS - 1))).otherwise(quarter)
+    numbered = events.withColumn("_chunk", chunk)
+    for i in range(_CHUNKS):  # one after the other: the source reads files by age
+        rows = numbered.where(F.col("_chunk") == i).select("event_id", "ts", "user_id", "event_type", "value", "props")
+        rows.coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
+    return as_metric_rows(stream)
+
+
+@query(sql_window_stats(_SQL_ON_TIME, _HOUR, [], _CLOSED))
+def stream_late_append(spark, sf_dir):
+    """State over several triggers; late rows are dropped."""
+    return drained(
+        spark, pipeline.window_statistics(chunked_stream(spark, sf_dir), _HOUR, _DELAY, []), "append", "stream_late"
+    )
+
+
+@query(_sql_updates(["route"]))
+def stream_late_update(spark, sf_dir):
+    """Every trigger's rows for the keys it touched, merged with what was there."""
+    result = pipeline.window_statistics(chunked_stream(spark, sf_dir), _HOUR, _DELAY, ["route"])
+    return drained(spark, result, "update", "stream_late_update")
+
+
+@query(f"{_sql_updates([])} UNION ALL {sql_window_stats(_SQL_ON_TIME, _HOUR, [], _CLOSED)}")
 def stream_timeout_update(spark, sf_dir):
-    """State with a timeout: every key when touched, and once more at its end."""
-    ship_package(spark)
-    result = window_statistics_with_timeout(metric_stream(spark, sf_dir), _HOUR, _DELAY, [], "update", shards=4)
-    return drained(spark, result, "update", "stream_timeout_update")
+    """Every key when touched, and once more when its window is closed."""
+    result = pipeline.window_statistics(chunked_stream(spark, sf_dir), _HOUR, _DELAY, [])
+    touched = drained(spark, result, "update", "stream_touched")
+    return touched.unionByName(drained(spark, result, "append", "stream_final"))
 
 
-@query(sql_window_stats(SQL_METRICS, _HOUR, ["route"], _TIMED_OUT))
+@query(sql_window_stats(_SQL_ON_TIME, _HOUR, ["route"], _CLOSED))
 def stream_timeout_append(spark, sf_dir):
-    """State with a timeout: keys at their end only."""
-    ship_package(spark)
-    result = window_statistics_with_timeout(metric_stream(spark, sf_dir), _HOUR, _DELAY, ["route"], "append", shards=4)
+    """Keys once, when their window is closed."""
+    result = pipeline.window_statistics(chunked_stream(spark, sf_dir), _HOUR, _DELAY, ["route"])
     return drained(spark, result, "append", "stream_timeout_append")
 
 
+@query(sql_window_stats(SQL_METRICS, _HOUR, []))
+def stream_processing_time(spark, sf_dir):
+    """A trigger every second until the source is drained; the latest rows per key."""
+    folder = new_folder(spark, "stream_every")
+    result = pipeline.window_statistics(metric_stream(spark, sf_dir), _HOUR, _DELAY, [])
+    running = pipeline.to_table(
+        result, f"{folder}/table", f"{folder}/checkpoint", "complete", every="1 second", drain=False
+    )
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.schema(result.schema).parquet(f"{folder}/table").select(*result.columns)
+
+
+@query(_sql_histogram(_MANY[:40], "metric", SQL_METRICS))
+def stream_histogram_many_splits(spark, sf_dir):
+    """Forty splits on a stream, by the plan that serves tables."""
+    result = histogram(metric_stream(spark, sf_dir), ["metric"], _MANY[:40])
+    return histogram_rows(drained(spark, result, "update", "stream_histogram"), _MANY[:40]).drop("samples")
+
+
 @query(sql_window_stats(SQL_PDD, 5, list(DIMENSIONS)))
 def stream_call_statistics(spark, sf_dir):
     """The whole job as a stream: payloads, decoding, filter, windows, state."""
@@ -113,16 +199,88 @@ def stream_dedup(spark, sf_dir):
     return drained(spark, drop_repeated(timed).select("event_id", "event_time"), "append", "stream_dedup")
 
 
-@query()
+@query("SELECT 'stream_progress' AS query, count(*) AS input_rows FROM events")
 def stream_progress_rates(spark, sf_dir):
-    """Row rates of a run over the table; timings differ from run to run."""
-    progress = ProgressLog()
-    spark.streams.addListener(progress)
+    """Progress reports of a run over the table, from the table they are appended to.
+    Rates differ from run to run; the rows read do not."""
+    log = ProgressLog(spark, new_folder(spark, "progress"))
+    spark.streams.addListener(log)
     try:
+        folder = new_folder(spark, "stream_progress")
         result = pipeline.window_statistics(metric_stream(spark, sf_dir), _HOUR, _DELAY, [])
-        drained(spark, result, "append", "stream_progress")
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        run = pipeline.to_table(result, f"{folder}/table", f"{folder}/checkpoint", name="stream_progress")
+        run.awaitTermination()
+        log.wait(run)
     finally:
-        spark.streams.removeListener(progress)
-    rows = progress.rows(spark).filter("query = 'stream_progress'")
-    return ops_metrics.stream_rate_statistics(rows)
+        spark.streams.removeListener(log)
+    return (
+        log.rows()
+        .where((F.col("query_id") == str(run.id)) & (F.col("input_rate") >= 0) & (F.col("processed_rate") >= 0))
+        .groupBy("query")
+        .agg(F.sum("input_rows").alias("input_rows"))
+    )
+
+
+# -- the whole job ----------------------------------------------------------
+
+
+if protobuf.available():
+
+    def _job(spark, sf_dir):
+        """Protobuf payloads, some of them cut, through the job as it is configured."""
+        ship_package(spark)
+        folder = new_folder(spark, "job")
+        whole = protobuf.to_bytes(event_struct(), jvm=protobuf.in_jvm(spark))
+        sent = call_events(spark, sf_dir).select("signaling_event.name", whole.alias("whole"))
+        cut = F.expr("substring(whole, 1, octet_length(whole) - 1)")
+        value = F.when(F.col("name") == "signup", cut).otherwise(F.col("whole"))
+        sent.select(value.alias("value")).write.parquet(f"{folder}/topic")
+        config = JobConfig(
+            query_name=f"job-{folder[-8:]}", payload_format="protobuf", final_rows=True, reject_path=f"{folder}/rejects"
+        )
+        log = ProgressLog(spark, f"{folder}/progress")
+        spark.streams.addListener(log)
+
+        def sink(rows, mode, name):
+            path = f"{folder}/{'final' if name.endswith('.final') else 'table'}"
+            return pipeline.to_table(rows, path, f"{path}-checkpoint", mode, name)
+
+        try:
+            messages = spark.readStream.schema("value BINARY").parquet(f"{folder}/topic")
+            queries = pipeline.start_job(messages, config, sink, drain=True)
+            for running in queries:
+                running.awaitTermination()
+                log.wait(running)
+        finally:
+            spark.streams.removeListener(log)
+        return folder, config
+
+    @query(sql_window_stats(SQL_PDD, 5, list(DIMENSIONS)))
+    def stream_job_protobuf(spark, sf_dir):
+        """Aggregate rows of the configured job over protobuf payloads."""
+        folder, _ = _job(spark, sf_dir)
+        return batch.flattened(spark.read.parquet(f"{folder}/table").drop("batch"))
+
+    @query(
+        f"""SELECT CASE WHEN signal_name = 'signup' THEN 'failed_to_parse'
+                        WHEN event_type <> 'signaling_event' THEN 'unknown_call_event_type'
+                        WHEN signal_type = 'unknown_event_type' THEN 'unknown' ELSE 'unsupported' END AS reason,
+                   count(*) AS events
+            FROM {SQL_CALLS}
+            WHERE signal_name = 'signup' OR event_type <> 'signaling_event' OR signal_type <> 'pdd' GROUP BY ALL
+            UNION ALL SELECT 'quarantined', count(*) FROM {SQL_CALLS} WHERE signal_name = 'signup'"""
+    )
+    def stream_job_rejects(spark, sf_dir):
+        """Left-out events as the job reports them, and the payloads it has put aside."""
+        folder, config = _job(spark, sf_dir)
+        reports = spark.read.parquet(f"{folder}/progress").where("kind = 'progress'")
+        counts = (
+            progress_rows(reports, "report")
+            .where(F.col("query") == config.query_name)
+            .select(F.explode(F.col("observed")["rejects"]).alias("reason", "events"))
+            .groupBy("reason")
+            .agg(F.sum("events").alias("events"))
+            .where("events > 0")
+        )
+        aside = spark.read.schema("value BINARY").parquet(f"{folder}/rejects/rows")
+        return counts.unionByName(aside.select(F.lit("quarantined").alias("reason")).groupBy("reason").agg(F.count("*").alias("events")))

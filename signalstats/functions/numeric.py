@@ -14,13 +14,15 @@ def round_half_up(value: Column, places: int = 2) -> Column:
 
     ``F.round`` sends ties away from zero and rounds the decimal text of the
     double, so it gives -0.13 for -0.125 and 1.01 for 1.005 where this rule
-    gives -0.12 and 1.0.
+    gives -0.12 and 1.0. Values that have no decimals to lose, infinities among
+    them, stay as they are.
     """
     scale = float(10**places)
-    scaled = F.nanvl(value, F.lit(0.0)) * scale
-    whole = F.floor(scaled)
-    up = (F.abs(scaled) < _INTEGRAL_FROM) & (scaled - whole >= 0.5)
-    return F.when(up, whole + 1).otherwise(whole) / scale
+    known = F.nanvl(value, F.lit(0.0))
+    scaled = known * scale
+    whole = F.floor(F.when(F.abs(scaled) < _INTEGRAL_FROM, scaled).otherwise(0.0))
+    near = F.when(scaled - whole >= 0.5, whole + 1).otherwise(whole) / scale
+    return F.when(F.abs(scaled) < _INTEGRAL_FROM, near).otherwise(known)
 
 
 def sd(variance: Column) -> Column:

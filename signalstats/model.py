@@ -116,7 +116,7 @@ MESSAGES: dict[str, dict[str, tuple[int, str]]] = {
 _SCALARS: dict[str, T.DataType] = {
     "string": T.StringType(),
     "uint64": T.LongType(),
-    "uint32": T.IntegerType(),
+    "uint32": T.LongType(),
     "float": T.FloatType(),
     "double": T.DoubleType(),
 }
@@ -152,6 +152,9 @@ HISTOGRAM_SPLITS: tuple[float, ...] = (-2.0, -1.0, 0.0, 1.0, 2.0)
 # error of 0.27 % beyond.
 SKETCH_K = 1024
 
+# Column metadata that holds the length of the windows of stored rows.
+WINDOW_MINUTES = "window_minutes"
+
 
 @dataclass(frozen=True)
 class TopicConfig:
@@ -164,7 +167,14 @@ class TopicConfig:
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Parameters of one aggregation job."""
+    """Parameters of one aggregation job.
+
+    ``payload_format`` and ``output_format`` are ``json`` or ``protobuf``,
+    ``id_algorithm`` is ``md5`` or ``murmur3``. With ``final_rows`` a job in update
+    mode also writes each key once more when its window is closed. Payloads that do
+    not decode go to the table ``reject_path``, progress reports with the counts of
+    all left-out events to ``progress_path``.
+    """
 
     app_name: str = "signal-statistics"
     query_name: str = "signal.statistics"
@@ -174,6 +184,12 @@ class JobConfig:
     window_minutes: int = 5
     watermark_minutes: int = 10
     metric: str = "pdd"
+    payload_format: str = "json"
+    output_format: str = "json"
+    id_algorithm: str = "md5"
+    final_rows: bool = False
+    reject_path: str | None = None
+    progress_path: str | None = None
     spark_conf: dict[str, str] = field(default_factory=dict)
     source: TopicConfig | None = None
     sink: TopicConfig | None = None
@@ -182,7 +198,7 @@ class JobConfig:
     def from_mapping(cls, settings: Mapping) -> JobConfig:
         """From a parsed configuration file; keys that are not set keep their defaults.
 
-        Fixed values: the names of the keys.
+        Fixed values: the names of the first keys, up to ``core``.
         """
         names = {
             "appName": "app_name",
@@ -192,6 +208,12 @@ class JobConfig:
             "windowInterval": "window_minutes",
             "watermarkInterval": "watermark_minutes",
             "core": "spark_conf",
+            "payloadFormat": "payload_format",
+            "outputFormat": "output_format",
+            "idAlgorithm": "id_algorithm",
+            "finalRows": "final_rows",
+            "rejectPath": "reject_path",
+            "progressPath": "progress_path",
         }
         topics = {"callEventsTopic": "source", "aggregationsTopic": "sink"}
         unknown = set(settings) - set(names) - set(topics)

@@ -14,6 +14,9 @@ from signalstats.model import CALL_EVENT, DIMENSIONS
 
 _CORRUPT = "_corrupt"
 
+#: Where the number of a signal type is, below ``signaling_event``.
+VALUES = {"pdd": "pdd.pdd"}
+
 # Reasons for leaving an event out of the metrics.
 UNSUPPORTED = "unsupported"
 UNKNOWN = "unknown"
@@ -24,16 +27,22 @@ MALFORMED = "failed.to.parse"
 def decode_json(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``event STRUCT`` decoded from JSON bytes or text; NULL when malformed.
 
+    A payload is one JSON object; anything after it makes the payload malformed.
+
     The parsed struct goes through a one-element ``explode``: filters on its
     fields stop above that, where the optimizer would otherwise copy the parser
     into each of them and parse every payload several times.
     """
-    schema = T.StructType([*CALL_EVENT.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(value).cast("string"), schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    # The parser would stop after a first document. Inside an array, whatever follows
+    # it is a syntax error or a second element.
+    schema = T.StructType(
+        [T.StructField("e", T.ArrayType(CALL_EVENT)), T.StructField(_CORRUPT, T.StringType())]
+    )
+    text = F.concat(F.lit('{"e":['), F.col(value).cast("string"), F.lit("]}"))
+    parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": _CORRUPT})
     decoded = df.withColumn("_parsed", F.explode(F.array(parsed)))
-    event = F.struct(*[F.col(f"_parsed.{name}").alias(name) for name in CALL_EVENT.names])
-    good = F.col("_parsed").isNotNull() & F.col(f"_parsed.{_CORRUPT}").isNull()
-    return decoded.withColumn("event", F.when(good, event)).drop("_parsed")
+    good = F.col(f"_parsed.{_CORRUPT}").isNull() & (F.size("_parsed.e") == 1)
+    return decoded.withColumn("event", F.when(good, F.get("_parsed.e", F.lit(0)))).drop("_parsed")
 
 
 def encode_json(event: Column) -> Column:
@@ -112,11 +121,14 @@ def signal_events(events: DataFrame, metric: str = "pdd") -> DataFrame:
 def metric_rows(events: DataFrame, metric: str = "pdd") -> DataFrame:
     """``metric, event_time, <dimensions>, value`` of the events of one signal type.
 
-    Unset event times and values take the protocol's default, zero.
+    Unset event times and values take the protocol's default, zero. A signal type
+    that carries no number is no metric.
     """
+    if metric not in VALUES:
+        raise ValueError(f"{metric} has no value; metrics are {sorted(VALUES)}")
     return signal_events(events, metric).select(
         F.col("signaling_event.event_type").alias("metric"),
         F.coalesce("event_time", F.lit(0).cast("long")).alias("event_time"),
         *[F.col(f"event_dimensions.{d}").alias(d) for d in DIMENSIONS],
-        F.coalesce(F.col("signaling_event.pdd.pdd").cast("double"), F.lit(0.0)).alias("value"),
+        F.coalesce(F.col(f"signaling_event.{VALUES[metric]}").cast("double"), F.lit(0.0)).alias("value"),
     )

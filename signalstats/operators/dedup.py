@@ -10,12 +10,16 @@ def drop_repeated(events: DataFrame, event_id: str = "event_id") -> DataFrame:
     """Keep one event per id; events without an id all stay.
 
     On a stream the events need a watermark, which bounds how long ids are
-    remembered. In a batch the ids are combined before the shuffle, so an id
-    repeated a million times costs one row per task.
+    remembered. In a batch the source is read once and repeated ids are combined
+    before the shuffle, so an id repeated a million times costs one row per task; the
+    one that stays is the smallest of its columns in their order. Events without an
+    id get a number each, which spreads them.
     """
-    known = events.filter(F.col(event_id).isNotNull())
+    others = [c for c in events.columns if c != event_id]
     if events.isStreaming:
-        known = known.dropDuplicatesWithinWatermark([event_id])
-    else:
-        known = known.dropDuplicates([event_id])
-    return known.unionByName(events.filter(F.col(event_id).isNull()))
+        known = events.filter(F.col(event_id).isNotNull()).dropDuplicatesWithinWatermark([event_id])
+        return known.unionByName(events.filter(F.col(event_id).isNull()))
+    alone = F.when(F.col(event_id).isNull(), F.monotonically_increasing_id())
+    numbered = events.select(F.col(event_id), alone.alias("_alone"), F.struct(*others).alias("_event"))
+    kept = numbered.groupBy(event_id, "_alone").agg(F.min("_event").alias("_event"))
+    return kept.select(*(F.col(c) if c == event_id else F.col(f"_event.{c}").alias(c) for c in events.columns))

@@ -14,11 +14,6 @@ from pyspark.sql import functions as F
 
 from signalstats.model import HISTOGRAM_SPLITS
 
-# Up to here one counter per bin fits the aggregation row; longer lists are
-# grouped by bin number.
-MAX_COUNTERS = 32
-
-
 def _checked(splits: Sequence[float]) -> list[float]:
     points = [float(s) for s in splits]
     if not points or any(not a < b for a, b in pairwise(points)):
@@ -51,32 +46,19 @@ def bin_counts(value: Column, splits: Sequence[float] = HISTOGRAM_SPLITS) -> lis
 
 
 def histogram(df: DataFrame, keys: Sequence[str], splits: Sequence[float], value: str = "value") -> DataFrame:
-    """``keys, samples, histogram ARRAY<DOUBLE>`` with all ``m + 1`` bins per key."""
+    """``keys, samples, histogram ARRAY<DOUBLE>`` with all ``m + 1`` bins per key.
+
+    One aggregation with map-side combining for any number of splits, on tables and
+    streams alike.
+    """
     points = _checked(splits)
     v = F.col(value)
-    if len(points) < MAX_COUNTERS:
-        known = F.when(~F.isnan(v), v)
-        return df.groupBy(*keys).agg(
-            F.count(known).alias("samples"),
-            F.array(*bin_counts(known, points)).alias("histogram"),
-        )
-    per_bin = df.groupBy(*keys, bin_index(v, points).alias("bin")).agg(F.count(v).alias("n"))
-    # At most m + 2 rows per key are left here (NaN values sit in the NULL bin).
-    counts = F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n"))))
-    return (
-        per_bin.groupBy(*keys)
-        .agg(
-            F.coalesce(F.sum(F.when(F.col("bin").isNotNull(), F.col("n"))), F.lit(0).cast("long")).alias("samples"),
-            counts.alias("counts"),
-        )
-        .select(
-            *keys,
-            "samples",
-            F.transform(
-                F.sequence(F.lit(0), F.lit(len(points))),
-                lambda i: F.coalesce(F.try_element_at(F.col("counts"), i), F.lit(0)).cast("double"),
-            ).alias("histogram"),
-        )
+    # The bin of a row is found once, by bisection; every bin has its counter.
+    binned = df.withColumn("_bin", bin_index(v, points))
+    counters = [F.count_if(F.col("_bin") == i).cast("double") for i in range(len(points) + 1)]
+    return binned.groupBy(*keys).agg(
+        F.count("_bin").alias("samples"),
+        F.array(*counters).alias("histogram"),
     )
 
 

@@ -12,56 +12,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalstats.functions.windows import event_window_start
-from signalstats.model import SKETCH_K
+from signalstats.model import SKETCH_K, WINDOW_MINUTES
 from signalstats.operators.quantiles import merge_sketches
 from signalstats.operators.stats import BINS
 
 
-def roll_up(partial: DataFrame, keys: Sequence[str], k: int = SKETCH_K, origin: float = 0.0) -> DataFrame:
+def roll_up(partial: DataFrame, keys: Sequence[str], k: int = SKETCH_K) -> DataFrame:
     """Merge mergeable rows (see ``stats.aggregate``) into one row per key.
 
-    The variance of the union is the variance inside the rows plus that between
-    their means, summed around ``origin``. Pass a typical value when the data
-    lie far from zero compared with their spread.
+    The variance of the union is the variance inside the rows plus that of their
+    means around the mean of the key. That mean is found first, in a pass of its own
+    over the stored rows, so values far from zero lose no digits.
     """
+    key = F.struct(*keys)
     n = F.col("samples").cast("double")
-    offset = F.col("mean") - F.lit(origin)
+    means = partial.groupBy(key.alias("_key")).agg(
+        F.try_divide(F.sum(n * F.col("mean")), F.sum(n)).alias("_about")
+    )
+    offset = F.col("mean") - F.col("_about")
     inside = F.coalesce(F.col("variance"), F.lit(0.0)) * (n - 1)
-    merged = partial.groupBy(*keys).agg(
-        F.sum("samples").alias("samples"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-        F.sum(n * offset).alias("_first"),
-        F.sum(inside + n * offset * offset).alias("_second"),
-        merge_sketches(F.col("sketch"), k).alias("sketch"),
-        *[F.sum(b).alias(b) for b in BINS],
+    merged = (
+        partial.withColumn("_key", key)
+        .join(means, "_key")
+        .groupBy("_key")
+        .agg(
+            F.sum("samples").alias("samples"),
+            F.min("min").alias("min"),
+            F.max("max").alias("max"),
+            F.first("_about").alias("_about"),
+            F.sum(n * offset).alias("_first"),
+            F.sum(inside + n * offset * offset).alias("_second"),
+            merge_sketches(F.col("sketch"), k).alias("sketch"),
+            *[F.sum(b).alias(b) for b in BINS],
+        )
     )
     total = F.col("samples").cast("double")
-    spread = F.greatest(F.col("_second") - F.col("_first") * F.col("_first") / total, F.lit(0.0))
+    # What rounding has left of the mean deviation, usually nothing.
+    shift = F.try_divide("_first", total)
+    spread = F.col("_second") - shift * F.col("_first")
     return merged.select(
-        *keys,
+        "_key.*",
         "samples",
         "min",
         "max",
-        F.when(total > 0, F.col("_first") / total + F.lit(origin)).alias("mean"),
+        F.when(total > 0, F.col("_about") + shift).alias("mean"),
         F.when(total > 1, spread / (total - 1)).alias("variance"),
         "sketch",
         *BINS,
     )
 
 
-def roll_up_windows(
-    partial: DataFrame, minutes: int, keys: Sequence[str], k: int = SKETCH_K, origin: float = 0.0
-) -> DataFrame:
+def roll_up_windows(partial: DataFrame, minutes: int, keys: Sequence[str], k: int = SKETCH_K) -> DataFrame:
     """Merge ``window_start`` (epoch ms) rows into windows of ``minutes``.
 
     Windows are calendar-aligned, so that a longer window holds exactly the
-    shorter ones inside it.
+    shorter ones inside it. The stored length (see ``batch.window_partials``) must
+    divide the wanted one.
     """
     if 60 % minutes and minutes % 60:
         raise ValueError("window must divide an hour or be whole hours")
+    stored = partial.schema["window_start"].metadata.get(WINDOW_MINUTES)
+    if stored is None:
+        raise ValueError("the rows do not tell the length of their windows")
+    if minutes % stored:
+        raise ValueError(f"windows of {stored} minutes do not nest in {minutes} minutes")
     if minutes <= 60:
         start = event_window_start(F.col("window_start"), minutes)
     else:
         start = F.col("window_start") - F.pmod("window_start", F.lit(minutes * 60_000))
-    return roll_up(partial.withColumn("window_start", start), keys, k, origin)
+    rolled = roll_up(partial.withColumn("window_start", start), keys, k)
+    return rolled.withMetadata("window_start", {WINDOW_MINUTES: minutes})

@@ -84,7 +84,7 @@ def finalize(partial: DataFrame) -> DataFrame:
     quantiles = {name: F.get("_q", F.lit(i)) for i, name in enumerate(PERCENTILES)}
     return read.select(
         *others,
-        F.col("samples").cast("int").alias("samples"),
+        "samples",
         *rounded(quantiles),
         *BINS,
     )
@@ -102,7 +102,7 @@ def exact_statistics(df: DataFrame, keys: Sequence[str], value: str = "value") -
     quantiles = {name: F.col(name) for name in PERCENTILES}
     return moments.join(percentiles, "key", "left").select(
         "key.*",
-        F.col("samples").cast("int").alias("samples"),
+        "samples",
         *rounded(quantiles),
         *BINS,
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from signalstats.functions.ids import dimension_hash
 from signalstats.functions.windows import event_window_start, interval_name, window_end
-from signalstats.model import DIMENSIONS, SKETCH_K, JobConfig
+from signalstats.model import DIMENSIONS, SKETCH_K, WINDOW_MINUTES, JobConfig
 from signalstats.operators.decode import decode_json, metric_rows, valid
 from signalstats.operators.stats import BINS, STATS, aggregate, finalize
 
@@ -31,9 +31,11 @@ def window_partials(
     """Mergeable rows per (metric, window, dimensions), for storing and rolling up.
 
     The window's end and label follow from its start, so only the start is part
-    of the shuffled key.
+    of the shuffled key. The column ``window_start`` carries the length as metadata,
+    which Parquet keeps.
     """
-    return aggregate(windowed(rows, minutes), [*KEY, *dimensions], k=k)
+    partial = aggregate(windowed(rows, minutes), [*KEY, *dimensions], k=k)
+    return partial.withMetadata("window_start", {WINDOW_MINUTES: minutes})
 
 
 def describe_windows(stats: DataFrame, minutes: int, dimensions: Sequence[str], id_algorithm: str = "md5") -> DataFrame:

@@ -98,13 +98,16 @@ def executor_counts(log: DataFrame) -> DataFrame:
 
 
 def sql_durations(log: DataFrame) -> DataFrame:
-    """Start, end and duration of SQL executions; one shuffle, no join."""
+    """Start, end and duration of SQL executions; one shuffle, no join.
+
+    An end whose start is in a log that is gone, or an execution that still runs,
+    keeps NULL for what is not known.
+    """
     started, ended = F.col("kind") == eventlog.SQL_START, F.col("kind") == eventlog.SQL_END
     return (
         eventlog.sql_executions(log)
         .groupBy("app", "execution")
         .agg(F.min(F.when(started, F.col("time"))).alias("started"), F.max(F.when(ended, F.col("time"))).alias("ended"))
-        .filter(F.col("started").isNotNull() & F.col("ended").isNotNull())
         .withColumn("duration", F.col("ended") - F.col("started"))
     )
 

@@ -2,12 +2,14 @@
 
 A log is kept as ``app, line``: each reader below picks its kind of event by the
 start of the line and only then parses the JSON, with just the fields it needs.
-Compressed logs are not readable as text; write them with
-``spark.eventLog.compress=false``.
 """
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ SQL_START = f"{_SQL}SQLExecutionStart"
 SQL_END = f"{_SQL}SQLExecutionEnd"
 QUERY_STARTED = f"{_STREAMING}QueryStartedEvent"
 QUERY_PROGRESS = f"{_STREAMING}QueryProgressEvent"
+QUERY_TERMINATED = f"{_STREAMING}QueryTerminatedEvent"
 
 _TASK_END = """
     `Stage ID` INT, `Stage Attempt ID` INT, `Task Type` STRING,
@@ -41,10 +44,42 @@ _TASK_END = """
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     """``app, line`` of a log folder; the application id is taken from file names,
-    single (``app-1``) or rolling (``eventlog_v2_app-1/events_1_app-1``)."""
-    file = F.regexp_extract("_metadata.file_name", r"^(?:events_\d+_)?(.+?)(?:\.inprogress)?$", 1)
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return lines.select(file.alias("app"), F.col("value").alias("line"))
+    single (``app-1``) or rolling (``eventlog_v2_app-1/events_1_app-1``).
+
+    Plain logs and those compressed with Spark's default codec (``.zstd``) are read. A
+    compressed file is unpacked in one task, piece by piece; rolling keeps such files
+    small.
+    """
+    file = F.regexp_extract("_metadata.file_name", r"^(?:events_\d+_)?(.+?)(?:\.zstd)?(?:\.inprogress)?$", 1)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    lines = reader.text(path).where(~F.col("_metadata.file_name").contains(".zstd"))
+    packed = reader.option("pathGlobFilter", "*.zstd*").format("binaryFile").load(path)
+    unpacked = packed.select(file.alias("app"), "content").mapInArrow(_unpacked, "app STRING, line STRING")
+    return lines.select(file.alias("app"), F.col("value").alias("line")).unionByName(unpacked)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of compressed files, a few thousand at a time; a file that is still being
+    written ends with its last whole line."""
+    import zstandard
+
+    def batch(app: str, lines: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([app] * len(lines)), pa.array(lines)], ["app", "line"])
+
+    for files in batches:
+        for app, content in zip(files.column("app").to_pylist(), files.column("content"), strict=True):
+            stream = zstandard.ZstdDecompressor().stream_reader(
+                pa.BufferReader(content.as_buffer()), read_across_frames=True
+            )
+            lines: list[str] = []
+            for line in io.TextIOWrapper(stream, "utf-8", errors="replace"):
+                if line.endswith("\n"):
+                    lines.append(line[:-1])
+                if len(lines) >= 5_000:
+                    yield batch(app, lines)
+                    lines = []
+            if lines:
+                yield batch(app, lines)
 
 
 def events_of(log: DataFrame, *kinds: str) -> DataFrame:
@@ -104,8 +139,13 @@ def sql_executions(log: DataFrame) -> DataFrame:
 
 
 def lifecycle_events(log: DataFrame) -> DataFrame:
-    """``app, event, time`` of application, result and query events."""
-    kinds = events_of(log, APPLICATION_START, APPLICATION_END, TASK_GETTING_RESULT, QUERY_STARTED)
+    """``app, event, time`` of application, result and query events.
+
+    Spark logs no time with the end of a query; it is NULL.
+    """
+    kinds = events_of(
+        log, APPLICATION_START, APPLICATION_END, TASK_GETTING_RESULT, QUERY_STARTED, QUERY_TERMINATED
+    )
     time = F.coalesce(
         F.get_json_object("line", "$.Timestamp").cast("bigint"),
         F.get_json_object("line", "$['Task Info']['Getting Result Time']").cast("bigint"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalstats.model import TopicConfig
+from signalstats.sources import protobuf
 
 
 def reader_options(source: TopicConfig) -> dict[str, str]:
@@ -34,12 +35,17 @@ def read_range(spark: SparkSession, source: TopicConfig) -> DataFrame:
     return spark.read.format("kafka").options(**options).load()
 
 
-def to_messages(aggregates: DataFrame, key: str = "dimension_hash") -> DataFrame:
-    """``key, value`` columns of a Kafka writer: the row as JSON, unset fields left out."""
-    return aggregates.select(
-        F.col(key).cast("string").alias("key"),
-        F.to_json(F.struct(*aggregates.columns)).alias("value"),
-    )
+def to_messages(aggregates: DataFrame, output_format: str = "json", key: str = "dimension_hash") -> DataFrame:
+    """``key, value`` columns of a Kafka writer: the row as JSON or protobuf, unset
+    fields left out. Protobuf takes rows in the layout of the message."""
+    row = F.struct(*aggregates.columns)
+    if output_format == "json":
+        value = F.to_json(row)
+    elif output_format == "protobuf":
+        value = protobuf.to_bytes(row, "MetricAggregation", protobuf.in_jvm(aggregates.sparkSession))
+    else:
+        raise ValueError(f"unknown output format: {output_format}")
+    return aggregates.select(F.col(key).cast("string").alias("key"), value.alias("value"))
 
 
 def writer_options(sink: TopicConfig) -> dict[str, str]:

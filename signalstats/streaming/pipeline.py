@@ -9,16 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from signalstats.functions.windows import event_window_start
 from signalstats.model import DIMENSIONS, SKETCH_K, JobConfig
-from signalstats.operators.decode import decode_json, metric_rows, valid
+from signalstats.operators.decode import decode_json, metric_rows, observe_rejects, quarantine, valid
 from signalstats.operators.stats import aggregate, finalize
 from signalstats.plans.batch import describe_windows, nested
-from signalstats.sources import kafka
+from signalstats.session import ship_package
+from signalstats.sources import kafka, protobuf
+from signalstats.streaming.progress import ProgressLog
 
 Processor = Callable[[DataFrame], DataFrame]
 
@@ -74,13 +76,26 @@ def aligned_statistics(
     return describe_windows(started, minutes, dimensions, id_algorithm)
 
 
-def event_processor(config: JobConfig, decode: Processor = decode_json, id_algorithm: str = "md5") -> Processor:
-    """The whole job as one function from ``value`` payloads to aggregate rows."""
+def decoder(config: JobConfig) -> Processor:
+    """Adds ``event`` decoded from ``value`` in the configured format."""
+    if config.payload_format == "json":
+        return decode_json
+    if config.payload_format == "protobuf":
+        return protobuf.decode_protobuf
+    raise ValueError(f"unknown payload format: {config.payload_format}")
+
+
+def event_processor(config: JobConfig, decode: Processor | None = None) -> Processor:
+    """The whole job as one function from ``value`` payloads to aggregate rows.
+
+    Left-out events are counted per trigger under the name ``rejects``.
+    """
 
     def process(messages: DataFrame) -> DataFrame:
-        rows = metric_rows(valid(decode(messages)), config.metric)
+        decoded = observe_rejects((decode or decoder(config))(messages), config.metric)
+        rows = metric_rows(valid(decoded), config.metric)
         return nested(
-            window_statistics(rows, config.window_minutes, config.watermark_minutes, id_algorithm=id_algorithm)
+            window_statistics(rows, config.window_minutes, config.watermark_minutes, id_algorithm=config.id_algorithm)
         )
 
     return process
@@ -118,12 +133,17 @@ def to_memory(stream: DataStreamWriter, name: str) -> StreamingQuery:
     return stream.format("memory").queryName(name).start()
 
 
-def to_kafka(result: DataFrame, config: JobConfig) -> StreamingQuery:
+def to_kafka(result: DataFrame, config: JobConfig, mode: str | None = None, name: str | None = None) -> StreamingQuery:
     """Aggregate rows to the configured topic, keyed by dimension hash."""
     if config.sink is None or config.checkpoint_path is None:
         raise ValueError("a topic sink needs a sink topic and a checkpoint path")
+    checkpoint = config.checkpoint_path if name is None else f"{config.checkpoint_path}/{name}"
     stream = writer(
-        kafka.to_messages(result), config.output_mode, config.checkpoint_path, config.query_name, config.trigger_interval
+        kafka.to_messages(result, config.output_format),
+        mode or config.output_mode,
+        checkpoint,
+        name or config.query_name,
+        config.trigger_interval,
     )
     return stream.format("kafka").options(**kafka.writer_options(config.sink)).start()
 
@@ -137,22 +157,65 @@ def to_table(
     every: str | None = None,
     drain: bool = True,
 ) -> StreamingQuery:
-    """Parquet folder. Append mode uses Spark's file sink; the other modes write
-    each trigger to its own ``batch=`` folder, replaced as a whole if the trigger
-    runs again after a failure."""
+    """Parquet folder. Append mode uses Spark's file sink. Update mode writes each
+    trigger to its own ``batch=`` folder, replaced as a whole if the trigger runs
+    again after a failure. Complete mode replaces the one table that it keeps."""
     stream = writer(result, mode, checkpoint, name, every, drain)
     if output_mode(mode) == "append":
         return stream.format("parquet").option("path", path).start()
+    complete = output_mode(mode) == "complete"
 
     def write(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        rows.write.mode("overwrite").parquet(path if complete else f"{path}/batch={batch}")
 
     return stream.foreachBatch(write).start()
 
 
-def run_job(spark, config: JobConfig, decode: Processor = decode_json) -> StreamingQuery:
-    """Topic in, statistics, topic out."""
+#: Starts a query that writes rows in a mode under a name.
+Sink = Callable[[DataFrame, str, str], StreamingQuery]
+
+
+def start_job(messages: DataFrame, config: JobConfig, sink: Sink, drain: bool = False) -> list[StreamingQuery]:
+    """Start the queries of a job: statistics, their final rows, malformed payloads.
+
+    A window is final when the watermark has passed its start; with
+    ``final_rows`` a second query in append mode then writes its keys once more, in
+    the first trigger after that. Both queries read the source on their own and keep
+    built-in state only.
+    """
+    name = config.query_name
+    queries = [sink(event_processor(config)(messages), config.output_mode, name)]
+    if config.final_rows and output_mode(config.output_mode) == "update":
+        rows = metric_rows(valid(decoder(config)(messages)), config.metric)
+        final = window_statistics(
+            rows, config.window_minutes, config.watermark_minutes, id_algorithm=config.id_algorithm
+        )
+        queries.append(sink(nested(final), "append", f"{name}.final"))
+    if config.reject_path:
+        rejects = quarantine(decoder(config)(messages))
+        queries.append(
+            to_table(
+                rejects,
+                f"{config.reject_path}/rows",
+                f"{config.reject_path}/checkpoint",
+                name=f"{name}.rejects",
+                every=config.trigger_interval,
+                drain=drain,
+            )
+        )
+    return queries
+
+
+def run_job(spark: SparkSession, config: JobConfig) -> StreamingQuery:
+    """Topic in, statistics, topic out; the query of the statistics."""
     if config.source is None:
         raise ValueError("no source topic configured")
-    result = event_processor(config, decode)(kafka.read_stream(spark, config.source))
-    return to_kafka(result, config)
+    if "protobuf" in (config.payload_format, config.output_format) or config.id_algorithm == "murmur3":
+        ship_package(spark)
+    if config.progress_path:
+        spark.streams.addListener(ProgressLog(spark, config.progress_path))
+
+    def sink(rows: DataFrame, mode: str, name: str) -> StreamingQuery:
+        return to_kafka(rows, config, mode, None if name == config.query_name else name)
+
+    return start_job(kafka.read_stream(spark, config.source), config, sink)[0]

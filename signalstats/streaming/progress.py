@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import json
-from collections import deque
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 # Offsets are JSON whose shape depends on the source, so they stay text.
 PROGRESS = """
@@ -15,7 +14,7 @@ PROGRESS = """
     inputRowsPerSecond DOUBLE, processedRowsPerSecond DOUBLE, durationMs MAP<STRING, BIGINT>,
     sources ARRAY<STRUCT<description STRING, startOffset STRING, endOffset STRING, numInputRows BIGINT,
                          inputRowsPerSecond DOUBLE, processedRowsPerSecond DOUBLE>>,
-    sink STRUCT<description STRING>
+    sink STRUCT<description STRING>, observedMetrics MAP<STRING, MAP<STRING, BIGINT>>
 """
 
 
@@ -44,35 +43,66 @@ def progress_rows(reports: DataFrame, column: str = "progress") -> DataFrame:
             F.col("durationMs").alias("durations"),
             "sources",
             F.col("sink.description").alias("sink"),
+            F.col("observedMetrics").alias("observed"),
         )
     )
 
 
+REPORTS = "kind STRING, query_id STRING, query STRING, report STRING"
+
+
 class ProgressLog(StreamingQueryListener):
-    """Collects the latest progress reports and the starts and ends of queries."""
+    """Appends every progress report, start and end of the session's queries to a table.
+
+    Reports are written in groups of ``every``, and all that are left when a query
+    ends or :meth:`flush` is called; nothing is dropped.
+    """
 
-    def __init__(self, keep: int = 10_000):
-        self._reports: deque[str] = deque(maxlen=keep)
-        self.started: deque[str] = deque(maxlen=keep)
-        self.failures: deque[str] = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession, path: str, every: int = 20):
+        self._spark, self._path, self._every = spark, path, every
+        self._waiting: list[tuple] = []
+        self._changed = threading.Condition()
+        self._ended: set[str] = set()
+
+    def _add(self, kind: str, query_id, query: str | None, report: str | None) -> None:
+        with self._changed:
+            self._waiting.append((kind, str(query_id), query, report))
+            full = kind == "terminated" or len(self._waiting) >= self._every
+        if full:
+            self.flush()
 
     def onQueryStarted(self, event):
-        self.started.append(event.name or str(event.id))
+        self._add("started", event.id, event.name, None)
 
     def onQueryProgress(self, event):
-        self._reports.append(event.progress.json)
+        self._add("progress", event.progress.id, event.progress.name, event.progress.json)
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        if event.exception is not None:
-            self.failures.append(event.exception)
-
-    def rows(self, spark: SparkSession) -> DataFrame:
-        return progress_rows(spark.createDataFrame([(r,) for r in self._reports], "progress STRING"))
-
-    def rates(self) -> list[tuple[str, float, float]]:
-        """Query, input and processed rows per second, without a Spark job."""
-        reports = [json.loads(r) for r in self._reports]
-        return [(r["name"], r.get("inputRowsPerSecond", 0.0), r.get("processedRowsPerSecond", 0.0)) for r in reports]
+        self._add("terminated", event.id, None, event.exception)
+        with self._changed:
+            self._ended.add(str(event.id))
+            self._changed.notify_all()
+
+    def flush(self) -> None:
+        with self._changed:
+            rows, self._waiting = self._waiting, []
+        if rows:
+            table = self._spark.createDataFrame(rows, REPORTS)
+            table.coalesce(1).write.mode("append").parquet(self._path)
+
+    def wait(self, query: StreamingQuery, seconds: float = 60.0) -> None:
+        """Until the end of a query, and so all its reports, are in the table."""
+        with self._changed:
+            if not self._changed.wait_for(lambda: str(query.id) in self._ended, seconds):
+                raise TimeoutError(f"no end of query {query.id} within {seconds} s")
+
+    def table(self) -> DataFrame:
+        """``kind`` (``started``, ``progress``, ``terminated``), ``query_id, query, report``."""
+        self.flush()
+        return self._spark.read.schema(REPORTS).parquet(self._path)
+
+    def rows(self) -> DataFrame:
+        return progress_rows(self.table().where("kind = 'progress'"), "report")

@@ -83,7 +83,9 @@ ROUNDED = [
     (0.0049999999999999996, 0.0),
     (-7.0, -7.0),
     (1e15 + 0.3, 1e15 + 0.3),
-    (float("inf"), 9223372036854775807 / 100),
+    (float("inf"), float("inf")),
+    (1e17, 1e17),
+    (-1e18, -1e18),
 ]
 
 

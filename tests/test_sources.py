@@ -91,20 +91,38 @@ LINES = [
     ("a", '{"Event":"org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart","executionId":3,"time":100}'),
     ("a", '{"Event":"org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionEnd","executionId":3,"time":350}'),
     ("a", '{"Event":"org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart","executionId":4,"time":100}'),
+    ("a", '{"Event":"org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionEnd","executionId":5,"time":90}'),
+    ("b", '{"Event":"org.apache.spark.sql.streaming.StreamingQueryListener$QueryTerminatedEvent","id":"i","runId":"r"}'),
     ("a", "not an event"),
 ]
 
 
+def test_compressed_logs_are_read(spark, tmp_path):
+    zstandard = pytest.importorskip("zstandard")
+    lines = [line for _, line in LINES]
+    frames = [zstandard.ZstdCompressor().compress(f"{line}\n".encode()) for line in lines]
+    (tmp_path / "eventlog_v2_app-1").mkdir()
+    (tmp_path / "eventlog_v2_app-1" / "events_1_app-1.zstd").write_bytes(b"".join(frames))
+    (tmp_path / "app-2.zstd.inprogress").write_bytes(b"".join(frames))
+    (tmp_path / "app-3").write_text("\n".join(lines))
+    log = eventlog.read_event_log(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in log.collect()) == sorted((f"app-{i}", x) for i in (1, 2, 3) for x in lines)
+    ends = eventlog.lifecycle_events(log).where("event = 'QueryTerminatedEvent'").collect()
+    assert [r.time for r in ends] == [None] * 3
+
+
 def test_metrics_of_log_lines(spark):
     log = spark.createDataFrame(LINES, "app string, line string")
     counts = sorted(map(tuple, ops_metrics.executor_counts(log).collect()))
     assert counts == [("a", 20, 2), ("a", 4000000, 1), ("a", 9000000, 2), ("b", 5, 1)]
-    assert [tuple(r) for r in ops_metrics.sql_durations(log).collect()] == [("a", 3, 100, 350, 250)]
+    durations = sorted(map(tuple, ops_metrics.sql_durations(log).collect()), key=repr)
+    assert durations == [("a", 3, 100, 350, 250), ("a", 4, 100, None, None), ("a", 5, None, 90, None)]
     times = {r.event: (r.first, r.events) for r in ops_metrics.lifecycle(log).collect()}
     assert times == {
         "SparkListenerApplicationStart": (10, 1),
         "SparkListenerTaskGettingResult": (77, 1),
         "QueryStartedEvent": (1500, 1),
+        "QueryTerminatedEvent": (None, 1),
     }
 
 

@@ -13,7 +13,6 @@ from signalstats.sources.tables import read_json_values
 from signalstats.streaming import pipeline
 from signalstats.streaming.progress import ProgressLog
 from signalstats.streaming.runner import run_forever
-from signalstats.streaming.stateful import window_statistics_with_timeout
 
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 CONFIG = JobConfig(window_minutes=5, watermark_minutes=10)
@@ -46,14 +45,23 @@ def test_golden_update_mode(spark, conf, tmp_path, no_data):
     assert round(average, 2) == GOLDEN_AVG_P99
 
 
-@pytest.mark.parametrize("no_data, rows, average", [("false", 6, GOLDEN_AVG_P99), ("true", 10, 6.46)])
-def test_golden_with_timeout(spark, conf, tmp_path, no_data, rows, average):
-    """With no-data triggers, four windows time out and are emitted once more."""
-    conf(NO_DATA, no_data)
-    stream = metric_stream(spark, tmp_path, in_tens(pdd_events()))
-    result = run(spark, window_statistics_with_timeout(stream, 5, 10), "update", f"timeout_{no_data}").collect()
-    assert len(result) == rows
-    assert round(sum(r.p99 for r in result) / rows, 2) == average
+def test_golden_with_final_rows(spark, tmp_path):
+    """The rows of update mode, and once more those of the four windows that close."""
+    config = JobConfig(window_minutes=5, watermark_minutes=10, final_rows=True, query_name="golden_final")
+    tables = {}
+
+    def sink(rows, mode, name):
+        tables[name] = new_folder(spark, name)
+        return pipeline.to_table(rows, tables[name], new_folder(spark, "checkpoint"), mode, name)
+
+    for query in pipeline.start_job(source(spark, tmp_path, in_tens(pdd_events())), config, sink):
+        query.awaitTermination()
+    touched = spark.read.parquet(tables["golden_final"])
+    final = spark.read.parquet(tables["golden_final.final"])
+    assert (touched.count(), final.count()) == (6, 4)
+    p99 = [r[0] for r in touched.select("stats.p99").union(final.select("stats.p99")).collect()]
+    assert round(sum(p99) / 10, 2) == 6.46
+    check_windows(batch.flattened(final).collect(), FINAL_WINDOWS[:4])
 
 
 def check_windows(rows, expected):
@@ -73,18 +81,10 @@ def test_append_mode_emits_windows_behind_the_watermark(spark, tmp_path):
     check_windows(rows, FINAL_WINDOWS[:4])
 
 
-def test_append_mode_with_timeout(spark, tmp_path):
-    stream = metric_stream(spark, tmp_path, in_tens(pdd_events()))
-    rows = run(spark, window_statistics_with_timeout(stream, 5, 10, mode="append"), "append", "timed_out").collect()
-    check_windows(rows, FINAL_WINDOWS[:4])
-
-
 def test_complete_mode(spark, tmp_path):
     stream = metric_stream(spark, tmp_path, in_tens(pdd_events()))
     rows = run(spark, pipeline.window_statistics(stream, 5, 10), "complete", "completed").collect()
     check_windows(rows, FINAL_WINDOWS)
-    with pytest.raises(ValueError):
-        window_statistics_with_timeout(stream, 5, 10, mode="complete")
 
 
 def test_aligned_windows_agree_when_the_length_divides_an_hour(spark, tmp_path):
@@ -127,12 +127,6 @@ def test_late_rows_are_dropped(spark, tmp_path):
     assert [r["max"] for r in rows] == [1.0, 3.0]
 
 
-def test_late_rows_are_dropped_with_timeout(spark, tmp_path):
-    stream = metric_stream(spark, tmp_path, late_chunks())
-    rows = run(spark, window_statistics_with_timeout(stream, 5, 10, mode="append"), "append", "late_timeout").collect()
-    assert sorted(r["max"] for r in rows) == [1.0, 3.0]
-
-
 def random_chunks(seed=7, chunks=4, size=400):
     rng = random.Random(seed)
     start = 1_600_000_200_000
@@ -154,14 +148,10 @@ def random_chunks(seed=7, chunks=4, size=400):
     return [*made, [pdd_event(last, last, "push", 1.0)], [pdd_event(last + 1, last + 1, "push2", 1.0)]]
 
 
-@pytest.mark.parametrize("form", ["builtin", "timeout"])
-def test_drained_stream_equals_batch(spark, tmp_path, form):
+def test_drained_stream_equals_batch(spark, tmp_path):
     chunks = random_chunks()
     stream = metric_stream(spark, tmp_path, chunks)
-    if form == "builtin":
-        result = pipeline.window_statistics(stream, 5, 10)
-    else:
-        result = window_statistics_with_timeout(stream, 5, 10, mode="append")
+    result = pipeline.window_statistics(stream, 5, 10)
     path, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
     query = pipeline.to_table(result, path, checkpoint, "append", drain=True)
     query.awaitTermination()
@@ -237,18 +227,36 @@ def test_run_forever_gives_up(spark, tmp_path):
     spark.streams.resetTerminated()
 
 
-def test_progress_log(spark, tmp_path):
-    progress = ProgressLog()
-    spark.streams.addListener(progress)
+def test_progress_log_keeps_every_report(spark, tmp_path):
+    log = ProgressLog(spark, new_folder(spark, "progress"), every=2)
+    spark.streams.addListener(log)
     try:
-        result = pipeline.window_statistics(metric_stream(spark, tmp_path, in_tens(pdd_events())), 5, 10)
+        process = pipeline.event_processor(CONFIG)
         path, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
-        pipeline.to_table(result, path, checkpoint, "update", name="watched").awaitTermination()
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-        rows = progress.rows(spark).filter("query = 'watched'").collect()
+        events = [*pdd_events(), "{not json", *call_state_events()]
+        query = pipeline.to_table(
+            process(source(spark, tmp_path, in_tens(events))), path, checkpoint, "update", name="watched"
+        )
+        query.awaitTermination()
+        log.wait(query)
     finally:
-        spark.streams.removeListener(progress)
-    assert "watched" in progress.started
-    assert sum(r.input_rows for r in rows) == 22
+        spark.streams.removeListener(log)
+    kinds = [r.kind for r in log.table().where(f"query_id = '{query.id}'").collect()]
+    assert kinds.count("started") == kinds.count("terminated") == 1
+    rows = log.rows().where("query = 'watched'").collect()
+    assert len(rows) == kinds.count("progress") >= 3
+    assert sum(r.input_rows for r in rows) == len(events)
     assert all(r.sources[0].description.startswith("FileStreamSource") for r in rows)
-    assert any(r.processed_rate > 0 for r in rows) and any(rate > 0 for _, _, rate in progress.rates())
+    assert sum(r.observed["rejects"]["failed_to_parse"] for r in rows if r.observed) == 1
+
+
+def test_complete_mode_keeps_one_table(spark, tmp_path):
+    result = pipeline.window_statistics(metric_stream(spark, tmp_path, in_tens(pdd_events())), 5, 10)
+    path, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
+    pipeline.to_table(result, path, checkpoint, "complete").awaitTermination()
+    check_windows(spark.read.parquet(path).collect(), FINAL_WINDOWS)
+
+
+def test_unknown_formats_are_refused():
+    with pytest.raises(ValueError, match="xml"):
+        pipeline.decoder(JobConfig(payload_format="xml"))
