@@ -24,7 +24,7 @@ from signalstats.functions import (
     sd,
     series_id,
 )
-from signalstats.model import DIMENSIONS
+from signalstats.model import DIMENSIONS, ENUMS
 from signalstats.session import ship_package
 from signalstats.sources.tables import read_events
 
@@ -108,9 +108,71 @@ def dimension_hashes(spark, sf_dir):
     return events.select("event_id", dimension_hash({d: F.col(d) for d in DIMENSIONS}).alias("dimension_hash"))
 
 
-@query()
+_TWO_64 = "18446744073709551616::UHUGEINT"
+
+
+def _sql_times(x: str, factor: int) -> str:
+    """Product modulo 2**64."""
+    return f"((({x}) * {factor}::UHUGEINT) % {_TWO_64})"
+
+
+def _sql_rotl(x: str, bits: int) -> str:
+    return f"((({x}) * {2**bits}::UHUGEINT) % {_TWO_64} + (({x}) // {2 ** (64 - bits)}::UHUGEINT))"
+
+
+def _sql_shift_xor(x: str) -> str:
+    return f"xor({x}, ({x}) // {2**33}::UHUGEINT)"
+
+
+def sql_murmur3(source: str, columns: str) -> str:
+    """``columns`` and the 128-bit hash as an id of the bytes (at most 15, as numbers)
+    in the list ``b`` of the rows of ``source``."""
+    c1, c2 = 0x87C37B91114253D5, 0x4CF5AD432745937F
+
+    def word(first: int) -> str:
+        return " + ".join(f"coalesce(b[{first + i}], 0)::UHUGEINT * {256 ** (i - 1)}::UHUGEINT" for i in range(1, 9))
+
+    def step(select: str, rows: str) -> str:
+        return f"SELECT *, {select} FROM ({rows})"
+
+    rows = step(f"{word(0)} AS k1, {word(8)} AS k2, len(b)::UHUGEINT AS n", source)
+    rows = step(f"{_sql_times('k1', c1)} AS m1, {_sql_times('k2', c2)} AS m2", rows)
+    rows = step(
+        f"xor({_sql_times(_sql_rotl('m1', 31), c2)}, n) AS u, xor({_sql_times(_sql_rotl('m2', 33), c1)}, n) AS v", rows
+    )
+    rows = step(f"(u + v) % {_TWO_64} AS s, (u + 2 * v) % {_TWO_64} AS t", rows)
+    rows = step(f"{_sql_shift_xor('s')} AS s1, {_sql_shift_xor('t')} AS t1", rows)
+    rows = step(f"{_sql_times('s1', 0xFF51AFD7ED558CCD)} AS s2, {_sql_times('t1', 0xFF51AFD7ED558CCD)} AS t2", rows)
+    rows = step(f"{_sql_shift_xor('s2')} AS s3, {_sql_shift_xor('t2')} AS t3", rows)
+    rows = step(f"{_sql_times('s3', 0xC4CEB9FE1A85EC53)} AS s4, {_sql_times('t3', 0xC4CEB9FE1A85EC53)} AS t4", rows)
+    rows = step(f"{_sql_shift_xor('s4')} AS s5, {_sql_shift_xor('t4')} AS t5", rows)
+    rows = step(f"(s5 + t5) % {_TWO_64} AS h1, (s5 + 2 * t5) % {_TWO_64} AS h2", rows)
+    digits = " || ".join(
+        f"printf('%02x', CAST(({h} // {256**i}::UHUGEINT) % 256 AS INTEGER))" for h in ("h1", "h2") for i in range(8)
+    )
+    return (
+        f"SELECT {columns}, translate(rtrim(to_base64(unhex({digits})), '='), '+/', '-_') AS dimension_hash FROM ({rows})"
+    )
+
+
+def _sql_number(enum: str, column: str) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{name}' THEN {n}" for n, name in ENUMS[enum].items()) + " END"
+
+
+# Protobuf bytes of the set dimensions: tag and number, the route with its length.
+_SQL_DIMENSION_BYTES = f"""
+    SELECT DISTINCT country, direction, carrier, route,
+           CASE WHEN country IS NULL THEN [] ELSE [8, {_sql_number("Country", "country")}] END
+           || CASE WHEN direction IS NULL THEN [] ELSE [16, {_sql_number("Direction", "direction")}] END
+           || CASE WHEN carrier IS NULL THEN [] ELSE [24, {_sql_number("Carrier", "carrier")}] END
+           || CASE WHEN route IS NULL THEN []
+                   ELSE [34, CAST(length(route) AS INTEGER)] || list_transform(string_split(route, ''), lambda c: ascii(c)) END AS b
+    FROM {SQL_CALLS}"""
+
+
+@query(sql_murmur3(_SQL_DIMENSION_BYTES, ", ".join(DIMENSIONS)))
 def dimension_hash_murmur3(spark, sf_dir):
-    """Ids equal to those of existing topics; no SQL engine here has this hash."""
+    """Ids equal to those of existing topics."""
     ship_package(spark)
     events = call_events(spark, sf_dir).select("event_dimensions.*").distinct()
     dims = {d: F.col(d) for d in DIMENSIONS}

@@ -9,10 +9,9 @@ once per output row and not once per event.
 
 from __future__ import annotations
 
-import base64
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -103,40 +102,69 @@ def series_id(*key: Column, algorithm: str = "md5") -> Column:
 def _murmur3_id():
     @F.arrow_udf("string")
     def murmur3_id(payload: pa.Array) -> pa.Array:
-        ids = [None if p is None else base64.urlsafe_b64encode(murmur3_128(p)).rstrip(b"=").decode() for p in payload.to_pylist()]
-        return pa.array(ids, pa.string())
+        digests = murmur3_128(payload)
+        # 16 bytes are 22 base64url characters: 21 of six bits and one of two.
+        bits = np.unpackbits(digests, axis=1)
+        groups = np.pad(bits, ((0, 0), (0, 4))).reshape(len(digests), 22, 6)
+        letters = _BASE64[groups @ (1 << np.arange(5, -1, -1))]
+        offsets = np.arange(0, 22 * len(digests) + 1, 22, dtype=np.int32)
+        texts = pa.StringArray.from_buffers(len(digests), pa.py_buffer(offsets), pa.py_buffer(letters.tobytes()))
+        return pc.if_else(payload.is_valid(), texts, pa.scalar(None, pa.string()))
 
     return murmur3_id
 
 
-def murmur3_128(data: bytes, seed: int = 0) -> bytes:
-    """MurmurHash3 x64 128 (public domain algorithm) of one byte string."""
-    mask = (1 << 64) - 1
-    c1, c2 = 0x87C37B91114253D5, 0x4CF5AD432745937F
-
-    def rotl(x: int, r: int) -> int:
-        return (x << r | x >> 64 - r) & mask
-
-    def mix(x: int) -> int:
-        x = (x ^ x >> 33) * 0xFF51AFD7ED558CCD & mask
-        x = (x ^ x >> 33) * 0xC4CEB9FE1A85EC53 & mask
-        return x ^ x >> 33
-
-    h1 = h2 = seed
-    whole = len(data) // 16 * 16
-    for k1, k2 in np.frombuffer(data[:whole], "<u8").reshape(-1, 2).tolist():
-        h1 ^= rotl(k1 * c1 & mask, 31) * c2 & mask
-        h1 = (rotl(h1, 27) + h2) * 5 + 0x52DCE729 & mask
-        h2 ^= rotl(k2 * c2 & mask, 33) * c1 & mask
-        h2 = (rotl(h2, 31) + h1) * 5 + 0x38495AB5 & mask
-    # Zero padding contributes nothing, so the tail can be read as two words.
-    k1, k2 = np.frombuffer(data[whole:].ljust(16, b"\0"), "<u8").tolist()
-    h2 ^= rotl(k2 * c2 & mask, 33) * c1 & mask
-    h1 ^= rotl(k1 * c1 & mask, 31) * c2 & mask
-    h1, h2 = h1 ^ len(data), h2 ^ len(data)
-    h1 = h1 + h2 & mask
-    h2 = h2 + h1 & mask
+_BASE64 = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", np.uint8)
+
+
+def murmur3_128(payloads: pa.Array, seed: int = 0) -> np.ndarray:
+    """MurmurHash3 x64 128 (public domain algorithm) of all byte strings, 16 bytes each.
+
+    Works on the n-th 16-byte block of every string at once; NULL counts as empty.
+    """
+    lengths = pc.fill_null(pc.binary_length(payloads), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    _, where, data = payloads.buffers()
+    offsets = np.frombuffer(where, np.int32)[payloads.offset : payloads.offset + len(payloads)].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    c1, c2 = np.uint64(0x87C37B91114253D5), np.uint64(0x4CF5AD432745937F)
+
+    def rotl(x: np.ndarray, r: int) -> np.ndarray:
+        return x << np.uint64(r) | x >> np.uint64(64 - r)
+
+    def mix(x: np.ndarray) -> np.ndarray:
+        x = (x ^ x >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
+        x = (x ^ x >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
+        return x ^ x >> np.uint64(33)
+
+    def block(rows: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two words from position ``at`` on, zeros beyond the end of the string."""
+        place = at + np.arange(16)
+        inside = place < lengths[rows, None]
+        read = np.where(inside, offsets[rows, None] + place, 0)
+        taken = np.where(inside, raw[read], 0) if len(raw) else np.zeros(inside.shape)
+        words = np.ascontiguousarray(taken, np.uint8).view("<u8")
+        return words[:, 0], words[:, 1]
+
+    h1 = np.full(len(lengths), seed, np.uint64)
+    h2 = h1.copy()
+    order = np.argsort(-lengths, kind="stable")
+    whole = lengths[order] // 16
+    for at in range(int(whole[0]) if len(whole) else 0):
+        rows = order[: np.searchsorted(-whole, -at)]
+        k1, k2 = block(rows, 16 * at)
+        a, b = h1[rows], h2[rows]
+        a = (rotl(a ^ rotl(k1 * c1, 31) * c2, 27) + b) * np.uint64(5) + np.uint64(0x52DCE729)
+        b = (rotl(b ^ rotl(k2 * c2, 33) * c1, 31) + a) * np.uint64(5) + np.uint64(0x38495AB5)
+        h1[rows], h2[rows] = a, b
+    # Zero padding contributes nothing, so the tails can be read as two words.
+    for tail in np.unique(lengths // 16).tolist():
+        rows = np.flatnonzero(lengths // 16 == tail)
+        k1, k2 = block(rows, 16 * tail)
+        h1[rows] ^= rotl(k1 * c1, 31) * c2
+        h2[rows] ^= rotl(k2 * c2, 33) * c1
+    h1, h2 = h1 ^ lengths.view(np.uint64), h2 ^ lengths.view(np.uint64)
+    h1 = h1 + h2
+    h2 = h2 + h1
     h1, h2 = mix(h1), mix(h2)
-    h1 = h1 + h2 & mask
-    h2 = h2 + h1 & mask
-    return h1.to_bytes(8, "little") + h2.to_bytes(8, "little")
+    h1 = h1 + h2
+    return np.stack([h1, h2 + h1], axis=1).astype("<u8").view(np.uint8)

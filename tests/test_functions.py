@@ -2,6 +2,7 @@ import base64
 import datetime as dt
 import math
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -156,7 +157,10 @@ def test_grouping_key_and_series_id(spark):
 def test_murmur3_equals_the_jvm_library(spark, length):
     data = bytes((i * 37 + 200) % 256 for i in range(length))
     hashing = spark._jvm.com.google.common.hash.Hashing.murmur3_128()
-    assert murmur3_128(data) == bytes(hashing.hashBytes(bytearray(data)).asBytes())
+    batch = pa.array([b"x", data, None, data + b"y" * 40, data], pa.binary()).slice(1)
+    found = [bytes(row) for row in murmur3_128(batch)]
+    assert found[0] == found[3] == bytes(hashing.hashBytes(bytearray(data)).asBytes())
+    assert found[2] == bytes(hashing.hashBytes(bytearray(data + b"y" * 40)).asBytes())
 
 
 def test_murmur3_column(spark):
