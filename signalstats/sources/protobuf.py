@@ -1,8 +1,7 @@
 """Protobuf payloads.
 
-With the ``spark-protobuf`` package on the class path the JVM decodes them. If it
-is missing, Arrow batches go through the ``protobuf`` Python package instead;
-without either, :func:`available` is False.
+With the ``spark-protobuf`` package among the session's packages or jars the JVM
+decodes them; otherwise Arrow batches go through :mod:`signalstats.sources.wire`.
 """
 
 from __future__ import annotations
@@ -12,33 +11,22 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from signalstats.model import ENUMS, MESSAGES, message_schema
+from signalstats.sources import wire
 
 try:
-    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
-    from google.protobuf.message import DecodeError
+    from google.protobuf import descriptor_pb2
 except ImportError:  # pragma: no cover
     descriptor_pb2 = None
 
 _PACKAGE = "signalstats"
 
 
-def available() -> bool:
-    """Whether payloads can be handled on this installation."""
-    return descriptor_pb2 is not None
-
-
 def in_jvm(spark: SparkSession) -> bool:
-    """Whether the ``spark-protobuf`` package is on the class path."""
-    jvm = spark.sparkContext._jvm
-    try:
-        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
-        loader.loadClass("org.apache.spark.sql.protobuf.ProtobufDataToCatalyst")
-    except Exception:  # py4j wraps ClassNotFoundException
-        return False
-    return True
+    """Whether the JVM package is there, and what describes the messages to it."""
+    launched = (spark.conf.get(key, "") or "" for key in ("spark.jars.packages", "spark.jars"))
+    return descriptor_pb2 is not None and any("spark-protobuf" in names for names in launched)
 
 
 @cache
@@ -70,65 +58,6 @@ def descriptor_set() -> bytes:
     return descriptor_pb2.FileDescriptorSet(file=[_file()]).SerializeToString()
 
 
-@cache
-def _message_class(message: str):
-    pool = descriptor_pool.DescriptorPool()
-    pool.Add(_file())
-    return message_factory.GetMessageClass(pool.FindMessageTypeByName(f"{_PACKAGE}.{message}"))
-
-
-@cache
-def _readers(message: str) -> dict:
-    """How to turn the value of each field into its column value."""
-
-    def reader(kind: str):
-        if kind in MESSAGES:
-            nested = _readers(kind)
-            return lambda value: _to_row(value, nested)
-        return ENUMS[kind].get if kind in ENUMS else None
-
-    return {name: reader(kind) for name, (_, kind) in MESSAGES[message].items()}
-
-
-def _to_row(message, readers: dict) -> dict:
-    """Set fields only; the rest stay NULL."""
-    row = {}
-    for field, value in message.ListFields():
-        name = field.name
-        read = readers[name]
-        row[name] = value if read is None else read(value)
-    return row
-
-
-@cache
-def _numbers(enum: str) -> dict[str, int]:
-    return {name: number for number, name in ENUMS[enum].items()}
-
-
-def _fill(target, row: dict, message: str):
-    """Set the non-NULL fields of ``row``."""
-    for name, (_, kind) in MESSAGES[message].items():
-        value = row.get(name)
-        if value is None:
-            continue
-        if kind in MESSAGES:
-            nested = getattr(target, name)
-            nested.SetInParent()
-            _fill(nested, value, kind)
-        else:
-            setattr(target, name, _numbers(kind)[value] if kind in ENUMS else value)
-    return target
-
-
-def _parse(message: str, payload: bytes | None) -> dict | None:
-    if payload is None:
-        return None
-    try:
-        return _to_row(_message_class(message).FromString(payload), _readers(message))
-    except DecodeError:
-        return None
-
-
 def from_bytes(payload: Column, message: str = "CallEvent", jvm: bool = False) -> Column:
     """Payload to ``STRUCT``; NULL when it cannot be parsed."""
     if jvm:
@@ -140,12 +69,9 @@ def from_bytes(payload: Column, message: str = "CallEvent", jvm: bool = False) -
             options={"mode": "PERMISSIVE"},
             binaryDescriptorSet=descriptor_set(),
         )
-    schema = message_schema(message)
-    arrow_type = to_arrow_type(schema)
-
-    @F.arrow_udf(schema)
+    @F.arrow_udf(message_schema(message))
     def parse(payloads: pa.Array) -> pa.Array:
-        return pa.array([_parse(message, p) for p in payloads.to_pylist()], arrow_type)
+        return wire.read(payloads, message)
 
     # Keeps the optimizer from copying the call into filters on the result, which
     # would send every payload through Python once more.
@@ -161,8 +87,7 @@ def to_bytes(row: Column, message: str = "CallEvent", jvm: bool = False) -> Colu
 
     @F.arrow_udf("binary")
     def serialise(rows: pa.Array) -> pa.Array:
-        new = _message_class(message)
-        return pa.array([None if r is None else _fill(new(), r, message).SerializeToString() for r in rows.to_pylist()], pa.binary())
+        return wire.write(rows, message)
 
     return serialise(row)
 
