@@ -20,6 +20,8 @@ _SAMPLED = np.uint64(int(0.3 * 2**64))
 #: Shingles are counted by the first 20 bits of their hash; the global order follows these counts.
 _BUCKET_BITS = 20
 _LOW_BITS = np.uint64(64 - _BUCKET_BITS)
+#: Rows of three numbers that are broadcast at most.
+_BROADCAST_ROWS = 1_000_000
 #: Candidates of one probe that share a trie.
 _TRIE = 256
 
@@ -390,7 +392,11 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         .where(F.col("sampled") - F.coalesce("repeated", F.lit(0)) < prefix)
         .select("set_a", "row.id", "row.mark")
     )
-    texts = stored(rows.join(stored(able, "able-classes"), ["id", "mark"]).select("set_a", "text"), "able-texts")
+    able = stored(able, "able-classes")
+    # Up to a size that fits every executor the few rows go to the texts, not the texts to them.
+    few = able.limit(_BROADCAST_ROWS + 1).count() <= _BROADCAST_ROWS
+    named = rows.join(F.broadcast(able) if few else able, ["id", "mark"])
+    texts = stored(named.select("set_a", "text"), "able-texts")
 
     counted = texts.mapInArrow(_bucket_counts(length), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n"))
     table = counted.toArrow()
@@ -438,9 +444,12 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         "set_a", "n", F.coalesce("root", "set_a").alias("root"), F.explode("tokens.token").alias("token")
     )
     apart = _able(stored(named, "named-shingles"), percent)
+    # Of the shared shingles of a set the rarest come first; ``left`` are those from here on.
     looked_up = stored(
         apart.select(
-            "set_a", "root", F.explode(F.expr("slice(tokens, 1, cast(c - need + 1 as int)).token")).alias("token")
+            "set_a", "n", "root", "c", F.posexplode(F.expr("slice(tokens, 1, cast(c - need + 1 as int)).token"))
+        ).select(
+            "set_a", "n", "root", F.col("col").alias("token"), (F.col("c") - F.col("pos")).alias("left")
         ),
         "looked-up-shingles",
     )
@@ -454,24 +463,29 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         "mixed-shingles",
     )
     across = stored(looked_up.join(mixed, "token"), "mixed-postings")
-    others = across.where("root != main").select("token", F.col("set_a").alias("x"), F.col("root").alias("x_root"))
+    others = across.where("root != main").select(
+        "token", *(F.col(c).alias(f"x_{c}") for c in ("set_a", "n", "root", "left"))
+    )
+    # Two sets with enough in common meet at a shingle from which on both have as many left.
+    enough = _common("x_n", "n", percent)
     pairs = stored(
         others.join(across, "token")
-        .where("x_root != root AND (root = main OR x < set_a)")
-        .select("x", F.col("set_a").alias("y"))
+        .where("x_root != root AND (root = main OR x_set_a < set_a)")
+        .where(100 * F.least("x_n", "n") >= percent * F.greatest("x_n", "n"))
+        .where((F.col("x_left") >= enough) & (F.col("left") >= enough))
+        .select(F.col("x_set_a").alias("x"), F.col("set_a").alias("y"))
         .distinct(),
         "pairs",
     )
     sets = apart.select("set_a", "n", F.col("tokens.token").alias("tokens"))
     x, y = (sets.select(*(F.col(c).alias(f"{side}_{c}") for c in sets.columns)) for side in "xy")
-    enough = (
+    alike = (
         pairs.join(x, F.col("x") == F.col("x_set_a"))
         .join(y, F.col("y") == F.col("y_set_a"))
-        .where(100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
         .where(F.size(F.array_intersect("x_tokens", "y_tokens")) >= _common("x_n", "y_n", percent))
         .select(F.col("x").alias("a"), F.col("y").alias("b"))
     )
-    more = stored(_verified(stored(enough, "pairs"), texts, length, percent, ranks), "more-links")
+    more = stored(_verified(stored(alike, "alike-pairs"), texts, length, percent, ranks), "more-links")
     labels = graph.components(links.unionByName(more)) if more.take(1) else labels
 
     roots = labels.select(F.col("node").alias("set_a"), "root")
