@@ -13,7 +13,7 @@ MAX_SOURCES = 1_000
 #: Denominator of the weights, so the length of the period after which a schedule repeats.
 QUANTA = 4_096
 #: Rows of one source that are numbered together, on average.
-_BUCKET_ROWS = 4_096
+_BUCKET_ROWS = 512
 
 
 def quantised(weights: dict[str, float], quanta: int = QUANTA) -> dict[str, int]:

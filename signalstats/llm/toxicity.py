@@ -47,7 +47,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _observed(texts: pa.Array, known: np.ndarray, tier: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _observed(texts: pa.Array, known: np.ndarray, tier: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of every text the votes (as bits) and dense features; and which lexicon words it
     holds, as pairs of text and word number; ``known`` are the lexicon's sorted hashes."""
     words = Words(texts, NON_ALPHANUMERIC, lower=True)
@@ -59,14 +59,13 @@ def _observed(texts: pa.Array, known: np.ndarray, tier: np.ndarray) -> tuple[np.
     owner, word = np.divmod(np.unique(text[hit] * len(known) + place[hit]), max(len(known), 1))
     kinds = np.bincount(owner, minlength=n)
     parts = [np.bincount(owner[tier[word] == part], minlength=n) > 0 for part in range(4)]
-    seed_words = Words(pa.array([" ".join(SEED_WORDS)]), NON_ALPHANUMERIC).hashes()
-    seeds = np.bincount(text[np.isin(hashes, seed_words)], minlength=n) > 0
+    seeded = np.bincount(text[np.isin(hashes, seeds)], minlength=n) > 0
     share = hits / np.maximum(words.counts, 1)
     mark = words.raw == ord("!")
     loud = per_text(mark & np.append(mark[1:], False)[: len(mark)], words.offsets) > 0
-    votes = [*parts, seeds, kinds >= 2, share >= 0.01, loud, (hits == 0) & ~seeds]
+    votes = [*parts, seeded, kinds >= 2, share >= 0.01, loud, (hits == 0) & ~seeded]
     bits = sum(v.astype(np.int32) << i for i, v in enumerate(votes))
-    dense = np.stack([hits > 0, kinds >= 2, np.log1p(hits), np.minimum(share * 20, 1), seeds], axis=1)
+    dense = np.stack([hits > 0, kinds >= 2, np.log1p(hits), np.minimum(share * 20, 1), seeded], axis=1)
     return bits.astype(np.int32), dense.astype(float), owner, word
 
 
@@ -116,6 +115,9 @@ class LabelModel:
         theta = np.zeros(terms.shape[1] - 1 + 1 + voters)
         theta[-voters:] = start
         theta[-voters - 1] = -2.0
+        # What accuracies can explain is not left to correlations, which could explain all.
+        restraint = np.full(len(theta), 1e-4)
+        restraint[voters : voters + len(left)] = 1e-2
         total = max(counts.sum(), 1.0)
         weight = counts / total
         momentum, scale = np.zeros_like(theta), np.zeros_like(theta)
@@ -131,7 +133,7 @@ class LabelModel:
             )
             gap = seen - model
             gradient = np.concatenate([terms[:, 1:].T @ gap.sum(axis=1), terms[:, : voters + 1].T @ gap[:, 1]])
-            gradient -= 1e-4 * theta
+            gradient -= restraint * theta
             momentum = 0.9 * momentum + 0.1 * gradient
             scale = 0.99 * scale + 0.01 * gradient**2
             theta += 0.1 * (momentum / (1 - 0.9**step)) / (np.sqrt(scale / (1 - 0.99**step)) + 1e-8)
@@ -167,11 +169,12 @@ def fit_linear(
 
 @dataclass
 class ToxicityModel:
-    """Sorted hashes of the lexicon, the quarter of each by strength, weights (bias, dense
-    features, words) and the label model."""
+    """Sorted hashes of the lexicon, the quarter of each by strength, hashes of the seed
+    words, weights (bias, dense features, words) and the label model."""
 
     lexicon: np.ndarray
     tier: np.ndarray
+    seeds: np.ndarray
     weights: np.ndarray
     label_model: LabelModel
 
@@ -182,13 +185,13 @@ class ToxicityModel:
         ids nor other columns are looked at, and no row is shuffled.
         """
         plain = docs.drop("score")
-        model = plain.sparkSession.sparkContext.broadcast((self.lexicon, self.tier, self.weights))
+        model = plain.sparkSession.sparkContext.broadcast((self.lexicon, self.tier, self.seeds, self.weights))
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lexicon, tier, weights = model.value
+            lexicon, tier, seeds, weights = model.value
             head = 1 + len(_DENSE)
             for piece in pieces(batches, "text"):
-                _, dense, owner, word = _observed(piece.column("text"), lexicon, tier)
+                _, dense, owner, word = _observed(piece.column("text"), lexicon, tier, seeds)
                 z = weights[0] + dense @ weights[1:head]
                 z += np.bincount(owner, weights[head + word], piece.num_rows)
                 score = pa.array(1 / (1 + np.exp(-z)), pa.float64())
@@ -214,11 +217,14 @@ def fit_toxicity(
     copies of a text count once): words after at least ``min_contexts`` different
     words in toxic texts, at ``min_ratio`` times the rate of clean texts; at most
     ``max_words`` with the clearest difference. Contexts are counted, not texts, since
-    near copies repeat a word in one context. A generative label model of all voters, their accuracies
-    and pairwise correlations is fitted to the vote patterns of all documents that are
-    not held out; where such a document has a label, the label is used. The posteriors
-    of the vote patterns train the linear classifier: all documents without a lexicon
-    word count, and at most about ``max_rows`` of those with one.
+    near copies repeat a word in one context. A seed word that is seen in two contexts
+    and misses this ratio is an ordinary word here and does not vote.
+
+    A generative label model of all voters, their accuracies and pairwise correlations
+    is fitted to the vote patterns of all documents that are not held out; where such
+    a document has a label, the label is used, so its posterior is the label. The
+    posteriors train the linear classifier: all documents without a lexicon word
+    count, and at most about ``max_rows`` of those with one.
 
     Labels of rows that :func:`held_out` names are never read. Null labels are none;
     of several labels of an id the highest counts; a row without ``doc_id`` has none.
@@ -259,43 +265,55 @@ def fit_toxicity(
     totals = contexts.agg(F.sum("toxic"), F.sum("clean")).first()
     toxic_rate = F.col("toxic") / (totals[0] or 1)
     clean_rate = (F.col("clean") + 0.5) / (totals[1] or 1)
+    rated = contexts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    telling = toxic_rate >= min_ratio * clean_rate
     lexicon = (
-        contexts.groupBy("word")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where(F.col("toxic") >= min_contexts)
-        .where(toxic_rate >= min_ratio * clean_rate)
+        rated.where(F.col("toxic") >= min_contexts)
+        .where(telling)
         .orderBy(((toxic_rate - clean_rate) / F.sqrt(toxic_rate + clean_rate)).desc(), "word")
         .limit(max_words)
         .select("word")
     )
     strongest = np.array([r.word for r in lexicon.collect()], np.int64).view(np.uint64)
+    seeds = Words(pa.array([" ".join(SEED_WORDS)]), NON_ALPHANUMERIC).hashes()
+    common = (
+        rated.where(F.col("word").isin(signed(seeds).tolist()))
+        .where(F.col("toxic") + F.col("clean") >= 2)
+        .where(~telling)
+        .collect()
+    )
+    seeds = np.setdiff1d(seeds, np.array([r.word for r in common], np.int64).view(np.uint64))
     order = np.argsort(strongest)
     vocabulary, tier = strongest[order], order * 4 // max(len(order), 1)
-    words = spark.sparkContext.broadcast((vocabulary, tier))
+    words = spark.sparkContext.broadcast((vocabulary, tier, seeds))
 
+    label = F.when(F.col("toxic").isNull(), 0).when(F.col("toxic") > 0, 2).otherwise(1)
     features = stored(
-        rows.mapInArrow(_features(words), "doc_id bigint, votes int, dense array<double>, words array<int>"),
+        rows.mapInArrow(_features(words), "doc_id bigint, votes int, dense array<double>, words array<int>")
+        .join(known, "doc_id", "left")
+        .withColumn("label", label),
         "toxic-features",
     )
-    label = F.when(F.col("toxic").isNull(), 0).when(F.col("toxic") > 0, 2).otherwise(1)
     counts = np.zeros((1 << len(VOTERS), 3))
-    labelled = features.select("doc_id", "votes").join(known, "doc_id", "left")
-    for votes, kind, n in labelled.groupBy("votes", label).count().collect():
+    for votes, kind, n in features.groupBy("votes", "label").count().collect():
         counts[votes, kind] = n
     model = LabelModel.fit(counts, len(VOTERS), against=(VOTERS.index("nothing"),))
 
     # Rows without a lexicon word are alike: they are counted, not fetched.
     plain = (
-        features.where(F.size("words") == 0).groupBy("votes", "dense").agg(F.count("*").alias("n")).collect()
+        features.where(F.size("words") == 0).groupBy("votes", "dense", "label").agg(F.count("*").alias("n")).collect()
     )
-    table = picked(features.where(F.size("words") > 0)).select("votes", "dense", "words").toPandas()
+    table = picked(features.where(F.size("words") > 0)).select("votes", "dense", "words", "label").toPandas()
     dense = np.array([*(r.dense for r in plain), *table["dense"]], float).reshape(-1, len(_DENSE))
     votes = np.array([*(r.votes for r in plain), *table["votes"]], np.int64)
+    kinds = np.array([*(r.label for r in plain), *table["label"]], np.int64)
     owner = np.repeat(np.arange(len(table)) + len(plain), [len(x) for x in table["words"]])
     word = np.array([w for x in table["words"] for w in x], np.int64)
     weight = np.array([*(r.n for r in plain), *np.ones(len(table))], float)
     # Documents without a hit far outnumber the others; they weigh as much together.
     ratio = max(len(table), 1) / max(weight[: len(plain)].sum(), 1.0)
     weight[: len(plain)] *= min(1.0, ratio)
-    weights = fit_linear(dense, owner.astype(np.int64), word, len(vocabulary), model.posterior(votes), weight)
-    return ToxicityModel(vocabulary, tier, weights, model)
+    # Given the label, the posterior is the label.
+    target = np.where(kinds == 0, model.posterior(votes), kinds == 2)
+    weights = fit_linear(dense, owner.astype(np.int64), word, len(vocabulary), target, weight)
+    return ToxicityModel(vocabulary, tier, seeds, weights, model)
