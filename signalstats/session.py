@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where the aggregation after it then needs a shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Sketch aggregation leaves its hash map for sorting at 128 keys per task by
     # default, which is far too early for windowed keys.
@@ -37,7 +39,7 @@ def tune(spark: SparkSession) -> None:
     """Give a running session the settings for aggregation and state, unless it was
     launched with its own. Time zone and launch-time settings stay as they are."""
     launched = spark.sparkContext.getConf()
-    for key in (k for k in SETTINGS if "objectHashAggregate" in k or "stateStore" in k):
+    for key in (k for k in SETTINGS if any(p in k for p in ("objectHashAggregate", "stateStore", "forceOptimize"))):
         if not launched.contains(key):
             spark.conf.set(key, SETTINGS[key])
 

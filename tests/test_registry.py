@@ -11,7 +11,7 @@ QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 @pytest.fixture(scope="module")
 def db(sf_dir):
     connection = duckdb.connect()
-    for table in ("events",):
+    for table in ("events", "documents", "pages", "benchmark", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     return connection
 
