@@ -169,7 +169,6 @@ def test_murmur3_column(spark):
     assert row.i == base64.urlsafe_b64encode(bytes(digest)).decode().rstrip("=")
 
 
-@pytest.mark.skipif(not protobuf.available(), reason="protobuf package missing")
 def test_dimension_bytes_equal_the_message(spark):
     dims = ["country", "direction", "carrier", "route"]
     data = [
