@@ -265,7 +265,7 @@ def _alignments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nodes += left
             slots += right
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.int64()), pa.array(skeletons, pa.int64()), pa.array(nodes, pa.int32()), pa.array(slots, pa.int32())],
+            [*(pa.array(x, pa.int64()) for x in (hosts, skeletons)), *(pa.array(x, pa.int32()) for x in (nodes, slots))],
             ["host", "skeleton", "node", "slot"],
         )
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from signalstats.llm.common import NON_ALPHANUMERIC, Words, joined, mix, per_text, pieces, signed, stored
+from signalstats.llm.common import NON_ALPHANUMERIC, Words, joined, per_text, pieces, signed, stored
 
 #: Insults that vote without any labelled example.
 SEED_WORDS = (
@@ -47,7 +47,9 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _observed(texts: pa.Array, known: np.ndarray, tier: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _observed(
+    texts: pa.Array, known: np.ndarray, tier: np.ndarray, seeds: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of every text the votes (as bits) and dense features; and which lexicon words it
     holds, as pairs of text and word number; ``known`` are the lexicon's sorted hashes."""
     words = Words(texts, NON_ALPHANUMERIC, lower=True)
