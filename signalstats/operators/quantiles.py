@@ -123,11 +123,13 @@ def exact_percentiles(
 ) -> DataFrame:
     """``keys`` + one exact percentile column each, for groups of any size.
 
-    Selection by refinement: count equal values, find the coarse cell that holds
-    each wanted position, look only into that cell, and so on. Rows are only
-    ever grouped by (key, value) or (key, cell) with map-side combine, so a key
-    with a third of all rows is spread like any other; the running counts go
-    over at most 2**18 cells, and the last step over at most 2**16 values.
+    Selection by refinement: equal values are counted, the counts summed over cells of
+    the double's exponent and first 18 bits of fraction, and the cell that holds each
+    wanted position found from these sums. Only then are the values joined, by key and
+    cell, with the cells they are wanted from. That join is the second and last
+    shuffle of the values; a key's values are spread over 2**18 cells per exponent,
+    and a value with a third of all rows is one row. Running sums go over at most
+    2**18 cells, and the last one over at most 2**16 values.
     ``percentile_disc`` would hold all values of a key in one task.
     """
     v = F.col(value).cast("double")
@@ -137,6 +139,7 @@ def exact_percentiles(
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumns({f"c{i}": cell for i, cell in enumerate(_cells(F.col("v")))})
     )
+    cells = counts.groupBy("key", "c0", "c1").agg(F.sum("n").alias("n"))
 
     # Level 0: one row per (key, wanted percentile) with its cell and the
     # position that is left inside it.
@@ -150,7 +153,7 @@ def exact_percentiles(
         ]
     )
     targets = (
-        counts.groupBy("key", "c0")
+        cells.groupBy("key", "c0")
         .agg(F.sum("n").alias("n"))
         .withColumn("upto", F.sum("n").over(running))
         .withColumn("total", F.sum("n").over(per_key))
@@ -159,22 +162,24 @@ def exact_percentiles(
         .select("key", "c0", "w.q", (F.col("w.position") - F.col("upto") + F.col("n")).alias("position"))
     )
 
-    # Refine inside the chosen cells; the last round picks the value itself.
-    found = ["c0"]
-    for step in ("c1", "c2", "v"):
-        inside = counts.join(targets, ["key", *found])
-        if step != "v":
-            inside = inside.groupBy("key", "q", *found, step, "position").agg(F.sum("n").alias("n"))
+    def chosen(inside: DataFrame, step: str, found: Sequence[str]) -> DataFrame:
+        """The cell (or value) of ``step`` that holds each position."""
         running = (
             Window.partitionBy("key", "q").orderBy(step).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         before = F.col("upto") - F.col("n")
-        targets = (
+        return (
             inside.withColumn("upto", F.sum("n").over(running))
             .filter((F.col("position") >= before) & (F.col("position") < F.col("upto")))
             .select("key", "q", *found, step, (F.col("position") - before).alias("position"))
         )
-        found.append(step)
+
+    # Level 1 on the sums; the values of the chosen cells; level 2 and the values on those.
+    targets = chosen(cells.join(targets, ["key", "c0"]), "c1", ["c0"])
+    inside = counts.join(targets, ["key", "c0", "c1"]).select("key", "q", "c2", "v", "n", "position")
+    sums = inside.groupBy("key", "q", "c2", "position").agg(F.sum("n").alias("n"))
+    within = chosen(sums, "c2", [])
+    targets = chosen(inside.drop("position").join(within, ["key", "q", "c2"]), "v", [])
 
     picked = [F.max(F.when(F.col("q") == name, F.col("v"))).alias(name) for name in percentiles]
     return targets.groupBy("key").agg(*picked).select("key.*", *percentiles)
