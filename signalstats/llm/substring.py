@@ -224,6 +224,8 @@ def substring_dedup(docs: DataFrame, min_words: int = 35) -> DataFrame:
     )
     found = (
         rows.join(candidates, ["id", "mark"], "left")
+        # A task that runs again must compare the same rows with each other.
+        .sortWithinPartitions("id", "mark")
         .mapInArrow(
             _second_level(min_words, base),
             "key bigint, id bigint, ref bigint, kind int, mask bigint, hashes array<bigint>",
