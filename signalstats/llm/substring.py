@@ -203,8 +203,11 @@ def substring_dedup(docs: DataFrame, min_words: int = 35) -> DataFrame:
     its length inside it, so one row in about ten words is shuffled instead of each.
 
     A task compares its own rows first and sends one row per key for what it has met
-    more than once, so a key's rows at the receiver are bounded by the number of
-    tasks, however many copies there are. The text is shuffled once, by document.
+    more than once, so what repeats arrives once per task, however many copies there
+    are. At the second level windows over the edge of a frequent passage, each with
+    words of its own, still share that passage's key: one or two short rows per
+    document that holds it, sorted with spilling. The text is shuffled once, by
+    document.
     """
     base = (min_words + 1) // 2
     rows = docs.select(
