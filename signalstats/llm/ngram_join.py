@@ -280,12 +280,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, length: int, percent: int, ran
     )
 
 
-def _common(x: str, y: str, percent: int) -> Column:
+def _common(x: Column, y: Column, percent: int) -> Column:
     """How many of their first shingles two linked sets of the given sizes have in common at least."""
-    overlap = F.ceil(percent * (F.col(x) + F.col(y)) / (100 + percent))
+    overlap = F.ceil(percent * (x + y) / (100 + percent))
     return F.greatest(overlap - F.ceil(percent * F.greatest(x, y) / 100) + 1, F.lit(1))
 
 
+def _needed(percent: int) -> Column:
+    """The least of :func:`_common` for a set of ``n`` and sets of any size from ``low`` to ``high``.
+
+    Up to ``n`` it does not fall as the other size grows. From there on it falls by
+    ``percent^2 / (100 (100 + percent))`` per shingle, but the two roundings move it by
+    less than two, so the least is among the last few sizes and not always at ``high``.
+    """
+    last = -(-200 * (100 + percent) // percent**2)
+    sizes = F.sequence(F.greatest("low", F.col("high") - last), F.greatest("low", "high"))
+    ends = F.array_union(F.array("low"), sizes)
+    return F.array_min(F.transform(ends, lambda size: _common(F.col("n"), size, percent)))
+
+
 def _able(shared: DataFrame, percent: int) -> DataFrame:
     """From rows ``(token, set_a, n, root)`` the sets that share enough with sets of
     another root to be linked with one: ``set_a, n, root, tokens, c, need``.
@@ -313,7 +326,7 @@ def _able(shared: DataFrame, percent: int) -> DataFrame:
         .groupBy("set_a", "n", "root")
         .agg(low, high, F.sort_array(F.collect_list(F.struct("d", "token"))).alias("tokens"))
         .withColumn("c", F.size("tokens"))
-        .withColumn("need", F.least(_common("n", "low", percent), _common("n", "high", percent)))
+        .withColumn("need", _needed(percent))
         .where("c >= need")
     )
     return stored(sets.drop("low", "high"), "able-sets")
@@ -467,7 +480,7 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         "token", *(F.col(c).alias(f"x_{c}") for c in ("set_a", "n", "root", "left"))
     )
     # Two sets with enough in common meet at a shingle from which on both have as many left.
-    enough = _common("x_n", "n", percent)
+    enough = _common(F.col("x_n"), F.col("n"), percent)
     pairs = stored(
         others.join(across, "token")
         .where("x_root != root AND (root = main OR x_set_a < set_a)")
@@ -482,7 +495,7 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
     alike = (
         pairs.join(x, F.col("x") == F.col("x_set_a"))
         .join(y, F.col("y") == F.col("y_set_a"))
-        .where(F.size(F.array_intersect("x_tokens", "y_tokens")) >= _common("x_n", "y_n", percent))
+        .where(F.size(F.array_intersect("x_tokens", "y_tokens")) >= _common(F.col("x_n"), F.col("y_n"), percent))
         .select(F.col("x").alias("a"), F.col("y").alias("b"))
     )
     more = stored(_verified(stored(alike, "alike-pairs"), texts, length, percent, ranks), "more-links")

@@ -52,6 +52,25 @@ def test_trie_walk_agrees_with_plain_overlaps():
         assert any(plain) and not all(plain)
 
 
+def _shared_at_least(x, y):
+    return max(-(-80 * (x + y) // 180) - -(-80 * max(x, y) // 100) + 1, 1)
+
+
+def test_needed_shingles_hold_for_every_size_between(spark):
+    rows = [(n, low, high) for n in range(1, 140, 3) for low in (-(-80 * n // 100), n) for high in range(n, 125 * n // 100 + 1)]
+    got = spark.createDataFrame(rows, "n long, low long, high long").withColumn("need", ngram_join._needed(80)).collect()
+    for n, low, high, need in got:
+        assert need == min(_shared_at_least(n, size) for size in range(low, high + 1)), (n, low, high)
+
+
+def test_sets_of_sizes_between_others_stay_able(spark):
+    # 91 of 113 shingles are common to a and b, which share eight first ones; c holds one of them.
+    rows = [(t, s, n, s) for s, n, tokens in ((1, 100, 8), (2, 104, 8), (3, 105, 1)) for t in range(tokens)]
+    shared = spark.createDataFrame(rows, "token long, set_a long, n long, root long")
+    able = {r.set_a: (r.c, r.need) for r in ngram_join._able(shared, 80).collect()}
+    assert able == {1: (8, 8), 2: (8, 8)}
+
+
 # -- mixing -------------------------------------------------------------------
 
 
