@@ -3,34 +3,45 @@
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Sources that a mix may have; their weights and block counts are handled on the driver.
+from signalstats.llm.common import stored
+
+#: Sources that a mix may have.
 MAX_SOURCES = 1_000
-#: Denominator of the weights, so the length of the period after which a schedule repeats.
-QUANTA = 4_096
+#: Denominator of the weights: finer than a double, so that it adds no deviation at any number of slots.
+QUANTA = 1 << 62
 #: Rows of one source that are numbered together, on average.
 _BUCKET_ROWS = 512
+#: Blocks that the schedule hands over at a time.
+_BATCH = 10_000
 
 
 def quantised(weights: dict[str, float], quanta: int = QUANTA) -> dict[str, int]:
     """Positive whole shares of ``quanta`` by largest remainders, at least one each."""
-    total = sum(weights.values())
-    exact = {s: Fraction(w) / Fraction(total) * quanta for s, w in weights.items()}
-    shares = {s: max(1, int(x)) for s, x in exact.items()}
+    ratios = {s: Fraction(w) for s, w in weights.items()}
+    unit = math.lcm(*(r.denominator for r in ratios.values()))
+    parts = {s: r.numerator * (unit // r.denominator) for s, r in ratios.items()}
+    total = sum(parts.values())
+    shares = {s: max(1, n * quanta // total) for s, n in parts.items()}
     while (gap := quanta - sum(shares.values())) != 0:
         step = 1 if gap > 0 else -1
         able = [s for s in shares if step > 0 or shares[s] > 1]
-        best = max(able, key=lambda s: (step * (exact[s] - shares[s]), s))
-        shares[best] += step
+        able.sort(key=lambda s: (step * (parts[s] * quanta - shares[s] * total), s), reverse=True)
+        for s in able[: abs(gap)]:
+            shares[s] += step
     return shares
 
 
-def pfair_period(shares: dict[str, int]) -> list[str]:
-    """One period of the schedule: the source of every slot.
+def pfair(shares: dict[str, int]) -> Iterator[str]:
+    """The schedule without end: the source of every slot.
 
     With weight ``w = share / sum of shares`` block ``i`` (from 0) of a source is
     released at slot ``floor(i / w)`` and due before slot ``ceil((i + 1) / w)``. Each
@@ -42,50 +53,64 @@ def pfair_period(shares: dict[str, int]) -> list[str]:
     waiting = [(0, -(-total // n), s, 0) for s, n in shares.items()]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    slots = []
-    for slot in range(total):
+    slot = 0
+    while True:
         while waiting and waiting[0][0] <= slot:
             _, due, source, block = heapq.heappop(waiting)
             heapq.heappush(ready, (due, source, block))
         _, source, block = heapq.heappop(ready)
-        slots.append(source)
-        n, block = shares[source], block + 1
-        if block < n:
-            heapq.heappush(waiting, (block * total // n, -(-(block + 1) * total // n), source, block))
-    return slots
+        yield source
+        n, block, slot = shares[source], block + 1, slot + 1
+        heapq.heappush(waiting, (block * total // n, -(-(block + 1) * total // n), source, block))
+
+
+def pfair_period(shares: dict[str, int]) -> list[str]:
+    """One period of :func:`pfair`."""
+    return list(islice(pfair(shares), sum(shares.values())))
 
 
-def schedule(blocks: dict[str, int], weights: dict[str, float], quanta: int = QUANTA) -> list[tuple]:
-    """Phases ``(first slot, slots, shares, first block of each source)``.
+def schedule(blocks: dict[str, int], weights: dict[str, float], quanta: int = QUANTA) -> Iterator[tuple[str, int]]:
+    """Source and block of every slot.
 
     A phase ends with the slot in which a source has given its last block; the next
-    one mixes the others by their weights. Its length follows from the counts, so
-    the work does not grow with the number of blocks.
+    one mixes the others by their weights.
     """
     left = {s: n for s, n in blocks.items() if n > 0}
     given = dict.fromkeys(left, 0)
-    phases, start = [], 0
     while left:
         shares = quantised({s: weights[s] for s in left}, max(quanta, len(left)))
-        period = pfair_period(shares)
-        places: dict[str, list[int]] = {s: [] for s in left}
-        for slot, source in enumerate(period):
-            places[source].append(slot)
-        # Slots up to and with the last block of each source.
-        ends = {
-            s: (n - 1) // shares[s] * len(period) + places[s][(n - 1) % shares[s]] + 1 for s, n in left.items()
-        }
-        length = min(ends.values())
-        phases.append((start, length, period, places, dict(given)))
-        for s in list(left):
-            whole, part = divmod(length, len(period))
-            taken = whole * shares[s] + sum(p < part for p in places[s])
-            given[s] += taken
-            left[s] -= taken
-            if not left[s]:
-                del left[s]
-        start += length
-    return phases
+        for source in pfair(shares):
+            yield source, given[source]
+            given[source] += 1
+            left[source] -= 1
+            if not left[source]:
+                del left[source]
+                break
+
+
+def _slots(weights: dict[str, float], exponent: float, block_rows: int):
+    """Rows ``(__s, block, slot)`` of the whole schedule from rows ``(__s, n)`` of all sources."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes: dict[str, int] = {}
+        for batch in batches:
+            sizes.update(zip(batch.column("__s").to_pylist(), batch.column("n").to_pylist(), strict=True))
+        target = {s: float(weights.get(s, n**exponent)) for s, n in sizes.items()}
+        slots = schedule({s: -(-n // block_rows) for s, n in sizes.items()}, target)
+        start = 0
+        while part := list(islice(slots, _BATCH)):
+            sources, blocks = zip(*part, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(sources, pa.string()),
+                    pa.array(blocks, pa.int64()),
+                    pa.array(range(start, start + len(part)), pa.int64()),
+                ],
+                ["__s", "block", "slot"],
+            )
+            start += len(part)
+
+    return rows
 
 
 def mix_sources(
@@ -112,22 +137,27 @@ def mix_sources(
     of the three result names are replaced.
 
     Rows are numbered in two steps, by buckets of the hash and within a bucket, so no
-    task holds a source. Only one row per source reaches the driver, which computes a
-    period of the schedule; slots are a join with that period of bounded size.
+    task holds a source. The schedule is made by one task, which reads a row per source
+    and writes a row per block; each slot depends on the one before. Rows are joined
+    with it by source and block.
     """
-    spark = docs.sparkSession
     docs = docs.drop("block", "slot", "position")
     source = F.coalesce(F.col("source"), F.lit(""))
-    counted = docs.groupBy(source.alias("s")).count().limit(MAX_SOURCES + 1).collect()
-    rows = {r["s"]: r["count"] for r in counted}
-    if len(rows) > MAX_SOURCES:
+    counts = stored(docs.groupBy(source.alias("__s")).agg(F.count("*").alias("n")), "source-counts")
+    if counts.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    target = {s: float((weights or {}).get(s, n**exponent)) for s, n in rows.items()}
-    if any(w <= 0 for w in target.values()):
+    weights = dict(weights or {})
+    wrong = [s for s, w in weights.items() if w <= 0]
+    if wrong and counts.where(F.col("__s").isin(wrong)).take(1):
         raise ValueError("weights must be positive")
-    phases = schedule({s: -(-n // block_rows) for s, n in rows.items()}, target)
+    slots = stored(
+        counts.repartition(1).mapInArrow(
+            _slots(weights, exponent, block_rows), "__s string, block bigint, slot bigint"
+        ),
+        "slots",
+    )
 
-    buckets = max(1, max(rows.values(), default=0) // _BUCKET_ROWS)
+    buckets = max(1, (counts.agg(F.max("n")).first()[0] or 0) // _BUCKET_ROWS)
     spread = F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
     keyed = (
         docs.withColumn("__s", source)
@@ -148,28 +178,8 @@ def mix_sources(
         .withColumn("__n", F.col("__before") + F.col("__n"))
         .withColumn("block", F.floor(F.col("__n") / block_rows))
     )
-    # Every phase and source: where its blocks begin, and its places within a period.
-    plan = []
-    for phase, (start, length, period, places, given) in enumerate(phases):
-        following = phases[phase + 1][4] if phase + 1 < len(phases) else {}
-        for s, own in places.items():
-            end = following.get(s, -(-rows[s] // block_rows))
-            if end > given[s]:
-                plan.append((s, given[s], end, start, len(period), own))
-    table = spark.createDataFrame(
-        plan, "__s string, first long, end long, start long, period int, places array<int>"
-    )
-    cycle = F.size("places")
-    index = F.col("block") - F.col("first")
-    slot = (
-        F.col("start")
-        + F.floor(index / cycle) * F.col("period")
-        + F.element_at("places", (F.pmod(index, cycle) + 1).cast("int"))
-    )
     return (
-        numbered.join(F.broadcast(table), "__s")
-        .where("block >= first AND block < end")
-        .withColumn("slot", slot)
+        numbered.join(slots, ["__s", "block"])
         .withColumn("position", F.col("slot") * block_rows + F.pmod(F.col("__n"), F.lit(block_rows)))
         .select(*docs.columns, "block", "slot", "position")
     )

@@ -124,6 +124,21 @@ def test_mix_follows_the_schedule_and_keeps_every_row(spark, docs, rows):
     assert all(n == 4 for (s, b), n in per_block.items() if b < blocks[s] - 1)
 
 
+def test_weights_hold_however_long_a_phase_is():
+    # One large and many small sources: with weights in 4,096ths the large one fell behind by thousands of blocks.
+    sizes = {"hot": 10**9, **{f"s{i}": 100 for i in range(999)}}
+    weights = {s: n**0.7 for s, n in sizes.items()}
+    total, blocks = sum(weights.values()), {s: -(-n // 32) for s, n in sizes.items()}
+    given = Counter()
+    for slot, (source, block) in enumerate(mixing.schedule(blocks, weights), 1):
+        assert block == given[source]
+        given[source] += 1
+        assert abs(given["hot"] - weights["hot"] / total * slot) < 1
+        if slot == 150_000 or blocks[source] == given[source]:
+            break
+    assert slot > 10_000 and sum(given.values()) == slot
+
+
 def test_mix_of_nothing(no_docs):
     assert mixing.mix_sources(no_docs).collect() == []
 
