@@ -61,7 +61,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their place in the mix of the sources."""
-    return mix_sources(docs)
+    return mix_sources(docs, max_sources=None)
 
 
 STAGES = [

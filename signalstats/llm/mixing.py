@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from signalstats.llm.common import stored
 
-#: Sources that a mix may have.
+#: Sources from which on a mix is refused unless the caller says otherwise.
 MAX_SOURCES = 1_000
 #: Denominator of the weights: finer than a double, so that it adds no deviation at any number of slots.
 QUANTA = 1 << 62
@@ -119,6 +119,7 @@ def mix_sources(
     exponent: float = 0.7,
     block_rows: int = 32,
     seed: int = 0,
+    max_sources: int | None = MAX_SOURCES,
 ) -> DataFrame:
     """All columns of ``docs`` and ``block`` (of its source), ``slot`` and ``position``:
     ordered by ``position`` the rows follow the target weights. No row is lost.
@@ -132,20 +133,20 @@ def mix_sources(
 
     Null source: the source ''. Rows with one ``doc_id`` lie next to each other, in
     the order of their text; null ids are ordered by text. An empty table gives an
-    empty result. At most :data:`MAX_SOURCES` sources, else ``ValueError``: hosts are to be
-    grouped into sources first, as no mix gives each of many hosts a weight. Columns
-    of the three result names are replaced.
+    empty result. More than ``max_sources`` sources: ``ValueError``; with None any number
+    is mixed. Columns of the three result names are replaced.
 
     Rows are numbered in two steps, by buckets of the hash and within a bucket, so no
     task holds a source. The schedule is made by one task, which reads a row per source
-    and writes a row per block; each slot depends on the one before. Rows are joined
-    with it by source and block.
+    and writes a row per block; each slot depends on the one before, and
+    every source that is used up weighs the others anew. Rows are joined with it by
+    source and block.
     """
     docs = docs.drop("block", "slot", "position")
     source = F.coalesce(F.col("source"), F.lit(""))
     counts = stored(docs.groupBy(source.alias("__s")).agg(F.count("*").alias("n")), "source-counts")
-    if counts.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    if max_sources is not None and counts.limit(max_sources + 1).count() > max_sources:
+        raise ValueError(f"more than {max_sources} sources")
     weights = dict(weights or {})
     wrong = [s for s, w in weights.items() if w <= 0]
     if wrong and counts.where(F.col("__s").isin(wrong)).take(1):

@@ -292,7 +292,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in the mix of all sources."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix_sources(docs).select("doc_id", "source", "block", "slot", "position")
+    return mixing.mix_sources(docs, max_sources=None).select("doc_id", "source", "block", "slot", "position")
 
 
 @_query()

@@ -149,6 +149,14 @@ def test_too_many_sources_are_refused(spark):
         mixing.mix_sources(many)
 
 
+def test_any_number_of_sources_is_mixed_on_request(spark, sf_dir):
+    many = spark.range(mixing.MAX_SOURCES + 200).selectExpr("id AS doc_id", "'x' AS text", "string(id) AS source")
+    many = many.unionByName(many.where("doc_id < 40").withColumn("source", F.lit("7")))
+    got = corpus_pipeline.mix(spark, many, sf_dir).collect()
+    assert len(got) == mixing.MAX_SOURCES + 240
+    assert {r.slot for r in got} == set(range(mixing.MAX_SOURCES + 201))
+
+
 # -- html ---------------------------------------------------------------------
 
 ARTICLE = "<article><h1>Title &amp; more</h1><p>One\n  <b>bold</b><br>line&nbsp;two<p>Unclosed <i>p</i></article>"
