@@ -39,13 +39,19 @@ _ENDS = {
     "th": (("td", "th"), ("tr", "table")),
     "option": (("option",), ("select",)),
 }
-#: Parts of a page that are never article text, by tag and by words of class, id or role.
+#: Parts of a page that are never article text, by tag and by names in class, id or role.
 _ASIDE_TAGS = frozenset("head nav footer aside form fieldset menu dialog button select".split())
 _ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo nav navigation navbar menu menubar breadcrumb "
     "breadcrumbs sidebar footer cookie cookies consent notice notices banner popup modal newsletter subscribe login "
     "search share sharing social related comment comments disqus reply replies pagination pager".split()
 )
+#: First words of names that tell of a state, and last words that tell of a part of what is named before.
+_STATE_WORDS = frozenset("has no not is with without".split())
+_PART_WORDS = frozenset(
+    "area bar block body box button buttons container content form group holder inner item items link links list "
+    "outer panel row section slot text title toggle widget widgets wrap wrapper".split()
+)
 _HEADING_WORDS = frozenset(("header", "masthead"))
 #: Elements of running text; inside an article they are text even where all pages agree.
 _RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th figcaption".split())
@@ -84,10 +90,11 @@ def tree(text: str) -> Tree:
 
 @functools.lru_cache(4096)
 def _label(tag: str, attributes: str) -> str:
-    words = []
+    names = set()
     for m in _ATTRIBUTE.finditer(attributes):
-        words += re.findall("[a-z]+", (m[2] or m[3] or m[4] or "").lower())
-    return ".".join([tag, *sorted(set(words))])
+        for name in (m[2] or m[3] or m[4] or "").lower().split():
+            names.add("-".join(re.findall("[a-z]+", name)))
+    return ".".join([tag, *sorted(names - {""})])
 
 
 def parse(page: str) -> tuple[Tree, list[tuple[int, str]]]:
@@ -143,31 +150,58 @@ def parse(page: str) -> tuple[Tree, list[tuple[int, str]]]:
     return found, blocks
 
 
-def _is_aside(label: str, in_article: bool) -> bool:
-    tag, *words = label.split(".")
+def _head(name: str) -> str:
+    """The word that says what is named: ``notice`` of ``cookie-notice``, ``share`` of ``share-buttons``."""
+    words = name.split("-")
+    if words[0] in _STATE_WORDS:
+        return ""
+    while len(words) > 1 and words[-1] in _PART_WORDS:
+        words.pop()
+    return words[-1]
+
+
+def _is_aside(label: str, in_article: bool, needed: bool) -> bool:
+    tag, *names = label.split(".")
     if tag in _ASIDE_TAGS:
         return True
-    if tag in ("html", "body"):
+    if tag in ("html", "body", "main") or needed:
         return False
-    if _ASIDE_WORDS.intersection(words):
+    if tag == "article":
+        return bool(_ASIDE_WORDS.intersection(names))
+    heads = set(map(_head, names))
+    if _ASIDE_WORDS & heads:
         return True
-    return not in_article and (tag == "header" or bool(_HEADING_WORDS.intersection(words)))
+    return not in_article and (tag == "header" or bool(_HEADING_WORDS & heads))
 
 
 def _is_article(label: str) -> bool:
-    tag, *words = label.split(".")
-    return (tag in ("article", "main") or "main" in words) and not _ASIDE_WORDS.intersection(words)
+    tag, *names = label.split(".")
+    if tag in ("article", "main"):
+        return tag == "main" or not _ASIDE_WORDS.intersection(names)
+    words = {word for name in names for word in name.split("-")}
+    return "main" in words and not _ASIDE_WORDS & words
+
+
+def _needed(found: Tree) -> list[bool]:
+    """Whether a node holds a main element or all articles of the page, other than comments."""
+    mains, articles = [0] * len(found.labels), [0] * len(found.labels)
+    for i in range(len(found.labels) - 1, 0, -1):
+        tag, *names = found.labels[i].split(".")
+        p = found.parents[i]
+        mains[p] += mains[i] + (tag == "main")
+        articles[p] += articles[i] + (tag == "article" and not _ASIDE_WORDS.intersection(map(_head, names)))
+    return [mains[i] > 0 or 0 < articles[i] == articles[0] for i in range(len(mains))]
 
 
 @functools.lru_cache(4096)
 def _roles(text: str) -> tuple[frozenset[int], frozenset[int]]:
     """Nodes that may hold article text, and those of them that constant text does not exclude."""
     found = tree(text)
-    aside, article = [False], [False]
+    aside, article, needed = [False], [False], _needed(found)
     for i in range(1, len(found.labels)):
         p = found.parents[i]
         inside = article[p]
-        aside.append(aside[p] or _is_aside(found.labels[i], inside))
+        aside.append(aside[p] or _is_aside(found.labels[i], inside, needed[i]))
         article.append(inside or (not aside[-1] and _is_article(found.labels[i])))
     named = any(article)
     kept = frozenset(i for i in range(len(aside)) if not aside[i] and (article[i] or not named))
@@ -368,8 +402,9 @@ def extract_text(pages: DataFrame, max_broadcast_rows: int = 100_000, **inductio
     """One row per row of ``pages`` (``page_id, url, html``): ``page_id, url, text, n_chars``.
 
     The page's block elements form a tree. Menus, headers, footers, sidebars, notices,
-    adverts, forms and reader comments are known by their tags and the words of their
-    class, id or role; where the page has an article or main element, text outside it
+    adverts, forms and reader comments are known by their tags and the head words of the
+    names in their class, id or role, an article by whole names only; main elements and
+    what holds one, or all articles of the page, are kept whatever their names. Where the page has an article or main element, text outside it
     is left out. What the host's wrapper (:func:`induce_wrappers`) calls template is
     left out too, except for running text of an article: an article that a host shows
     on many pages stays. Character references are decoded, white space in a block

@@ -189,6 +189,25 @@ def test_extracted_text(spark, broadcast_rows):
     assert result(got, "page_id", "url", "text", "n_chars") == sorted(((*w, len(w[2])) for w in want), key=repr)
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div id=page class='site has-sidebar'><p>yes</p></div>", "yes"),
+        ("<main class='site-main no-sidebar'><p>yes</p></main>", "yes"),
+        ("<article class='post comments-open'><p>yes</p></article>", "yes"),
+        ("<section id=search-engines><p>yes</p></section>", "yes"),
+        ("<div class=banner><div><article><p>yes</p></article></div></div>", "yes"),
+        ("<div class=sidebar><main><p>yes</p><div class=share-buttons>no</div></main></div>", "yes"),
+        ("<article><p>yes</p></article><div class=sidebar><article><p>no</p></article></div>", "yes"),
+        ("<article><p>yes</p><div id=comments><article class=comment-body>no</article></div></article>", "yes"),
+        ("<div class='main-menu'>no</div><ul id=footer-links><li>no</ul><p>yes</p>", "yes"),
+    ],
+)
+def test_names_that_only_mention_a_part_do_not_drop_text(page, want):
+    found, blocks = html.parse(page)
+    assert html._text(blocks, found.text(), set()) == want
+
+
 @pytest.mark.parametrize("broadcast_rows", [100_000, 0])
 def test_what_a_host_repeats_is_template(spark, broadcast_rows):
     def page(i):
