@@ -109,7 +109,7 @@ class Words:
 
 def prefix_sums(raw: np.ndarray, seed: int = 0) -> np.ndarray:
     """Sums from which the hash of any byte range follows, see :func:`range_hash`."""
-    ahead = _powers(len(raw) + 1)[0]
+    ahead = powers(len(raw) + 1)[0]
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_bytes_to_random(seed)[raw] * ahead[: len(raw)], out=sums[1:])
     return sums
@@ -117,7 +117,7 @@ def prefix_sums(raw: np.ndarray, seed: int = 0) -> np.ndarray:
 
 def range_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte ranges, equal for equal bytes."""
-    back = _powers(len(sums))[1]
+    back = powers(len(sums))[1]
     return mix((sums[ends] - sums[starts]) * back[starts])
 
 
@@ -135,7 +135,7 @@ def _bytes_to_random(seed: int) -> np.ndarray:
     return _random[seed]
 
 
-def _powers(count: int) -> list[np.ndarray]:
+def powers(count: int) -> list[np.ndarray]:
     """Powers of the multiplier and of its inverse, modulo 2**64."""
     if not _power or len(_power[0]) < count:
         count = max(count, PIECE_BYTES + 1)

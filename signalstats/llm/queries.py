@@ -5,10 +5,24 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstats.llm import chat, decontaminate, html, license, lines, mixing, ngram_join, quality, substring, toxicity
+from signalstats.llm import (
+    chat,
+    decontaminate,
+    html,
+    license,
+    lines,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    resample,
+    runs,
+    substring,
+    toxicity,
+)
 from signalstats.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,3 +319,176 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every document."""
     return license.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 1,024 tokens."""
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(cut)
+
+
+def _sql_crc32(text: str) -> str:
+    """CRC-32 of a text in UTF-8, byte by byte through the list in the row of ``crc``."""
+    code = f"hex(encode({text}))"
+    return f"""xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(range(1, len({code}), 2),
+                     lambda i: CAST('0x' || substr({code}, i, 2) AS BIGINT))),
+        lambda a, x: xor(a >> 8, crc.t[CAST(xor(a, x) & 255 AS INTEGER) + 1])))"""
+
+
+def _sql_crc_table() -> str:
+    """``crc``: one row, the list of the CRC-32 of every byte."""
+    step = "x"
+    for _ in range(8):
+        step = f"list_transform({step}, lambda v: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+    return f"crc AS (SELECT {step} AS t FROM (SELECT CAST(range(256) AS BIGINT[]) AS x))"
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _with_planted_period(doc_id: Column, text: Column) -> Column:
+    """The text; of ids with ``crc32 % 10 = 0``, its words with a periodic end."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def planted(words: Column) -> Column:
+        n = F.size(words)
+        a = F.pmod(g, F.when(n > 0, n).otherwise(1))
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
+
+        def word(i: Column, at: Column) -> Column:
+            return F.get(words, F.when(i < at.a, i).otherwise(at.a + F.pmod(i - at.a, at.p)).cast("int"))
+
+        built = _let(
+            F.struct(a.alias("a"), p.alias("p")),
+            lambda at: F.array_join(F.transform(words, lambda _, i: word(i, at)), " "),
+        )
+        return F.when(n > 0, built).otherwise("")
+
+    return F.when(h % 10 == 0, _let(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), planted)).otherwise(text)
+
+
+@_query(
+    rf"""
+    WITH {_sql_crc_table()}, d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws,
+               {_sql_crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h
+        FROM documents, crc
+    ), planted AS (
+        SELECT r, doc_id, ws, len(ws) AS n, h % 10 = 0 AND doc_id IS NOT NULL AND len(ws) > 0 AS own,
+               (h // 10) % greatest(len(ws), 1) AS a,
+               1 + (len(ws) - (h // 10) % greatest(len(ws), 1)) // (3 + (h // 10) % 8) AS p
+        FROM d
+    ), w AS (
+        SELECT r, n, i, ws[CASE WHEN own AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS word
+        FROM (SELECT *, unnest(range(n)) AS i FROM planted)
+    ), again AS (
+        SELECT x.r, x.i, y.i - x.i AS q FROM w x JOIN w y
+        ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+    ), stretches AS (
+        SELECT r, min(i) AS s, max(i) + 1 + q AS e, q
+        FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM again)
+        GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+    ), runs AS (
+        SELECT r, s AS start, e - s AS length, min(q) AS period FROM stretches GROUP BY r, s, e
+    ), best AS (
+        SELECT r, start, length, period FROM runs
+        QUALIFY row_number() OVER (PARTITION BY r ORDER BY length * 1000000000000 // period DESC, start, period) = 1
+    ), listed AS (
+        SELECT r, count(*) AS n_runs,
+               string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+        FROM runs GROUP BY r
+    ), lost AS (
+        SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs
+    ), kept AS (
+        SELECT w.r, string_agg(w.word, ' ' ORDER BY w.i) AS text
+        FROM w LEFT JOIN lost ON w.r = lost.r AND w.i = lost.i WHERE lost.r IS NULL GROUP BY w.r
+    )
+    SELECT d.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period,
+           1000 * b.length // b.period AS exponent_milli,
+           sha256(coalesce(l.runs, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+    FROM d LEFT JOIN best b ON b.r = d.r LEFT JOIN listed l ON l.r = d.r LEFT JOIN kept k ON k.r = d.r
+    """
+)
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, with a period planted in a tenth of them."""
+    docs = _table(spark, sf_dir, "documents")
+    found = runs.periodic_runs(docs.select("doc_id", _with_planted_period(F.col("doc_id"), F.col("text")).alias("text")))
+
+    def better(a: Column, b: Column) -> Column:
+        """The run with more periods; of equals, the one that comes first in the list."""
+        return F.when(a.isNull() | (b.length * a.period > a.length * b.period), b).otherwise(a)
+
+    nothing = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return (
+        found.withColumn("best", F.aggregate("runs", nothing, better))
+        .select(
+            "doc_id",
+            F.size("runs").cast("long").alias("n_runs"),
+            "best.start",
+            "best.length",
+            "best.period",
+            F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+            F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+            F.sha2("text", 256).alias("collapsed_sha256"),
+        )
+    )
+
+
+def _sql_words(table: str) -> str:
+    return rf"""SELECT {"doc_id, " if table == "documents" else ""}row_number() OVER () AS r,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+        FROM {table}"""
+
+
+@_query(
+    rf"""
+    WITH {_sql_crc_table()}, d AS ({_sql_words("documents")}), b AS ({_sql_words("benchmark")}),
+    w AS (SELECT r, unnest(ws) AS word FROM d), v AS (SELECT unnest(ws) AS word FROM b),
+    buckets AS (
+        SELECT word, {_sql_crc32("word")} % 10000 AS bucket
+        FROM (SELECT word FROM w UNION SELECT word FROM v), crc
+    ), s AS (SELECT bucket, count(*) AS n FROM w JOIN buckets USING (word) GROUP BY bucket),
+    t AS (SELECT bucket, count(*) AS n FROM v JOIN buckets USING (word) GROUP BY bucket),
+    gains AS (
+        SELECT s.bucket, CAST(floor(1000 * ln(
+            (coalesce(t.n, 0) + 1) * (SELECT CAST(sum(n) AS DOUBLE) + 10000 FROM s)
+            / ((s.n + 1) * (SELECT coalesce(CAST(sum(n) AS DOUBLE), 0) + 10000 FROM t)))) AS BIGINT) AS gain
+        FROM s LEFT JOIN t USING (bucket)
+    ), sums AS (
+        SELECT r, CAST(sum(gain) AS BIGINT) AS total, count(*) AS n
+        FROM w JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r
+    ), weights AS (
+        SELECT d.doc_id, len(d.ws) AS n_features,
+               CAST(coalesce((total - ((total % n) + n) % n) // n, 0) AS BIGINT) AS weight
+        FROM d LEFT JOIN sums USING (r)
+    ), scored AS (
+        SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(
+            sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+            / 4294967296::DOUBLE))) AS BIGINT) AS score
+        FROM weights
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+               (SELECT count(*) FROM scored WHERE n_features >= 20) * 10 // 100 AS drawn
+        FROM scored
+    )
+    SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+           CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank
+    FROM ranked
+    """
+)
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likeness of every document to the benchmark, and the tenth that is drawn."""
+    found = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
