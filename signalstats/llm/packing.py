@@ -13,7 +13,7 @@ import functools
 import os
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,19 +24,70 @@ from pyspark.sql import types as T
 
 from signalstats.llm.common import pieces, range_hashes, spans, stored, text_bytes
 
-#: Token sequences of chunks of text that a Python worker remembers.
+#: Chunks of text whose tokens a Python worker remembers at least, and at most twice.
 _REMEMBERED = 1 << 18
+#: Chunks that are tokenized as one text.
+_JOINED = 500
 
 # -- tokens -------------------------------------------------------------------
 
 
-@functools.cache
-def _tokenizer(path: str) -> tuple[Callable[[list[str]], list], dict[bytes, bytes]]:
-    # One task has one core: the library's own threads would take others'.
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class _ChunkTokens:
+    """Token ids of chunks of text, as bytes of 32-bit numbers.
 
-    return Tokenizer.from_file(path).encode_batch_fast, {}
+    Chunks seen before are remembered in two generations: when the younger is full, it
+    becomes the older one, and what is not asked for again is forgotten with that.
+    """
+
+    def __init__(self, path: str) -> None:
+        # One task has one core: the library's own threads would take others'.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(path)
+        added = self._tokenizer.get_added_tokens_decoder()
+        #: Bytes of text that a token stands for: one per character of its byte-level form.
+        self._size = np.zeros(self._tokenizer.get_vocab_size() + 1, np.int64)
+        for token, i in self._tokenizer.get_vocab().items():
+            self._size[i] = len(str(added[i].content).encode()) if i in added else len(token)
+        self._young: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+
+    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self._tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [np.array(x.ids, np.uint32) for x in found]
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Chunks that begin with a blank and end visibly are independent of each other even
+        when joined, so they cost one call for many; the tokens' sizes tell them apart."""
+        join = [c for c in chunks if c[0] == 0x20 and 0x20 < c[-1] < 0x7F]
+        for at in range(0, len(join), _JOINED):
+            part = join[at : at + _JOINED]
+            ids = self._encode([b"".join(part)])[0]
+            ends = np.cumsum([len(c) for c in part])
+            upto = np.cumsum(self._size[ids])
+            last = np.searchsorted(upto, ends)
+            if last[-1] < len(upto) and (upto[last] == ends).all():
+                plain, edges = ids.tobytes(), [0, *((last + 1) * 4).tolist()]
+                self._young.update((c, plain[s:e]) for c, s, e in zip(part, edges[:-1], edges[1:], strict=True))
+            else:  # not a token per byte: some other kind of vocabulary
+                self._young.update((c, x.tobytes()) for c, x in zip(part, self._encode(part), strict=True))
+        other = [c for c in chunks if not (c[0] == 0x20 and 0x20 < c[-1] < 0x7F)]
+        self._young.update((c, x.tobytes()) for c, x in zip(other, self._encode(other), strict=True))
+
+    def of(self, chunks: list[bytes]) -> list[bytes]:
+        """Tokens of distinct chunks, none of them empty."""
+        young, old = self._young, self._old
+        again = [c for c in chunks if c not in young and c in old]
+        young.update((c, old[c]) for c in again)
+        self._learn([c for c in chunks if c not in young])
+        found = [young[c] for c in chunks]
+        if len(young) >= _REMEMBERED:
+            self._young, self._old = {}, young
+        return found
+
+
+_chunk_tokens = functools.cache(_ChunkTokens)
 
 
 def _chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -63,7 +114,6 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
     Equal chunks of the texts are tokenized once, and remembered for later batches.
     """
-    encode, memory = _tokenizer(path)
     raw, offsets = text_bytes(texts)
     if not len(raw):
         return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
@@ -72,14 +122,7 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     _, example, which = np.unique(range_hashes(raw, starts, ends), return_index=True, return_inverse=True)
     whole = raw.tobytes()
     chunks = [whole[s:e] for s, e in zip(starts[example].tolist(), ends[example].tolist(), strict=True)]
-    unknown = [c for c in chunks if c not in memory]
-    if unknown:
-        if len(memory) + len(unknown) > _REMEMBERED:
-            memory.clear()
-            unknown = chunks
-        encoded = encode([c.decode("utf-8", "replace") for c in unknown], add_special_tokens=False)
-        memory.update((c, np.array(x.ids, np.uint32).tobytes()) for c, x in zip(unknown, encoded, strict=True))
-    ids = [memory[c] for c in chunks]
+    ids = _chunk_tokens(path).of(chunks)
     flat = np.frombuffer(b"".join(ids), np.uint32)
     size = np.array([len(x) // 4 for x in ids], np.int64)
     begin = np.cumsum(size) - size
@@ -378,7 +421,10 @@ def pack(pieces_of: DataFrame, capacity: int = 1024, max_steps: int = 10_000) ->
             )
 
     before = F.sum("n").over(Window.partitionBy("length").orderBy("__task")) - F.col("n")
-    starts = cells.select(F.col("length").alias("__length"), F.col("__task").alias("__by"), before.alias("__before"))
+    # A row per task and length grows with the table, so it is not broadcast.
+    starts = cells.select(
+        F.col("length").alias("__length"), F.col("__task").alias("__by"), before.alias("__before")
+    ).hint("merge")
     same = (F.col("length") == F.col("__length")) & (F.col("__task") == F.col("__by"))
     found = numbered.join(starts, same).select(
         *plain.columns, (F.col("__number") + F.col("__before")).alias("__number")
