@@ -41,4 +41,4 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
 def load() -> None:
     """Import the modules that register queries."""
-    from registry import aggregates, events, operations, scalars, streams  # noqa: F401
+    from registry import aggregates, events, operations, scalars, sql_text, streams  # noqa: F401

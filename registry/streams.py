@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from registry import query
@@ -19,14 +21,15 @@ from registry.inputs import (
     sql_window_start,
 )
 from signalstats.model import DIMENSIONS, JobConfig
-from signalstats.operators.dedup import drop_repeated
+from signalstats.operators.dedup import SeenEvents, drop_repeated
 from signalstats.operators.histogram import histogram, histogram_rows
 from signalstats.plans import batch
 from signalstats.session import ship_package
 from signalstats.sources import protobuf
+from signalstats.sources.ledger import LedgerTable
 from signalstats.sources.scratch import new_folder
 from signalstats.sources.tables import EVENTS, read_events
-from signalstats.streaming import pipeline
+from signalstats.streaming import late, pipeline, progress, state
 from signalstats.streaming.progress import ProgressLog, progress_rows
 
 _DELAY = 120  # watermark delay in minutes
@@ -96,26 +99,37 @@ _SQL_CHUNKED = f"""(
                {_CHUNKS} * ({SQL_MS} - (SELECT min({SQL_MS}) FROM events))
                    // ((SELECT max({SQL_MS}) - min({SQL_MS}) FROM events) + 1) AS quarter
         FROM events))"""
-# A row is late when its window starts at or before the watermark with which the
-# trigger before ran, which the chunks before that one have left.
-_SQL_ON_TIME = f"""(
-    SELECT r.* FROM {_SQL_CHUNKED} r
+# Every row with the watermark with which the trigger before its own ran, which the
+# chunks before that one have left.
+_SQL_JUDGED = f"""(
+    SELECT r.*, w.watermark FROM {_SQL_CHUNKED} r
     LEFT JOIN (SELECT c.chunk, max({sql_window_start('e.event_time', _HOUR)}) - {_DELAY * 60000} AS watermark
                FROM (SELECT unnest(range({_CHUNKS})) AS chunk) c JOIN {_SQL_CHUNKED} e ON e.chunk < c.chunk - 1
-               GROUP BY c.chunk) w ON w.chunk = r.chunk
-    WHERE w.watermark IS NULL OR {sql_window_start('r.event_time', _HOUR)} > w.watermark)"""
+               GROUP BY c.chunk) w ON w.chunk = r.chunk)"""
+# A row is late when its window starts at or before that watermark.
+_SQL_ON_TIME = f"""(
+    SELECT * FROM {_SQL_JUDGED} WHERE watermark IS NULL OR {sql_window_start('event_time', _HOUR)} > watermark)"""
+# With windows that close at their end, when it ends at or before it.
+_SQL_ON_TIME_AT_END = f"""(
+    SELECT * FROM {_SQL_JUDGED}
+    WHERE watermark IS NULL OR {sql_window_start('event_time', _HOUR)} + {_HOUR * 60000} > watermark)"""
 
 
-def _sql_updates(dims: list[str]) -> str:
+def _sql_updates(dims: list[str], rows: str = _SQL_ON_TIME) -> str:
     """A row per chunk and key that it touched, with all rows so far."""
     return " UNION ALL ".join(
-        sql_window_stats(f"(SELECT * FROM {_SQL_ON_TIME} WHERE chunk <= {c})", _HOUR, dims, f"HAVING max(chunk) = {c}")
+        sql_window_stats(f"(SELECT * FROM {rows} WHERE chunk <= {c})", _HOUR, dims, f"HAVING max(chunk) = {c}")
         for c in range(_CHUNKS)
     )
 
 
+#: Rows per file of a chunk.
+_FILE_ROWS = 1_000_000
+
+
 def chunked_stream(spark, sf_dir):
-    """The table as files in the order of time, with late rows, one file per trigger."""
+    """The table in the order of time, with late rows, a chunk per trigger. All chunks have the
+    same number of files, enough for the largest, and a trigger takes that many."""
     folder = new_folder(spark, "chunks")
     events = read_events(spark, sf_dir).withColumn("_ms", F.unix_millis("ts"))
     low, high = events.agg(F.min("_ms"), F.max("_ms")).first()
@@ -123,10 +137,13 @@ def chunked_stream(spark, sf_dir):
     late = F.col("event_id") % 10 == 3
     chunk = F.when(late, F.least(quarter + 2, F.lit(_CHUNKS - 1))).otherwise(quarter)
     numbered = events.withColumn("_chunk", chunk)
+    sizes = [r["count"] for r in numbered.groupBy("_chunk").count().collect()]
+    files = min(max(4, max(sizes) // _FILE_ROWS + 1), min(sizes))
     for i in range(_CHUNKS):  # one after the other: the source reads files by age
         rows = numbered.where(F.col("_chunk") == i).select("event_id", "ts", "user_id", "event_type", "value", "props")
-        rows.coalesce(1).write.mode("append").parquet(folder)
-    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
+        # Dealt out in turn, so no file is left out for want of rows.
+        rows.repartition(files).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(folder)
     return as_metric_rows(stream)
 
 
@@ -160,6 +177,180 @@ def stream_timeout_append(spark, sf_dir):
     return drained(spark, result, "append", "stream_timeout_append")
 
 
+# -- windows that close at their end -------------------------------------------
+
+_ENDED = f"HAVING window_start + {_HOUR * 60000} <= {_WATERMARK}"
+
+
+@query(sql_window_stats(_SQL_ON_TIME_AT_END, _HOUR, ["route"], _ENDED))
+def stream_end_append(spark, sf_dir):
+    """Keys once, when the watermark has passed the end of their window; rows count until then."""
+    result = pipeline.window_statistics(chunked_stream(spark, sf_dir), _HOUR, _DELAY, ["route"], closes="end")
+    return drained(spark, result, "append", "stream_end_append")
+
+
+@query(
+    f"{_sql_updates([], _SQL_ON_TIME_AT_END)} UNION ALL {sql_window_stats(_SQL_ON_TIME_AT_END, _HOUR, [], _ENDED)}"
+)
+def stream_end_update(spark, sf_dir):
+    """Every key when touched, and once more when the watermark has passed its window's end."""
+    result = pipeline.window_statistics(chunked_stream(spark, sf_dir), _HOUR, _DELAY, [], closes="end")
+    touched = drained(spark, result, "update", "stream_end_touched")
+    return touched.unionByName(drained(spark, result, "append", "stream_end_final"))
+
+
+# -- late rows, state, offsets ---------------------------------------------------
+
+
+@query(
+    f"""SELECT chunk AS batch, metric, event_time, route, value, watermark FROM {_SQL_JUDGED}
+        WHERE {sql_window_start('event_time', _HOUR)} <= watermark"""
+)
+def stream_late_rows(spark, sf_dir):
+    """The rows that the hourly statistics drop as late, by trigger, with the watermark they missed."""
+    folder = new_folder(spark, "stream_late_rows")
+    rows = chunked_stream(spark, sf_dir)
+    late.late_rows_to_table(rows, folder, f"{folder}/checkpoint", _HOUR, _DELAY).awaitTermination()
+    return late.late_rows(spark, folder, rows.schema)
+
+
+@query(
+    f"""SELECT chunk AS batch_id, count(*) AS input_rows,
+               count(*) FILTER ({sql_window_start('event_time', _HOUR)} <= watermark) AS late_events,
+               count(*) FILTER ({sql_window_start('event_time', _HOUR)} <= watermark) > 0 AS state_dropped
+        FROM {_SQL_JUDGED} GROUP BY chunk"""
+)
+def stream_late_counts(spark, sf_dir):
+    """Late events per trigger as counted aside, and whether the aggregation itself reports
+    drops in the same trigger (it counts merged rows, not events)."""
+    folder = new_folder(spark, "stream_late_counts")
+    rows = chunked_stream(spark, sf_dir)
+    log = ProgressLog(spark, f"{folder}/progress")
+    spark.streams.addListener(log)
+    try:
+        late.late_rows_to_table(rows, folder, f"{folder}/checkpoint", _HOUR, _DELAY).awaitTermination()
+        result = pipeline.window_statistics(rows, _HOUR, _DELAY, [])
+        counted = pipeline.to_table(result, f"{folder}/table", f"{folder}/state", "append", name="late_counts")
+        counted.awaitTermination()
+        log.wait(counted)
+    finally:
+        spark.streams.removeListener(log)
+    aside = late.late_rows(spark, folder, rows.schema).groupBy(F.col("batch").alias("batch_id")).agg(F.count("*").alias("late_events"))
+    reported = log.rows().where((F.col("query_id") == str(counted.id)) & (F.col("input_rows") > 0))
+    return reported.join(aside, "batch_id", "left").select(
+        "batch_id",
+        "input_rows",
+        F.coalesce("late_events", F.lit(0)).alias("late_events"),
+        (F.col("late_partials") > 0).alias("state_dropped"),
+    )
+
+
+@query(
+    f"""SELECT metric, window_start AS closes_at FROM (
+            SELECT DISTINCT metric, {sql_window_start('event_time', _HOUR)} AS window_start FROM {_SQL_ON_TIME})
+        WHERE window_start > {_WATERMARK}"""
+)
+def stream_open_keys(spark, sf_dir):
+    """Keys that a stopped query still holds, read from its checkpoint: those not yet final."""
+    folder = new_folder(spark, "stream_open_keys")
+    result = pipeline.window_statistics(chunked_stream(spark, sf_dir), _HOUR, _DELAY, [])
+    pipeline.to_table(result, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
+    held = state.open_keys(spark, f"{folder}/checkpoint")
+    return held.select("metric", F.unix_millis("_window").alias("closes_at"))
+
+
+@query(f"SELECT chunk AS batch_id, chunk AS to_offset, count(*) AS rows, sum(count(*)) OVER (ORDER BY chunk) AS rows_so_far FROM {_SQL_CHUNKED} GROUP BY chunk")
+def stream_offsets(spark, sf_dir):
+    """What each trigger has read from the source, and the running total."""
+    folder = new_folder(spark, "stream_offsets")
+    log = ProgressLog(spark, f"{folder}/progress")
+    spark.streams.addListener(log)
+    try:
+        run = pipeline.to_table(chunked_stream(spark, sf_dir), f"{folder}/table", f"{folder}/checkpoint", name="offsets")
+        run.awaitTermination()
+        log.wait(run)
+    finally:
+        spark.streams.removeListener(log)
+    own = log.rows().where((F.col("query_id") == str(run.id)) & (F.col("input_rows") > 0))
+    return progress.consumption(progress.offset_rows(own)).select("batch_id", "to_offset", "rows", "rows_so_far")
+
+
+# -- several lengths, one table, one sight of each event --------------------------
+
+_SQL_LATE_BY_TIME = f"""(
+    SELECT r.* FROM {_SQL_CHUNKED} r
+    LEFT JOIN (SELECT c.chunk, max(e.event_time) - {_DELAY * 60000} AS watermark
+               FROM (SELECT unnest(range({_CHUNKS})) AS chunk) c JOIN {_SQL_CHUNKED} e ON e.chunk < c.chunk - 1
+               GROUP BY c.chunk) w ON w.chunk = r.chunk
+    WHERE w.watermark IS NULL OR r.event_time - r.event_time % 300000 + 300000 > w.watermark)"""
+_SQL_DAYS = sql_window_stats(
+    _SQL_LATE_BY_TIME,
+    1440,
+    [],
+    f"HAVING window_start + 86400000 <= (SELECT max(event_time) - {_DELAY * 60000} FROM {SQL_METRICS})",
+    start="(event_time - event_time % 86400000)",
+)
+
+
+@query(_SQL_DAYS)
+def stream_rolled_up(spark, sf_dir):
+    """Events to 5 minutes, these to hours, these to days, in one query over several triggers."""
+    result = pipeline.rolled_up_statistics(chunked_stream(spark, sf_dir), [5, 60, 1440], _DELAY, [])
+    return drained(spark, result, "append", "stream_rolled_up")
+
+
+@query(sql_window_stats(_SQL_ON_TIME, _HOUR, ["route"]))
+def stream_latest_rows(spark, sf_dir):
+    """One row per key, the latest of update mode, in a table that is merged day by day."""
+    folder = new_folder(spark, "stream_latest")
+    result = pipeline.window_statistics(chunked_stream(spark, sf_dir), _HOUR, _DELAY, ["route"])
+    table = LedgerTable(
+        spark,
+        f"{folder}/table",
+        result.schema,
+        ["metric", "window_start", "route"],
+        F.floor(F.col("window_start") / 86_400_000),
+        merge_every=3,
+    )
+    pipeline.to_latest(result, table, f"{folder}/checkpoint").awaitTermination()
+    return table.latest()
+
+
+@query(f"SELECT 'E' || event_id AS event_id, {SQL_MS} AS event_time FROM events")
+def stream_seen_events(spark, sf_dir):
+    """All events delivered three times: at once, and again after the watermark has passed them."""
+    folder = new_folder(spark, "stream_seen")
+    events = as_call_events(read_events(spark, sf_dir)).select("event_id", "event_time")
+    for copies in (2, 1):
+        events.withColumn("copy", F.explode(F.array(*map(F.lit, range(copies))))).drop("copy").write.mode("append").parquet(
+            f"{folder}/input"
+        )
+    files = len(spark.read.parquet(f"{folder}/input").inputFiles()) // 2
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", max(files, 1)).parquet(f"{folder}/input")
+
+    def sink(rows, batch):
+        rows.write.mode("overwrite").parquet(f"{folder}/new/batch={batch}")
+
+    seen = SeenEvents(spark, f"{folder}/seen", merge_every=1)
+    pipeline.writer(stream, "append", f"{folder}/checkpoint", drain=True).foreachBatch(seen.keep(sink)).start().awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{folder}/new").select("event_id", "event_time")
+
+
+@query(
+    f"""SELECT round(avg(p99), 6) AS avg_p99, count(*) AS keys FROM ({sql_window_stats(SQL_METRICS, _HOUR, ["route"])})"""
+)
+def stream_memory_table(spark, sf_dir):
+    """A named query with its result in memory, and SQL on that name."""
+    result = pipeline.window_statistics(metric_stream(spark, sf_dir), _HOUR, _DELAY, ["route"])
+    name = f"memory_{uuid.uuid4().hex}"
+    running = pipeline.to_memory(pipeline.writer(result, "update"), name)
+    try:
+        running.processAllAvailable()
+        return spark.sql(f"SELECT round(avg(p99), 6) AS avg_p99, count(*) AS keys FROM {name}")
+    finally:
+        running.stop()
+
+
 @query(sql_window_stats(SQL_METRICS, _HOUR, []))
 def stream_processing_time(spark, sf_dir):
     """A trigger every second until the source is drained; the latest rows per key."""

@@ -171,7 +171,10 @@ class JobConfig:
 
     ``payload_format`` and ``output_format`` are ``json`` or ``protobuf``,
     ``id_algorithm`` is ``md5`` or ``murmur3``. With ``final_rows`` a job in update
-    mode also writes each key once more when its window is closed. Payloads that do
+    mode also writes each key once more when its window is closed, which it is when the
+    watermark has passed its ``start`` or its ``end``. Unless ``closes`` says which, jobs
+    that write rows of closed windows wait for the end, and others drop late rows from the
+    start on. Payloads that do
     not decode go to the table ``reject_path``, progress reports with the counts of
     all left-out events to ``progress_path``.
     """
@@ -188,12 +191,17 @@ class JobConfig:
     output_format: str = "json"
     id_algorithm: str = "md5"
     final_rows: bool = False
+    closes: str | None = None
     reject_path: str | None = None
     progress_path: str | None = None
     spark_conf: dict[str, str] = field(default_factory=dict)
     source: TopicConfig | None = None
     sink: TopicConfig | None = None
 
+    @property
+    def closing(self) -> str:
+        return self.closes or ("end" if self.final_rows or self.output_mode == "append" else "start")
+
     @classmethod
     def from_mapping(cls, settings: Mapping) -> JobConfig:
         """From a parsed configuration file; keys that are not set keep their defaults.
@@ -212,6 +220,7 @@ class JobConfig:
             "outputFormat": "output_format",
             "idAlgorithm": "id_algorithm",
             "finalRows": "final_rows",
+            "closes": "closes",
             "rejectPath": "reject_path",
             "progressPath": "progress_path",
         }

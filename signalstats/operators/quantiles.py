@@ -21,7 +21,8 @@ from signalstats.model import PERCENTILES, SKETCH_K
 _ABOVE = 1e-7
 
 
-def _rank(p: float) -> float:
+def rank_above(p: float) -> float:
+    """The rank to ask a sketch for, see above."""
     if not 0.0 <= p <= 1.0:
         raise ValueError(f"rank out of [0, 1]: {p}")
     return min(p + _ABOVE, 1.0)
@@ -54,7 +55,7 @@ def sketch_quantiles(sketch: Column, ps: Sequence[float], filled: Column | None
 
     ``filled`` says whether the sketch holds values, where the row knows already.
     """
-    ranks = F.array(*[F.lit(_rank(p)) for p in ps])
+    ranks = F.array(*[F.lit(rank_above(p)) for p in ps])
     known = sketch_size(sketch) > 0 if filled is None else filled
     return F.when(known, F.kll_sketch_get_quantile_double(sketch, ranks))
 

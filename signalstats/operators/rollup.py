@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalstats.functions.windows import event_window_start
@@ -82,3 +82,45 @@ def roll_up_windows(partial: DataFrame, minutes: int, keys: Sequence[str], k: in
         start = F.col("window_start") - F.pmod("window_start", F.lit(minutes * 60_000))
     rolled = roll_up(partial.withColumn("window_start", start), keys, k)
     return rolled.withMetadata("window_start", {WINDOW_MINUTES: minutes})
+
+
+def merge_parts(partial: DataFrame, keys: Sequence[str], order: str, k: int = SKETCH_K) -> DataFrame:
+    """The same in one group-by, which a stream can do: for keys with a bounded number of
+    mergeable rows, such as the hours of a day.
+
+    Counts and moments of the rows of a key are listed and merged one after another by
+    ``order``, a column that tells them apart; sketches and bins merge on their own.
+    """
+    moments = F.struct(F.col(order).alias("at"), "samples", "mean", "variance")
+    merged = partial.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(moments)).alias("_parts"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        merge_sketches(F.col("sketch"), k).alias("sketch"),
+        *[F.sum(b).alias(b) for b in BINS],
+    )
+
+    def joined(a: Column, part: Column) -> Column:
+        n, more = a.n, part.samples.cast("double")
+        total, apart = n + more, part.mean - a.mean
+        inside = F.coalesce(part.variance, F.lit(0.0)) * (more - 1)
+        both = F.struct(
+            total.alias("n"),
+            (a.mean + apart * more / total).alias("mean"),
+            (a.spread + inside + apart * apart * n * more / total).alias("spread"),
+        )
+        alone = F.struct(more.alias("n"), part.mean.alias("mean"), inside.alias("spread"))
+        return F.when(more == 0, a).when(n == 0, alone).otherwise(both)
+
+    nothing = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("spread"))
+    read = merged.withColumn("_all", F.aggregate("_parts", nothing, joined))
+    return read.select(
+        *keys,
+        F.col("_all.n").cast("bigint").alias("samples"),
+        "min",
+        "max",
+        F.when(F.col("_all.n") > 0, F.col("_all.mean")).alias("mean"),
+        F.when(F.col("_all.n") > 1, F.col("_all.spread") / (F.col("_all.n") - 1)).alias("variance"),
+        "sketch",
+        *BINS,
+    )

@@ -27,3 +27,9 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """Path of a fresh subfolder; nothing is created yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from signalstats.functions.windows import event_window_start
+from signalstats.functions.windows import MINUTE_MS, event_window_start, window_end
 from signalstats.model import DIMENSIONS, SKETCH_K, JobConfig
 from signalstats.operators.decode import decode_json, metric_rows, observe_rejects, quarantine, valid
+from signalstats.operators.rollup import merge_parts
 from signalstats.operators.stats import aggregate, finalize
 from signalstats.plans.batch import describe_windows, nested
 from signalstats.session import ship_package
 from signalstats.sources import kafka, protobuf
-from signalstats.streaming.progress import ProgressLog
+from signalstats.sources.ledger import LedgerTable
+from signalstats.streaming.progress import record_progress
 
 Processor = Callable[[DataFrame], DataFrame]
 
@@ -32,13 +34,23 @@ def output_mode(name: str | None) -> str:
     return name if name in ("complete", "update", "append") else "update"
 
 
-def with_window_watermark(rows: DataFrame, minutes: int, watermark_minutes: int) -> DataFrame:
-    """Add ``_window``, the start of the window, and let the watermark follow it.
+def with_window_watermark(
+    rows: DataFrame, minutes: int, watermark_minutes: int, closes: str = "start"
+) -> DataFrame:
+    """Add ``_window``, the start or end of the window, and let the watermark follow it.
 
-    Rows whose window starts at or before the watermark are late.
+    The watermark is the latest window start less the delay in both cases. With
+    ``closes="start"`` a window is closed, and its rows are late, once the watermark has
+    reached its start; with ``closes="end"`` once it has reached its end: the same bound,
+    reckoned from the end of the latest window, is one window longer ago.
     """
-    start = F.timestamp_millis(event_window_start(F.col("event_time"), minutes))
-    return rows.withColumn(_WINDOW, start).withWatermark(_WINDOW, f"{watermark_minutes} minutes")
+    start = event_window_start(F.col("event_time"), minutes)
+    if closes == "start":
+        return rows.withColumn(_WINDOW, F.timestamp_millis(start)).withWatermark(_WINDOW, f"{watermark_minutes} minutes")
+    if closes != "end":
+        raise ValueError(f"a window closes at its start or its end, not at {closes!r}")
+    end = F.timestamp_millis(window_end(start, minutes))
+    return rows.withColumn(_WINDOW, end).withWatermark(_WINDOW, f"{watermark_minutes + minutes} minutes")
 
 
 def window_statistics(
@@ -48,15 +60,18 @@ def window_statistics(
     dimensions: Sequence[str] = DIMENSIONS,
     k: int = SKETCH_K,
     id_algorithm: str = "md5",
+    closes: str = "start",
 ) -> DataFrame:
     """Flat aggregate rows of a stream (or table) of metric rows.
 
     In update mode a row per touched key and trigger, in append mode one row per
-    key once the watermark has passed its window's start, in complete mode all.
+    key once the watermark has passed its window's start, or its end with
+    ``closes="end"``, in complete mode all.
     """
-    keyed = with_window_watermark(rows, minutes, watermark_minutes)
+    keyed = with_window_watermark(rows, minutes, watermark_minutes, closes)
     stats = finalize(aggregate(keyed, ["metric", _WINDOW, *dimensions], k=k))
-    started = stats.withColumn("window_start", F.unix_millis(_WINDOW)).drop(_WINDOW)
+    start = F.unix_millis(_WINDOW) - (0 if closes == "start" else minutes * MINUTE_MS)
+    started = stats.withColumn("window_start", start).drop(_WINDOW)
     return describe_windows(started, minutes, dimensions, id_algorithm)
 
 
@@ -76,6 +91,44 @@ def aligned_statistics(
     return describe_windows(started, minutes, dimensions, id_algorithm)
 
 
+def rolled_up_statistics(
+    rows: DataFrame,
+    minutes: Sequence[int],
+    watermark_minutes: int,
+    dimensions: Sequence[str] = DIMENSIONS,
+    k: int = SKETCH_K,
+    id_algorithm: str = "md5",
+) -> DataFrame:
+    """Statistics of the last of several window lengths, each built from the one before
+    inside one query: events to 5 minutes, these to 1 hour, these to 1 day.
+
+    Windows are calendar-aligned and every length is a multiple of the one before. Append
+    mode only: a closed window's mergeable row goes on to the next length, so the state of
+    a length holds a sketch per open window and, of the windows that have closed inside it,
+    their counts and moments; events are kept at the first length alone. Moments are merged
+    in the order of time, by the formula for two parts, so values far from zero lose no
+    digits and the order in which tasks deliver does not matter.
+    """
+    first, *longer = minutes
+    if any(b % a for a, b in zip(minutes[:-1], longer, strict=True)):
+        raise ValueError(f"the lengths {list(minutes)} do not nest")
+    timed = rows.withColumn("_at", F.timestamp_millis("event_time")).withWatermark("_at", f"{watermark_minutes} minutes")
+    partial = aggregate(
+        timed.withColumn(_WINDOW, F.window("_at", f"{first} minutes")), ["metric", _WINDOW, *dimensions], k=k
+    )
+    for length in longer:
+        partial = merge_parts(_widened(partial, length), ["metric", _WINDOW, *dimensions], "_part", k)
+    stats = finalize(partial)
+    started = stats.withColumn("window_start", F.unix_millis(f"{_WINDOW}.start")).drop(_WINDOW)
+    return describe_windows(started, minutes[-1], dimensions, id_algorithm)
+
+
+def _widened(partial: DataFrame, minutes: int) -> DataFrame:
+    """Mergeable rows with ``_part``, the start of their window, in a longer window."""
+    timed = partial.withColumn("_part", F.col(f"{_WINDOW}.start")).withColumn("_time", F.window_time(_WINDOW))
+    return timed.drop(_WINDOW).withColumn(_WINDOW, F.window("_time", f"{minutes} minutes"))
+
+
 def decoder(config: JobConfig) -> Processor:
     """Adds ``event`` decoded from ``value`` in the configured format."""
     if config.payload_format == "json":
@@ -95,7 +148,13 @@ def event_processor(config: JobConfig, decode: Processor | None = None) -> Proce
         decoded = observe_rejects((decode or decoder(config))(messages), config.metric)
         rows = metric_rows(valid(decoded), config.metric)
         return nested(
-            window_statistics(rows, config.window_minutes, config.watermark_minutes, id_algorithm=config.id_algorithm)
+            window_statistics(
+                rows,
+                config.window_minutes,
+                config.watermark_minutes,
+                id_algorithm=config.id_algorithm,
+                closes=config.closing,
+            )
         )
 
     return process
@@ -171,6 +230,21 @@ def to_table(
     return stream.foreachBatch(write).start()
 
 
+def to_latest(
+    result: DataFrame,
+    table: LedgerTable,
+    checkpoint: str,
+    name: str | None = None,
+    every: str | None = None,
+    drain: bool = True,
+) -> StreamingQuery:
+    """Rows of update mode to a table of the latest row per key, see
+    :class:`~signalstats.sources.ledger.LedgerTable`: readers see one row per key while the
+    query runs, and a trigger that runs again after a failure changes nothing. A table
+    belongs to one checkpoint."""
+    return writer(result, "update", checkpoint, name, every, drain).foreachBatch(table.write).start()
+
+
 #: Starts a query that writes rows in a mode under a name.
 Sink = Callable[[DataFrame, str, str], StreamingQuery]
 
@@ -178,17 +252,21 @@ Sink = Callable[[DataFrame, str, str], StreamingQuery]
 def start_job(messages: DataFrame, config: JobConfig, sink: Sink, drain: bool = False) -> list[StreamingQuery]:
     """Start the queries of a job: statistics, their final rows, malformed payloads.
 
-    A window is final when the watermark has passed its start; with
-    ``final_rows`` a second query in append mode then writes its keys once more, in
-    the first trigger after that. Both queries read the source on their own and keep
-    built-in state only.
+    A window is final when the watermark has passed its start or, with
+    ``config.closing`` at the ``end``, its end; with ``final_rows`` a second query in append
+    mode then writes its keys once more, in the first trigger after that. Both queries
+    read the source on their own, keep built-in state only and take the same rows as late.
     """
     name = config.query_name
     queries = [sink(event_processor(config)(messages), config.output_mode, name)]
     if config.final_rows and output_mode(config.output_mode) == "update":
         rows = metric_rows(valid(decoder(config)(messages)), config.metric)
         final = window_statistics(
-            rows, config.window_minutes, config.watermark_minutes, id_algorithm=config.id_algorithm
+            rows,
+            config.window_minutes,
+            config.watermark_minutes,
+            id_algorithm=config.id_algorithm,
+            closes=config.closing,
         )
         queries.append(sink(nested(final), "append", f"{name}.final"))
     if config.reject_path:
@@ -213,7 +291,7 @@ def run_job(spark: SparkSession, config: JobConfig) -> StreamingQuery:
     if "protobuf" in (config.payload_format, config.output_format) or config.id_algorithm == "murmur3":
         ship_package(spark)
     if config.progress_path:
-        spark.streams.addListener(ProgressLog(spark, config.progress_path))
+        record_progress(spark, config.progress_path)
 
     def sink(rows: DataFrame, mode: str, name: str) -> StreamingQuery:
         return to_kafka(rows, config, mode, None if name == config.query_name else name)

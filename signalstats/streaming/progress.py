@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-# Offsets are JSON whose shape depends on the source, so they stay text.
+# Offsets are JSON whose shape depends on the source, so they stay text; see offset_rows.
 PROGRESS = """
     id STRING, runId STRING, name STRING, timestamp STRING, batchId BIGINT, numInputRows BIGINT,
     inputRowsPerSecond DOUBLE, processedRowsPerSecond DOUBLE, durationMs MAP<STRING, BIGINT>,
-    sources ARRAY<STRUCT<description STRING, startOffset STRING, endOffset STRING, numInputRows BIGINT,
-                         inputRowsPerSecond DOUBLE, processedRowsPerSecond DOUBLE>>,
+    eventTime MAP<STRING, STRING>,
+    stateOperators ARRAY<STRUCT<operatorName STRING, numRowsTotal BIGINT, numRowsUpdated BIGINT,
+                                numRowsRemoved BIGINT, memoryUsedBytes BIGINT,
+                                numRowsDroppedByWatermark BIGINT>>,
+    sources ARRAY<STRUCT<description STRING, startOffset STRING, endOffset STRING, latestOffset STRING,
+                         numInputRows BIGINT, inputRowsPerSecond DOUBLE, processedRowsPerSecond DOUBLE>>,
     sink STRUCT<description STRING>, observedMetrics MAP<STRING, MAP<STRING, BIGINT>>
 """
 
@@ -26,8 +30,22 @@ def _total(field: str, zero: Column) -> Column:
     return F.coalesce(F.col(field), per_source)
 
 
+def _state(field: str) -> Column:
+    """A figure of all state operators of the query; null for a query without state."""
+    figures = F.col(f"stateOperators.{field}")
+    total = F.aggregate(figures, F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x, F.lit(0)))
+    return F.when(F.size(figures) > 0, total)
+
+
 def progress_rows(reports: DataFrame, column: str = "progress") -> DataFrame:
-    """Progress reports (JSON text) to one row per query and trigger."""
+    """Progress reports (JSON text) to one row per query and trigger.
+
+    ``state_rows`` are the keys kept after the trigger, ``state_bytes`` their memory,
+    ``state_updated`` and ``state_removed`` the keys that the trigger wrote and closed.
+    ``late_partials`` counts what the watermark has dropped: rows that a task had merged
+    before, one per key, so late *events* are more; see ``streaming.late`` for those.
+    ``watermark`` is the one the trigger ran with.
+    """
     return (
         reports.select(F.from_json(column, PROGRESS).alias("p"))
         .select("p.*")
@@ -41,6 +59,12 @@ def progress_rows(reports: DataFrame, column: str = "progress") -> DataFrame:
             _total("inputRowsPerSecond", F.lit(0.0)).alias("input_rate"),
             _total("processedRowsPerSecond", F.lit(0.0)).alias("processed_rate"),
             F.col("durationMs").alias("durations"),
+            F.to_timestamp(F.col("eventTime")["watermark"]).alias("watermark"),
+            _state("numRowsTotal").alias("state_rows"),
+            _state("numRowsUpdated").alias("state_updated"),
+            _state("numRowsRemoved").alias("state_removed"),
+            _state("memoryUsedBytes").alias("state_bytes"),
+            _state("numRowsDroppedByWatermark").alias("late_partials"),
             "sources",
             F.col("sink.description").alias("sink"),
             F.col("observedMetrics").alias("observed"),
@@ -48,6 +72,85 @@ def progress_rows(reports: DataFrame, column: str = "progress") -> DataFrame:
     )
 
 
+_PARTITIONS = "map<string,map<string,bigint>>"
+
+
+def _per_partition(offset: Column) -> Column:
+    """``MAP<STRUCT<topic, partition>, BIGINT>`` of an offset: topics with partitions, the
+    log position of a file source, or a plain number."""
+    topics = F.map_entries(F.from_json(offset, _PARTITIONS))
+    pairs = F.flatten(
+        F.transform(
+            topics,
+            lambda t: F.transform(
+                F.map_entries(t.value),
+                lambda p: F.struct(
+                    F.struct(t.key.alias("topic"), p.key.cast("int").alias("partition")).alias("at"), p.value.alias("offset")
+                ),
+            ),
+        )
+    )
+    position = F.coalesce(F.get_json_object(offset, "$.logOffset"), F.regexp_extract(offset, r"^\s*(-?\d+)\s*$", 1))
+    position = F.when(position != "", position).cast("bigint")
+    whole = F.struct(F.lit(None).cast("string").alias("topic"), F.lit(None).cast("int").alias("partition"))
+    single = F.array(F.struct(whole.alias("at"), position.alias("offset")))
+    return F.map_from_entries(F.when(position.isNotNull(), single).otherwise(pairs))
+
+
+def offset_rows(progress: DataFrame) -> DataFrame:
+    """Rows of :func:`progress_rows` to one row per trigger, source and partition.
+
+    ``from_offset`` (null in a query's first trigger) and ``to_offset`` are what the trigger
+    has read. For topics ``rows`` is their difference, and ``backlog`` what the broker
+    held beyond; a source without partitions has its own count of rows in its single row.
+    Offsets of other shapes leave the offset columns null.
+    """
+    source = progress.select(
+        "query", "query_id", "run_id", "batch_id", "at", F.posexplode("sources").alias("source", "s")
+    )
+    read = source.select(
+        *(c for c in source.columns if c != "s"),
+        F.col("s.description").alias("description"),
+        F.col("s.numInputRows").alias("_rows"),
+        _per_partition(F.col("s.startOffset")).alias("_from"),
+        _per_partition(F.col("s.endOffset")).alias("_to"),
+        _per_partition(F.col("s.latestOffset")).alias("_latest"),
+    )
+    return read.select(
+        *(c for c in read.columns if not c.startswith("_")),
+        "_rows",
+        "_from",
+        "_latest",
+        F.explode_outer("_to").alias("_at", "to_offset"),
+    ).select(
+        "query",
+        "query_id",
+        "run_id",
+        "batch_id",
+        "at",
+        "source",
+        "description",
+        F.col("_at.topic").alias("topic"),
+        F.col("_at.partition").alias("partition"),
+        F.try_element_at("_from", F.col("_at")).alias("from_offset"),
+        "to_offset",
+        F.when(F.col("_at.topic").isNull(), F.col("_rows"))
+        .otherwise(F.col("to_offset") - F.try_element_at("_from", F.col("_at")))
+        .alias("rows"),
+        (F.try_element_at("_latest", F.col("_at")) - F.col("to_offset")).alias("backlog"),
+    )
+
+
+def consumption(offsets: DataFrame) -> DataFrame:
+    """Rows of :func:`offset_rows` with running figures of each query's source and partition:
+    ``rows_so_far`` up to the trigger, and ``backlog_change`` since the trigger before."""
+    history = Window.partitionBy("query_id", "source", "topic", "partition").orderBy("batch_id")
+    so_far = history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return offsets.withColumn("rows_so_far", F.sum("rows").over(so_far)).withColumn(
+        "backlog_change", F.col("backlog") - F.lag("backlog").over(history)
+    )
+
+
 REPORTS = "kind STRING, query_id STRING, query STRING, report STRING"
 
 
@@ -83,7 +186,7 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event):
         self._add("terminated", event.id, None, event.exception)
         with self._changed:
-            self._ended.add(str(event.id))
+            self._ended.add(str(event.runId))
             self._changed.notify_all()
 
     def flush(self) -> None:
@@ -94,9 +197,9 @@ class ProgressLog(StreamingQueryListener):
             table.coalesce(1).write.mode("append").parquet(self._path)
 
     def wait(self, query: StreamingQuery, seconds: float = 60.0) -> None:
-        """Until the end of a query, and so all its reports, are in the table."""
+        """Until the end of this run of a query, and so all its reports, are in the table."""
         with self._changed:
-            if not self._changed.wait_for(lambda: str(query.id) in self._ended, seconds):
+            if not self._changed.wait_for(lambda: str(query.runId) in self._ended, seconds):
                 raise TimeoutError(f"no end of query {query.id} within {seconds} s")
 
     def table(self) -> DataFrame:
@@ -106,3 +209,24 @@ class ProgressLog(StreamingQueryListener):
 
     def rows(self) -> DataFrame:
         return progress_rows(self.table().where("kind = 'progress'"), "report")
+
+
+_LOGS = "_signalstats_progress_logs"
+
+
+def record_progress(spark: SparkSession, path: str) -> ProgressLog:
+    """The session's log of that path; registered when first asked for, so that a job that
+    starts again after a failure does not write each report once more."""
+    logs = spark.__dict__.setdefault(_LOGS, {})
+    if path not in logs:
+        logs[path] = ProgressLog(spark, path)
+        spark.streams.addListener(logs[path])
+    return logs[path]
+
+
+def stop_recording(spark: SparkSession, path: str) -> None:
+    """Write what is left and take the log of that path off the session."""
+    log = spark.__dict__.get(_LOGS, {}).pop(path, None)
+    if log is not None:
+        spark.streams.removeListener(log)
+        log.flush()
