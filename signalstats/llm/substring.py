@@ -15,9 +15,8 @@ from signalstats.llm.quality import covered
 
 #: Rows that a task compares among themselves before it sends what is left to others.
 _CHUNK = 500_000
-#: Bits of a row's text hash that tell rows with one doc_id apart.
-_TEXT_BITS, _POSITION_BITS = 27, 36
-_NO_ID = -(2**63)
+#: Bits of a reference that count the windows of a run; the others are the first word's number.
+_RUN_BITS = 16
 #: What a row stands for: an occurrence not met again so far, a mark that the task
 #: has met its key more often, or a finding that needs no further comparison.
 _OPEN, _MET, _SETTLED = 0, 1, 2
@@ -36,7 +35,7 @@ def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _first_level(length: int, base: int):
-    """Rows ``(key, id, ref, kind)``: each window of ``length`` words is represented by
+    """Rows ``(key, a, b, ref, kind)``: each window of ``length`` words is represented by
     the smallest hash of ``base`` words in it; ``ref`` holds the run of windows that
     share it. Equal windows have equal representatives, so a window whose
     representative occurs once occurs once."""
@@ -53,9 +52,8 @@ def _first_level(length: int, base: int):
             new = np.flatnonzero(np.diff(anchor, prepend=-1))
             run = np.diff(np.append(new, len(at)))
             own = text[new]
-            position = (at[new] - words.first[own]) << 8 | run
-            ids, marks = (piece.column(c).to_numpy(zero_copy_only=False) for c in ("id", "mark"))
-            held.append((hashes[anchor[new]], ids[own], marks[own] << _POSITION_BITS | position))
+            a, b = (piece.column(c).to_numpy() for c in "ab")
+            held.append((hashes[anchor[new]], a[own], b[own], (at[new] - words.first[own]) << _RUN_BITS | run))
             size += len(new)
             if size >= _CHUNK:
                 yield _compared(held)
@@ -67,26 +65,26 @@ def _first_level(length: int, base: int):
 
 
 def _compared(held: list[tuple]) -> pa.RecordBatch:
-    key, ids, ref = (np.concatenate(x) for x in zip(*held, strict=True))
+    key, a, b, ref = (np.concatenate(x) for x in zip(*held, strict=True))
     first, many = _groups(key)
     met = first & many
-    n = int(met.sum())
+    nothing = np.zeros(int(met.sum()), np.int64)
     # Findings carry a key of their own, to spread them.
-    own = mix(ids.view(np.uint64) ^ mix(ref.view(np.uint64)))
+    own = mix(a.view(np.uint64) ^ mix(ref.view(np.uint64)))
     return pa.RecordBatch.from_arrays(
         [
             signed(np.concatenate([np.where(many, own, key), key[met]])),
-            np.concatenate([ids, np.full(n, _NO_ID)]),
-            np.concatenate([ref, np.zeros(n, np.int64)]),
-            np.concatenate([np.where(many, _SETTLED, _OPEN), np.full(n, _MET)]).astype(np.int32),
+            *(np.concatenate([x, nothing]) for x in (a, b, ref)),
+            np.concatenate([np.where(many, _SETTLED, _OPEN), nothing + _MET]).astype(np.int32),
         ],
-        ["key", "id", "ref", "kind"],
+        ["key", "a", "b", "ref", "kind"],
     )
 
 
 def _second_level(length: int, base: int):
-    """Rows ``(key, id, ref, kind, mask, hashes)``: runs of windows of ``length`` words
-    that the first level left, with their full hashes."""
+    """Rows ``(key, a, b, ref, kind, mask, hashes)``: runs of windows of ``length`` words
+    that the first level left, with their full hashes. Of a text that has copies all is
+    known; its windows only count for other texts."""
 
     def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -94,17 +92,15 @@ def _second_level(length: int, base: int):
             words = Words(piece.column("text"))
             refs = piece.column("refs")
             owner = np.repeat(np.arange(piece.num_rows), refs.value_lengths().to_numpy())
-            ref = refs.flatten().to_numpy() & ((1 << _POSITION_BITS) - 1)
-            which, at = spans(ref & 255, words.first[owner] + (ref >> 8))
+            ref = refs.flatten().to_numpy()
+            which, at = spans(ref & ((1 << _RUN_BITS) - 1), words.first[owner] + (ref >> _RUN_BITS))
             order = np.argsort(at)
             at, text = at[order], owner[which][order]
             hashed = words.hashes()
             hashes = ngrams(hashed, base)
             key = hashes[leftmost_smallest(hashes, length - base + 1)[at]]
-            ids, marks = (piece.column(c).to_numpy(zero_copy_only=False) for c in ("id", "mark"))
-            held.append(
-                (key, ngrams(hashed, length)[at], ids[text], marks[text] << _POSITION_BITS | (at - words.first[text]))
-            )
+            a, b, copied = (piece.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "copied"))
+            held.append((key, ngrams(hashed, length)[at], a[text], b[text], at - words.first[text], copied[text]))
             size += len(at)
             if size >= _CHUNK:
                 yield from _runs(held)
@@ -116,13 +112,15 @@ def _second_level(length: int, base: int):
 
 
 def _runs(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-    key, window, ids, ref = (np.concatenate(x) for x in zip(*held, strict=True))
+    key, window, a, b, ref, copied = (np.concatenate(x) for x in zip(*held, strict=True))
     first, many = _groups(joined(key, window))
-    for chosen, kind in ((many, _SETTLED), (first & many, _MET), (~many, _OPEN)):
-        k, h, i, r = (x[chosen] for x in (key, window, ids, ref))
+    known = first & (many | copied)
+    for chosen, kind in ((many & ~copied, _SETTLED), (known, _MET), (~many & ~copied, _OPEN)):
+        k, h, i, j, r = (x[chosen] for x in (key, window, a, b, ref))
         if not len(k):
             continue
-        new = np.append(True, (i[1:] != i[:-1]) | (r[1:] != r[:-1] + 1) | ((k[1:] != k[:-1]) & (kind != _SETTLED)))
+        other = (i[1:] != i[:-1]) | (j[1:] != j[:-1]) | (r[1:] != r[:-1] + 1)
+        new = np.append(True, other | ((k[1:] != k[:-1]) & (kind != _SETTLED)))
         begin = np.flatnonzero(new)
         within = np.arange(len(k)) - np.repeat(begin, np.diff(np.append(begin, len(k))))
         begin = np.flatnonzero(within % _RUN == 0)
@@ -133,12 +131,13 @@ def _runs(held: list[tuple]) -> Iterator[pa.RecordBatch]:
             [
                 signed(own),
                 i[begin],
+                j[begin],
                 r[begin],
                 np.full(len(begin), kind, np.int32),
                 (1 << run) - 1 if kind == _SETTLED else np.zeros(len(begin), np.int64),
                 pa.ListArray.from_arrays(offsets, pa.array(signed(h if kind != _SETTLED else h[:0]))),
             ],
-            ["key", "id", "ref", "kind", "mask", "hashes"],
+            ["key", "a", "b", "ref", "kind", "mask", "hashes"],
         )
 
 
@@ -148,7 +147,8 @@ def _with_list(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Re
 
 
 def _removed(length: int):
-    """Rows ``(id, text, n_words, n_removed)`` without the windows that ``found`` lists."""
+    """Rows ``(doc_id, text, n_words, n_removed)`` without the windows that ``found`` lists; a
+    text that has copies has no other windows."""
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
@@ -156,9 +156,11 @@ def _removed(length: int):
             found = piece.column("found")
             owner = np.repeat(np.arange(piece.num_rows), found.value_lengths().fill_null(0).to_numpy())
             ref, mask = (found.flatten().field(i).to_numpy() for i in (0, 1))
-            begin = words.first[owner] + (ref & ((1 << _POSITION_BITS) - 1))
+            begin = words.first[owner] + ref
             starts = [begin[mask >> bit & 1 == 1] + bit for bit in range(_RUN)]
             lost = covered(np.concatenate(starts), length, len(words))
+            copied = piece.column("copied").fill_null(False).to_numpy(zero_copy_only=False)
+            lost |= np.repeat(copied & (words.counts >= length), words.counts)
             texts = []
             for i in range(piece.num_rows):
                 own = words.raw[words.offsets[i] : words.offsets[i + 1]].tobytes().split()
@@ -167,12 +169,12 @@ def _removed(length: int):
             n_lost = np.add.reduceat(np.append(lost, 0), words.first[:-1]) * (words.counts > 0)
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece.column("id"),
+                    piece.column("doc_id"),
                     pa.array(texts, pa.binary()).cast(pa.string()),
                     pa.array(words.counts, pa.int64()),
                     pa.array(n_lost, pa.int64()),
                 ],
-                ["id", "text", "n_words", "n_removed"],
+                ["doc_id", "text", "n_words", "n_removed"],
             )
 
     return remove
@@ -192,9 +194,9 @@ def substring_dedup(docs: DataFrame, min_words: int = 35) -> DataFrame:
     removed; windows are judged on the input. ``text`` holds the words that are left,
     joined by one space.
 
-    Null or empty text: no words, empty text. Copies of one row lose all windows, as
-    each is the other's repeat; rows that share a ``doc_id`` are told apart by their
-    text, and a null ``doc_id`` is an id like others. Other columns are not used.
+    Null or empty text: no words, empty text. A text that occurs in several rows loses all
+    windows, as each is the other's repeat; so do repeated rows. ``doc_id`` is passed on and
+    not looked at: it may be missing or shared. Other columns are not used.
 
     Level-wise doubling: the first level compares windows of half the length and goes
     on with those alone that repeat; they are extended to twice that length, here
@@ -202,41 +204,50 @@ def substring_dedup(docs: DataFrame, min_words: int = 35) -> DataFrame:
     first level a window of ``min_words`` is represented by the smallest hash of half
     its length inside it, so one row in about ten words is shuffled instead of each.
 
-    A task compares its own rows first and sends one row per key for what it has met
-    more than once, so what repeats arrives once per task, however many copies there
-    are. At the second level windows over the edge of a frequent passage, each with
+    Texts are told apart by 128 bits of hash, and copies of one text are one text from the
+    second level on, so time grows in line with their number. A task compares its own rows
+    first and sends one row per key for what it has met more than once, so what repeats
+    arrives once per task, however many copies there are. At the second level windows over the edge of a frequent passage, each with
     words of its own, still share that passage's key: one or two short rows per
     document that holds it, sorted with spilling. The text is shuffled once, by
     document.
     """
+    if not 2 <= min_words < 2**_RUN_BITS:
+        raise ValueError(f"a window has 2 to {2**_RUN_BITS - 1} words")
     base = (min_words + 1) // 2
+    plain = F.coalesce("text", F.lit(""))
     rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"),
-        F.coalesce(F.xxhash64("text").bitwiseAND(2**_TEXT_BITS - 1), F.lit(0)).alias("mark"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(plain).alias("a"),
+        F.xxhash64(F.lit(7), plain).alias("b"),
         "text",
     )
-    mark = F.shiftrightunsigned("ref", _POSITION_BITS).alias("mark")
+    copied = rows.groupBy("a", "b").count().where("count > 1").select("a", "b", F.lit(True).alias("copied"))
 
     candidates = (
-        rows.mapInArrow(_first_level(min_words, base), "key bigint, id bigint, ref bigint, kind int")
+        rows.select("a", "b", "text")
+        .mapInArrow(_first_level(min_words, base), "key bigint, a bigint, b bigint, ref bigint, kind int")
         .repartition("key")
         .withColumn("n", _met_again(["key"]))
         .where((F.col("kind") == _SETTLED) | ((F.col("kind") == _OPEN) & (F.col("n") > 1)))
-        .groupBy("id", mark)
-        .agg(F.collect_list("ref").alias("refs"))
+        .groupBy("a", "b")
+        .agg(F.collect_set("ref").alias("refs"))
+        .join(copied, ["a", "b"], "left")
+        .withColumn("copied", F.coalesce("copied", F.lit(False)))
     )
     found = (
-        rows.join(candidates, ["id", "mark"], "left")
+        rows.join(candidates, ["a", "b"], "left")
         # A task that runs again must compare the same rows with each other.
-        .sortWithinPartitions("id", "mark")
+        .sortWithinPartitions("a", "b")
+        .select("a", "b", "text", "refs", "copied")
         .mapInArrow(
             _second_level(min_words, base),
-            "key bigint, id bigint, ref bigint, kind int, mask bigint, hashes array<bigint>",
+            "key bigint, a bigint, b bigint, ref bigint, kind int, mask bigint, hashes array<bigint>",
         )
         .repartition("key")
-        .select("key", "id", "ref", "kind", "mask", F.posexplode_outer("hashes").alias("offset", "hash"))
+        .select("key", "a", "b", "ref", "kind", "mask", F.posexplode_outer("hashes").alias("offset", "hash"))
         .withColumn("n", _met_again(["key", "hash"]))
-        .groupBy("key", "id", "ref", "kind")
+        .groupBy("key", "a", "b", "ref", "kind")
         .agg(
             (
                 F.max("mask")
@@ -246,11 +257,10 @@ def substring_dedup(docs: DataFrame, min_words: int = 35) -> DataFrame:
             ).alias("mask")
         )
         .where("mask != 0")
-        .groupBy("id", mark)
+        .groupBy("a", "b")
         .agg(F.collect_list(F.struct("ref", "mask")).alias("found"))
     )
-    return (
-        rows.join(found, ["id", "mark"], "left")
-        .mapInArrow(_removed(min_words), "id bigint, text string, n_words bigint, n_removed bigint")
-        .select(F.when(F.col("id") != _NO_ID, F.col("id")).alias("doc_id"), "text", "n_words", "n_removed")
+    known = found.join(copied, ["a", "b"], "full")
+    return rows.join(known, ["a", "b"], "left").select("doc_id", "text", "found", "copied").mapInArrow(
+        _removed(min_words), "doc_id bigint, text string, n_words bigint, n_removed bigint"
     )

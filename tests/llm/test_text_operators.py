@@ -1,6 +1,7 @@
 """Operators on documents against plain Python on the awkward table."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -43,6 +44,22 @@ def test_substring_dedup(docs, rows, length):
     assert result(substring.substring_dedup(docs, length), "doc_id", "text", "n_words", "n_removed") == order(want)
 
 
+def test_substring_dedup_of_many_copies_and_missing_ids(spark):
+    """Thousands of rows of one text, and texts that share an id or have none."""
+    rng = random.Random(3)
+    copied = " ".join(f"w{rng.randrange(10**6)}" for _ in range(400))
+    passage = " ".join(copied.split()[100:140])
+    table = [(None if i % 2 else 7, copied) for i in range(3000)]
+    table += [(None, f"own {i} {passage if i % 40 == 0 else ''} " + " ".join(f"{i}v{j}" for j in range(40))) for i in range(400)]
+    got = substring.substring_dedup(spark.createDataFrame(table, "doc_id long, text string").repartition(6))
+    want = []
+    for doc_id, text in table:
+        w = words(text)
+        lost = set(range(len(w))) if text == copied else set(range(2, 42)) if passage in text else set()
+        want.append((doc_id, " ".join(x for i, x in enumerate(w) if i not in lost), len(w), len(lost)))
+    assert result(got, "doc_id", "text", "n_words", "n_removed") == order(want)
+
+
 def test_line_dedup(docs, rows):
     holders = defaultdict(set)
     for doc_id, text, _ in rows:
