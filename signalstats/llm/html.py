@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from signalstats.llm.common import pieces, stored
 
-_RAW = "script|style|noscript|template|textarea|iframe|svg|math|object"
+_RAW = "script|style|template|textarea|iframe|svg"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*)(?P<attributes>(?:[^<>"']|"[^"]*"|'[^']*')*)>""",
@@ -44,7 +44,7 @@ _ASIDE_TAGS = frozenset("head nav footer aside form fieldset menu dialog button
 _ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo nav navigation navbar menu menubar breadcrumb "
     "breadcrumbs sidebar footer cookie cookies consent notice notices banner popup modal newsletter subscribe login "
-    "search share sharing social related comment comments disqus reply replies pagination pager".split()
+    "search share sharing social related comment comments commentlist disqus respond reply replies pagination pager".split()
 )
 #: First words of names that tell of a state, and last words that tell of a part of what is named before.
 _STATE_WORDS = frozenset("has no not is with without".split())
@@ -53,6 +53,8 @@ _PART_WORDS = frozenset(
     "outer panel row section slot text title toggle widget widgets wrap wrapper".split()
 )
 _HEADING_WORDS = frozenset(("header", "masthead"))
+#: Their ids are often made from their own words.
+_TITLES = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements of running text; inside an article they are text even where all pages agree.
 _RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th figcaption".split())
 
@@ -164,8 +166,10 @@ def _is_aside(label: str, in_article: bool, needed: bool) -> bool:
     tag, *names = label.split(".")
     if tag in _ASIDE_TAGS:
         return True
-    if tag in ("html", "body", "main") or needed:
+    if tag in ("html", "body", "main") or tag in _TITLES or needed:
         return False
+    if tag in _RUNNING and in_article:
+        return bool(_ASIDE_WORDS.intersection(names))
     if tag == "article":
         return bool(_ASIDE_WORDS.intersection(names))
     heads = set(map(_head, names))
@@ -208,38 +212,62 @@ def _roles(text: str) -> tuple[frozenset[int], frozenset[int]]:
     return kept, frozenset(i for i in kept if article[i] and found.labels[i].split(".")[0] in _RUNNING)
 
 
+def _best_increasing(places: list[int], weights: list[int], width: int) -> tuple[int, list[int]]:
+    """The heaviest choice of numbers whose places increase: its weight and members."""
+    best, last = [0] * (width + 1), [-1] * (width + 1)
+    total, before = [0] * len(places), [-1] * len(places)
+    for i, (place, weight) in enumerate(zip(places, weights, strict=True)):
+        at, top, member = place, 0, -1
+        while at > 0:  # the best of all smaller places, by sums over powers of two
+            if best[at] > top:
+                top, member = best[at], last[at]
+            at &= at - 1
+        total[i], before[i] = top + weight, member
+        at = place + 1
+        while at <= width:
+            if total[i] > best[at]:
+                best[at], last[at] = total[i], i
+            at += at & -at
+    i = max(range(len(places)), key=total.__getitem__, default=-1)
+    weight, chosen = (total[i], []) if places else (0, [])
+    while i >= 0:
+        chosen.append(i)
+        i = before[i]
+    return weight, chosen[::-1]
+
+
 def tree_match(a: Tree, b: Tree) -> dict[int, int]:
     """Simple tree matching: the largest order-preserving map of nodes of ``a`` to nodes
-    of ``b`` with equal labels and mapped parents."""
-    memo: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def match(x: int, y: int) -> tuple[int, list]:
-        if a.labels[x] != b.labels[y]:
-            return 0, []
-        if (x, y) not in memo:
-            xs, ys = list(a.children[x].values()), list(b.children[y].values())
-            best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-            for i, u in enumerate(xs):
-                for j, v in enumerate(ys):
-                    best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + match(u, v)[0])
-            i, j, chosen = len(xs), len(ys), []
-            while i and j:
-                if best[i][j] == best[i - 1][j]:
-                    i -= 1
-                elif best[i][j] == best[i][j - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    chosen.append((xs[i], ys[j]))
-            memo[x, y] = best[-1][-1] + 1, chosen
-        return memo[x, y]
-
-    found, waiting = {}, [(0, 0)]
-    match(0, 0)
+    of ``b`` with equal labels and mapped parents.
+
+    Children of a node have different labels, so a child has one candidate at most: the
+    pairs form a tree, walked without recursion, and the children of a pair are aligned in
+    ``k log k`` steps.
+    """
+    pairs, parts = [(0, 0)], [[]]
+    at = 0
+    while at < len(pairs):
+        x, y = pairs[at]
+        others = b.children[y]
+        for label, u in a.children[x].items():
+            if label in others:
+                parts[at].append(len(pairs))
+                pairs.append((u, others[label]))
+                parts.append([])
+        at += 1
+    size, kept = [1] * len(pairs), [[] for _ in pairs]
+    for at in range(len(pairs) - 1, -1, -1):
+        if parts[at]:
+            order = {v: i for i, v in enumerate(b.children[pairs[at][1]].values())}
+            places = [order[pairs[c][1]] for c in parts[at]]
+            weight, chosen = _best_increasing(places, [size[c] for c in parts[at]], len(order))
+            size[at] += weight
+            kept[at] = [parts[at][i] for i in chosen]
+    found, waiting = {}, [0]
     while waiting:
-        x, y = waiting.pop()
-        found[x] = y
-        waiting += match(x, y)[1]
+        at = waiting.pop()
+        found[pairs[at][0]] = pairs[at][1]
+        waiting += kept[at]
     return found
 
 
@@ -253,8 +281,10 @@ def _host(url: str | None) -> str:
 
 
 def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page the host, the tree and of every node with text its hash and length."""
-    kind = pa.list_(pa.struct([("node", pa.int32()), ("h", pa.int64()), ("chars", pa.int64())]))
+    """Per page the host, the tree and of every node with text its hash and length, and the
+    hashes of its blocks if it has several."""
+    fields = [("node", pa.int32()), ("h", pa.int64()), ("chars", pa.int64()), ("blocks", pa.list_(pa.int64()))]
+    kind = pa.list_(pa.struct(fields))
     for piece in pieces(batches, "html"):
         hosts, trees, nodes = [], [], []
         for url, page in zip(piece.column("url").to_pylist(), piece.column("html").to_pylist(), strict=True):
@@ -266,7 +296,12 @@ def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             trees.append(found.text())
             nodes.append(
                 [
-                    {"node": node, "h": _key("\n".join(own)), "chars": sum(map(len, own))}
+                    {
+                        "node": node,
+                        "h": _key("\n".join(own)),
+                        "chars": sum(map(len, own)),
+                        "blocks": sorted(set(map(_key, own))) if len(own) > 1 else [],
+                    }
                     for node, own in texts.items()
                 ]
             )
@@ -305,19 +340,22 @@ def _alignments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def induce_wrappers(pages: DataFrame, min_pages: int = 4, min_percent: int = 60) -> DataFrame:
-    """Rows ``(host, skeleton, template)``: for a host's pages with one tree the nodes
-    that hold template text. Trees without such nodes have no row.
+    """Rows ``(host, skeleton, template, constant)``: for a host's pages with one tree the
+    nodes that hold template text, and of other nodes the blocks (node and hash) that are
+    template. Trees without either have no row.
 
     Every page counts. The host's most frequent tree is its reference; every other
     tree of the host is aligned with it by simple tree matching, once per tree and
     not per page. A slot (matched node) whose text is the same on ``min_percent`` % of
     the host's pages, ``min_pages`` at least, is template; the slot with the most text
-    never is.
+    never is. Like-labelled siblings share a slot; where such a slot varies as a whole, the
+    siblings are aligned by equal text, and those that recur on as many pages are template.
     """
     seen = stored(
         pages.select("url", "html").mapInArrow(
             _skeletons,
-            "host bigint, skeleton bigint, tree string, nodes array<struct<node:int,h:bigint,chars:bigint>>",
+            "host bigint, skeleton bigint, tree string, "
+            "nodes array<struct<node:int,h:bigint,chars:bigint,blocks:array<bigint>>>",
         ),
         "page-trees",
     )
@@ -353,17 +391,48 @@ def induce_wrappers(pages: DataFrame, min_pages: int = 4, min_percent: int = 60)
         .where((100 * F.col("top") >= min_percent * F.col("pages")) & (F.col("slot") != F.col("body")))
         .select("host", "slot")
     )
-    return (
+    blocks = (
+        seen.select("host", "skeleton", F.explode("nodes").alias("x"))
+        .select("host", "skeleton", "x.node", F.explode("x.blocks").alias("block"))
+        .groupBy("host", "skeleton", "node", "block")
+        .agg(F.count("*").alias("n"))
+        .join(aligned, ["host", "skeleton", "node"])
+        .groupBy("host", "slot", "block")
+        .agg(F.sum("n").alias("n"))
+        .join(hosts.select("host", "pages"), "host")
+        .where(100 * F.col("n") >= min_percent * F.col("pages"))
+        .join(slots.select("host", "slot", "top"), ["host", "slot"])
+        .where(100 * F.col("top") < min_percent * F.col("pages"))
+        .select("host", "slot", "block")
+    )
+    whole = (
         aligned.join(template, ["host", "slot"])
         .groupBy("host", "skeleton")
         .agg(F.sort_array(F.collect_set("node")).alias("template"))
     )
+    parts = (
+        aligned.join(blocks, ["host", "slot"])
+        .groupBy("host", "skeleton")
+        .agg(F.sort_array(F.collect_set(F.struct("node", "block"))).alias("constant"))
+    )
+    return whole.join(parts, ["host", "skeleton"], "full")
 
 
-def _text(blocks: list[tuple[int, str]], own: str, template: frozenset[int] | set[int]) -> str:
+def _text(
+    blocks: list[tuple[int, str]], own: str, template: set[int], constant: frozenset[tuple[int, int]] = frozenset()
+) -> str:
     kept, running = _roles(own)
     dropped = template - running
-    return "\n".join(text for node, text in blocks if node in kept and node not in dropped)
+    some = {node for node, _ in constant} - running
+    return "\n".join(
+        text
+        for node, text in blocks
+        if node in kept and node not in dropped and not (node in some and (node, _key(text)) in constant)
+    )
+
+
+def _pairs(constant: list | None) -> frozenset[tuple[int, int]]:
+    return frozenset((c["node"], c["block"]) for c in constant or ())
 
 
 def _extracted(wrappers):
@@ -373,14 +442,16 @@ def _extracted(wrappers):
         known = wrappers.value if wrappers is not None else None
         for piece in pieces(batches, "html"):
             texts = []
-            templates = piece.column("template").to_pylist() if known is None else [None] * piece.num_rows
-            columns = (piece.column(c).to_pylist() for c in ("url", "html"))
-            for url, page, template in zip(*columns, templates, strict=True):
+            names = ("url", "html", "template", "constant") if known is None else ("url", "html")
+            columns = [piece.column(c).to_pylist() for c in names]
+            for url, page, *wrapper in zip(*columns, strict=True):
                 found, blocks = parse(page or "")
                 own = found.text()
-                if known:
-                    template = known.get((_key(_host(url)), _key(own)))
-                texts.append(_text(blocks, own, set(template or ())))
+                if known is not None:
+                    wrapper = known.get((_key(_host(url)), _key(own)), (None, frozenset()))
+                template, constant = wrapper
+                constant = constant if known is not None else _pairs(constant)
+                texts.append(_text(blocks, own, set(template or ()), constant))
             yield pa.RecordBatch.from_arrays(
                 [piece.column("page_id"), piece.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )
@@ -403,11 +474,12 @@ def extract_text(pages: DataFrame, max_broadcast_rows: int = 100_000, **inductio
 
     The page's block elements form a tree. Menus, headers, footers, sidebars, notices,
     adverts, forms and reader comments are known by their tags and the head words of the
-    names in their class, id or role, an article by whole names only; main elements and
-    what holds one, or all articles of the page, are kept whatever their names. Where the page has an article or main element, text outside it
+    names in their class, id or role, an article and running text in it by whole names
+    only; headings, main elements and what holds one, or all articles of the page, are kept
+    whatever their names. Where the page has an article or main element, text outside it
     is left out. What the host's wrapper (:func:`induce_wrappers`) calls template is
-    left out too, except for running text of an article: an article that a host shows
-    on many pages stays. Character references are decoded, white space in a block
+    left out too, whole nodes and single blocks, except for running text of an article: an
+    article that a host shows on many pages stays. Character references are decoded, white space in a block
     becomes one space, and the blocks are joined by line feeds in page order.
 
     Null or empty html: empty text. Null url: the host ''. Unclosed elements end with
@@ -415,8 +487,8 @@ def extract_text(pages: DataFrame, max_broadcast_rows: int = 100_000, **inductio
     ids do not matter. Other columns are not used.
 
     Pages are read twice and not shuffled, as long as the wrappers that leave
-    something out are at most ``max_broadcast_rows``; more of them are joined to the
-    pages by host and tree.
+    something out are at most ``max_broadcast_rows`` with ten times as many nodes and
+    blocks; more of them are joined to the pages by host and tree.
     """
     spark = pages.sparkSession
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
@@ -428,9 +500,12 @@ def extract_text(pages: DataFrame, max_broadcast_rows: int = 100_000, **inductio
             T.StructField("text", T.StringType()),
         ]
     )
-    few = wrappers.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    if few:
-        known = spark.sparkContext.broadcast({(r.host, r.skeleton): r.template for r in wrappers.collect()})
+    entries = F.coalesce(F.size("template"), F.lit(0)) + F.coalesce(F.size("constant"), F.lit(0))
+    size = wrappers.agg(F.count("*").alias("n"), F.sum(entries).alias("entries")).first()
+    if size.n <= max_broadcast_rows and (size.entries or 0) <= 10 * max_broadcast_rows:
+        known = spark.sparkContext.broadcast(
+            {(r.host, r.skeleton): (r.template, _pairs(r.constant)) for r in wrappers.collect()}
+        )
         found = pages.mapInArrow(_extracted(known), schema)
     else:
         keyed = pages.mapInArrow(
