@@ -23,6 +23,8 @@ SEED_WORDS = (
 #: Voters: the learnt lexicon in quarters, strongest first, seed words, two or more lexicon words, a
 #: dense lexicon, doubled exclamation marks; the last votes that a text is clean.
 VOTERS = ("lexicon_a", "lexicon_b", "lexicon_c", "lexicon_d", "seed", "several", "dense", "shouting", "nothing")
+#: Labels that go to every task; more are joined by shuffling.
+_BROADCAST_LABELS = 500_000
 _DENSE = ("any", "several", "log_hits", "share", "seed")
 
 
@@ -208,32 +210,34 @@ def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
     max_rows: int = 20_000,
-    max_words: int = 4_096,
+    max_words: int = 65_536,
     min_contexts: int = 4,
     min_ratio: float = 20.0,
 ) -> ToxicityModel:
     """Model from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``).
 
     Voters are a learnt lexicon in quarters, seed words and patterns. The lexicon is
-    learnt from at most about ``max_rows`` labelled rows (a hash of the id picks them;
-    copies of a text count once): words after at least ``min_contexts`` different
-    words in toxic texts, at ``min_ratio`` times the rate of clean texts; at most
-    ``max_words`` with the clearest difference. Contexts are counted, not texts, since
-    near copies repeat a word in one context. A seed word that is seen in two contexts
-    and misses this ratio is an ordinary word here and does not vote.
+    learnt from all labelled rows (copies of a text count once): words after at least
+    ``min_contexts`` different words in toxic texts, at ``min_ratio`` times the rate of
+    clean texts; ``max_words`` with the clearest difference, far more than such words,
+    bound what every task gets. Contexts are counted, not texts, since near copies repeat
+    a word in one context. A seed word that is seen in two contexts and misses this ratio
+    is an ordinary word here and does not vote.
 
     A generative label model of all voters, their accuracies and pairwise correlations
     is fitted to the vote patterns of all documents that are not held out; where such
-    a document has a label, the label is used, so its posterior is the label. The
-    posteriors train the linear classifier: all documents without a lexicon word
-    count, and at most about ``max_rows`` of those with one.
+    a document has a label, it fixes the document's true label in this fit. Its posteriors,
+    one per vote pattern, are what the linear classifier is trained on: all documents
+    without a lexicon word count, and of the different feature rows of those with one about
+    ``max_rows``, each with the number of its documents.
 
     Labels of rows that :func:`held_out` names are never read. Null labels are none;
     of several labels of an id the highest counts; a row without ``doc_id`` has none.
     Repeated rows count as often as they occur. Without labels the seed words and
     patterns alone vote. Empty tables give a model that scores all texts alike. Other
     columns are not used. What reaches the driver is bounded by the parameters: the
-    lexicon, 512 vote patterns and the picked rows' features.
+    lexicon, 512 vote patterns and about ``max_rows`` different feature rows, picked by a
+    hash of the row itself, so neither a hot id nor missing ids nor copies add to them.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(~held_out(F.col("doc_id")))
@@ -245,15 +249,10 @@ def fit_toxicity(
         "toxic-labels",
     )
 
-    def picked(df: DataFrame) -> DataFrame:
-        """About ``max_rows`` of the rows, by the hash of their id."""
-        share = min(1.0, max_rows / max(df.count(), 1))
-        return df.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-
-    # The labelled rows picked are bounded by max_rows, whatever the size of the tables.
+    small = known.limit(_BROADCAST_LABELS + 1).count() <= _BROADCAST_LABELS
     teaching = stored(
-        rows.join(F.broadcast(picked(known)), "doc_id")
-        .where(F.col("text").isNotNull())
+        rows.where(F.col("text").isNotNull())
+        .join(F.broadcast(known) if small else known, "doc_id")
         .groupBy(F.sha2("text", 256).alias("text_hash"))
         .agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
         .select("toxic", "text"),
@@ -290,32 +289,32 @@ def fit_toxicity(
     words = spark.sparkContext.broadcast((vocabulary, tier, seeds))
 
     label = F.when(F.col("toxic").isNull(), 0).when(F.col("toxic") > 0, 2).otherwise(1)
-    features = stored(
+    # Documents with the same votes and features are one row with their number, and all
+    # without a word of the lexicon are few such rows.
+    patterns = stored(
         rows.mapInArrow(_features(words), "doc_id bigint, votes int, dense array<double>, words array<int>")
-        .join(known, "doc_id", "left")
-        .withColumn("label", label),
+        .join(F.broadcast(known) if small else known, "doc_id", "left")
+        .groupBy("votes", "dense", "words", label.alias("label"))
+        .agg(F.count("*").alias("n")),
         "toxic-features",
     )
     counts = np.zeros((1 << len(VOTERS), 3))
-    for votes, kind, n in features.groupBy("votes", "label").count().collect():
+    for votes, kind, n in patterns.groupBy("votes", "label").agg(F.sum("n")).collect():
         counts[votes, kind] = n
     model = LabelModel.fit(counts, len(VOTERS), against=(VOTERS.index("nothing"),))
 
-    # Rows without a lexicon word are alike: they are counted, not fetched.
-    plain = (
-        features.where(F.size("words") == 0).groupBy("votes", "dense", "label").agg(F.count("*").alias("n")).collect()
-    )
-    table = picked(features.where(F.size("words") > 0)).select("votes", "dense", "words", "label").toPandas()
+    plain = patterns.where(F.size("words") == 0).groupBy("votes", "dense").agg(F.sum("n").alias("n")).collect()
+    hits = patterns.where(F.size("words") > 0).groupBy("votes", "dense", "words").agg(F.sum("n").alias("n"))
+    share = min(1.0, max_rows / max(hits.count(), 1))
+    chosen = F.pmod(F.xxhash64("votes", "dense", "words"), F.lit(1_000_000)) < int(share * 1_000_000)
+    table = hits.where(chosen).toPandas()
     dense = np.array([*(r.dense for r in plain), *table["dense"]], float).reshape(-1, len(_DENSE))
     votes = np.array([*(r.votes for r in plain), *table["votes"]], np.int64)
-    kinds = np.array([*(r.label for r in plain), *table["label"]], np.int64)
     owner = np.repeat(np.arange(len(table)) + len(plain), [len(x) for x in table["words"]])
     word = np.array([w for x in table["words"] for w in x], np.int64)
-    weight = np.array([*(r.n for r in plain), *np.ones(len(table))], float)
+    weight = np.array([*(r.n for r in plain), *table["n"]], float)
     # Documents without a hit far outnumber the others; they weigh as much together.
-    ratio = max(len(table), 1) / max(weight[: len(plain)].sum(), 1.0)
+    ratio = max(weight[len(plain) :].sum(), 1.0) / max(weight[: len(plain)].sum(), 1.0)
     weight[: len(plain)] *= min(1.0, ratio)
-    # Given the label, the posterior is the label.
-    target = np.where(kinds == 0, model.posterior(votes), kinds == 2)
-    weights = fit_linear(dense, owner.astype(np.int64), word, len(vocabulary), target, weight)
+    weights = fit_linear(dense, owner.astype(np.int64), word, len(vocabulary), model.posterior(votes), weight)
     return ToxicityModel(vocabulary, tier, seeds, weights, model)
