@@ -334,7 +334,7 @@ def _able(shared: DataFrame, percent: int) -> DataFrame:
 
 def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, text``): ``doc_id, text_hash, n_shingles,
-    component_id``.
+    component_id, component``.
 
     A document's set holds its distinct ``length``-word shingles, A-Z in lower case;
     fewer words are one shingle. Two documents link when the intersection is at least
@@ -344,7 +344,8 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
     Null or empty text: the empty set, linked with nothing, ``component_id`` is the
     own id. Rows that share a ``doc_id`` are told apart by their text. A null
     ``doc_id`` takes part but is never the smallest; a component of null ids alone has
-    null. Other columns are not used. ``text_hash`` (xxhash64) goes with ``doc_id`` to
+    null. ``component`` names the group whatever the ids are, null for the empty set.
+    Other columns are not used. ``text_hash`` (xxhash64) goes with ``doc_id`` to
     name the row.
 
     Equal sets are one class from the start. A set of ``n`` shingles is linked only
@@ -506,7 +507,11 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
     least = stored(ids.groupBy("root").agg(F.min("least").alias("component_id")), "least-ids")
     found = stored(
         ids.join(least, "root").select(
-            F.col("set_a").alias("a"), F.col("set_b").alias("b"), F.col("n").alias("size"), "component_id"
+            F.col("set_a").alias("a"),
+            F.col("set_b").alias("b"),
+            F.col("n").alias("size"),
+            "component_id",
+            F.col("root").alias("component"),
         ),
         "components",
     )
@@ -519,6 +524,7 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
             F.col("mark").alias("text_hash"),
             F.col("n").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id"),
+            F.when(F.col("n") > 0, F.col("component")).alias("component"),
         )
     )
 

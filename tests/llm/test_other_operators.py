@@ -201,6 +201,9 @@ def test_extracted_text(spark, broadcast_rows):
         ("<article><p>yes</p></article><div class=sidebar><article><p>no</p></article></div>", "yes"),
         ("<article><p>yes</p><div id=comments><article class=comment-body>no</article></div></article>", "yes"),
         ("<div class='main-menu'>no</div><ul id=footer-links><li>no</ul><p>yes</p>", "yes"),
+        ("<article><h2 id=binary-search>a</h2><h2 id=cookies>b</h2><p id=simple-notice>c</p></article>", "a\nb\nc"),
+        ("<article><p>yes</p><ol class=commentlist><li>no</ol><div id=respond>no</div></article>", "yes"),
+        ("<article><p>a <math><mi>x</mi></math></p><noscript>b</noscript><object>c</object></article>", "a x\nbc"),
     ],
 )
 def test_names_that_only_mention_a_part_do_not_drop_text(page, want):
@@ -237,6 +240,58 @@ def test_simple_tree_matching():
     assert pairs == {"", "body", "div.a", "p", "ul", "li"}
 
 
+def test_matching_is_the_largest_there_is():
+    rng = random.Random(4)
+
+    def grown(depth):
+        names = rng.sample("abcd", rng.randrange(5)) if depth else []
+        return "".join(f"<div class={n}>{grown(depth - 1)}</div>" for n in names)
+
+    def largest(a, x, b, y):
+        xs, ys = list(a.children[x].values()), list(b.children[y].values())
+        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+        for i, u in enumerate(xs):
+            for j, v in enumerate(ys):
+                pair = largest(a, u, b, v) if a.labels[u] == b.labels[v] else 0
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + pair)
+        return best[-1][-1] + 1
+
+    for _ in range(300):
+        a, b = (html.parse(grown(4))[0] for _ in range(2))
+        found = html.tree_match(a, b)
+        assert len(found) == len(set(found.values())) == largest(a, 0, b, 0)
+        for x, y in found.items():
+            assert a.labels[x] == b.labels[y]
+            assert x == 0 or found[a.parents[x]] == b.parents[y]
+
+
+def test_deep_and_wide_pages(spark):
+    deep = "<div>" * 3000 + "<p>text {}"
+    wide = "".join(f"<div class=c{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}>x{{0}}</div>" for i in range(1500))
+    rows = [(i, "http://deep.example/", deep.format(i)) for i in range(5)]
+    rows += [(10 + i, "http://wide.example/", wide.format(i)) for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract_text(pages).collect()}
+    for i in range(5):
+        assert got[i] == f"text {i}"
+        assert got[10 + i] == "\n".join([f"x{i}"] * 1500)
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_siblings_without_names_are_aligned_by_what_they_repeat(spark, broadcast_rows):
+    def page(i):
+        own = "".join(f"<div>part {j} of {i}</div>" for j in range(i % 3 + 1))
+        return f"<body><div>Home | News</div>{own}<div>All rights reserved</div>"
+
+    rows = [(i, "http://plain.example/", page(i)) for i in range(8)]
+    rows += [(20 + i, "http://same.example/", "<div>a</div><div>copied article</div>") for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract_text(pages, max_broadcast_rows=broadcast_rows).collect()}
+    for i in range(8):
+        assert got[i] == "\n".join(f"part {j} of {i}" for j in range(i % 3 + 1))
+        assert got[20 + i] == "a\ncopied article"
+
+
 def test_no_pages(spark):
     assert html.extract_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
@@ -381,6 +436,67 @@ def test_every_stage_on_the_awkward_table(spark, docs, sf_dir):
     assert corpus_pipeline.mix(spark, table, sf_dir).count() == before
 
 
+def test_one_document_of_each_group_stays(spark, sf_dir):
+    """Shared and missing ids, repeated rows, texts without words, other columns."""
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+
+    def near(*changed):
+        return " ".join(f"x{i}" if i in changed else w for i, w in enumerate(long))
+
+    other, third = ("a text of its own " + " ".join(f"{k}{i}" for i in range(30)) for k in "yz")
+    rows = [(1, near(), "s"), (1, near(3), "s"), (1, near(190), "t"), (1, near(), "s"), (None, near(50), "s")]
+    rows += [(None, other, "s"), (None, other, "s"), (None, "other " + other, "t"), (7, third, "s"), (None, third, "s")]
+    rows += [(None, "", "s")] * 3 + [(None, None, "s")] * 2 + [(5, " \n", "s")] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'c' AS component")
+    got = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, table.repartition(3), sf_dir).collect()]
+    empty = [r for r in got if not (r[1] or "").strip()]
+    assert sorted(empty, key=repr) == sorted(((*r, "c") for r in rows if not (r[1] or "").strip()), key=repr)
+    kept = [r for r in got if (r[1] or "").strip()]
+    assert len(kept) == 3
+    assert {r[0] for r in kept} == {1, None, 7}
+    assert all((r[0], r[1], r[2]) in rows for r in kept)
+
+
+def test_pipeline_of_an_empty_table(spark, sf_dir):
+    table = spark.createDataFrame([], "doc_id long, text string, source string, extra int")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        table = stored(stage(spark, table, sf_dir), "test-stage")
+        assert (table.columns, table.count()) == (["doc_id", "text", "source", "extra"], 0), name
+    assert corpus_pipeline.mix(spark, table, sf_dir).count() == 0
+
+
+def test_rows_that_reach_the_driver_are_bounded(spark, monkeypatch):
+    """Rows without id and of one hot id, all with the lexicon's words."""
+    fetched = []
+    plain = type(spark.range(0)).toPandas
+
+    def counted(self):
+        found = plain(self)
+        fetched.append(len(found))
+        return found
+
+    monkeypatch.setattr(type(spark.range(0)), "toPandas", counted)
+    texts = "concat('you stupid idiot ', 'a', id % 7, ' gribble ', repeat('x ', int(id % 900)), id % 11, ' vile') AS text"
+    hot = spark.range(0, 3000).selectExpr("if(id % 2 = 0, NULL, 5L) AS doc_id", texts)
+    same = spark.range(0, 3000).selectExpr("cast(null AS bigint) AS doc_id", "'you stupid idiot gribble' AS text")
+    taught = spark.range(100, 400).selectExpr("id AS doc_id", "concat(if(id % 2 = 0, 'b', 'c'), id, if(id % 2 = 0, ' gribble', ' fine'), ' day') AS text")
+    labels = spark.range(100, 400).selectExpr("id AS doc_id", "int(id % 2 = 0) AS toxic")
+    model = toxicity.fit_toxicity(hot.union(same).union(taught), labels, max_rows=100)
+    assert fetched and max(fetched) <= 200
+    scores = {r.text: r.score for r in model.score(taught).collect()}
+    assert min(s for t, s in scores.items() if "gribble" in t) > max(s for t, s in scores.items() if "fine" in t)
+
+
+def test_lexicon_words_count_over_all_labelled_rows(spark):
+    """A toxic word in one labelled text of a thousand is learnt however few rows are fitted."""
+    words = "if(id % 500 = 0, ' gribble end', ' calm end')"
+    table = spark.range(0, 6000).selectExpr("id AS doc_id", f"concat('t', id, {words}) AS text")
+    labels = table.selectExpr("doc_id", "int(text LIKE '%gribble%') AS toxic")
+    model = toxicity.fit_toxicity(table, labels, max_rows=50)
+    assert len(model.lexicon) == 1
+
+
 def test_pipeline_query(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir)
     assert {"doc_id", "text", "lang", "source", "n_chars", "slot", "position"} <= set(got.columns)
@@ -391,5 +507,5 @@ def test_pipeline_query(spark, sf_dir):
 
 def test_queries_are_one_per_operator():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert awkward_rows() == awkward_rows()
