@@ -2,7 +2,8 @@
 of each group of near duplicates, drop contaminated documents, mix the sources.
 
 Every stage works on all rows of the one before. A null text is an empty document:
-nothing rejects it, and it is in no group. Extra columns pass through.
+nothing rejects it, and it is in no group. Rows may share a ``doc_id`` or have none; an
+empty table gives an empty one. Extra columns pass through.
 """
 
 from __future__ import annotations
@@ -37,20 +38,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest ``doc_id``.
-
-    Identical rows are one document. Rows without ``doc_id`` stay unless their group
-    has a document with one.
+    """Of each group of near duplicates the document with the smallest ``doc_id``, one
+    without id only where the group has no other; of several texts with that id the one
+    with the smallest hash, of repeated rows one. Documents without words are in no group
+    and all stay.
     """
-    groups = ngram_components(docs)
-    stays = (
-        groups.where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-        .distinct()
-    )
-    named = docs.withColumn("__text_hash", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
-    return named.join(stays, same).dropDuplicates(["doc_id", "__text_hash"]).select(docs.columns)
+    groups = ngram_components(docs).where("component IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
+    stays = groups.groupBy(F.col("component").alias("__component")).agg(first.alias("__first"))
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    named = docs.where(worded).withColumn("__text_hash", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("__first.doc_id")) & (F.col("__text_hash") == F.col("__first.text_hash"))
+    kept = named.join(stays, same).dropDuplicates(["__component"]).select(docs.columns)
+    return kept.unionByName(docs.where(~worded))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
