@@ -13,7 +13,7 @@ from signalstats.streaming.progress import progress_rows
 
 
 def log_table(spark, sf_dir):
-    """``app, line``: clicks and views are tasks, purchases SQL executions, signups
+    """``app, line``: clicks and views are tasks, purchases SQL executions with a job each, signups
     executors that join and (the smaller ones) leave, errors lifecycle events."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     events = read_events(spark, sf_dir).select(
@@ -70,6 +70,12 @@ def log_table(spark, sf_dir):
             F.col("kind") == "purchase",
             F.array(
                 event(eventlog.SQL_START, **execution, description=F.lit("q"), time=F.col("ms")),
+                event(
+                    eventlog.JOB_START,
+                    Job_ID=F.col("event_id"),
+                    Stage_IDs=F.array(F.floor(F.col("k") / 20).cast("int"), F.lit(-1)),
+                    Properties=F.when(F.col("value") > 5, F.create_map(F.lit("spark.sql.execution.id"), F.col("event_id").cast("string"))),
+                ),
                 F.when(F.col("value") < 100, event(eventlog.SQL_END, **execution, time=end)),
             ),
         )
@@ -152,6 +158,26 @@ def log_stage_measures(spark, sf_dir):
     return ops_metrics.stage_measures(log_table(spark, sf_dir))
 
 
+@query(
+    f"""WITH jobs AS (
+            SELECT app, event_id AS job, CASE WHEN value > 5 THEN event_id END AS execution, k // 20 AS stage
+            FROM {_EVENTS} WHERE kind = 'purchase'
+        ), owner AS (SELECT app, stage, arg_min(struct_pack(e := execution), job).e AS execution FROM jobs GROUP BY ALL),
+        measured AS (
+            SELECT t.app, o.execution, count(DISTINCT t.k // 20) AS stages, count(*) AS tasks, {_STAGE_SUMS},
+                   max(user_id) AS max_result_size, max(user_id * 1024) AS max_peak_memory
+            FROM {_TASKS} t LEFT JOIN owner o ON o.app = t.app AND o.stage = t.k // 20 GROUP BY ALL
+        ), started AS (SELECT app, execution, count(*) AS jobs FROM jobs GROUP BY ALL)
+        SELECT coalesce(m.app, s.app) AS app, coalesce(m.execution, s.execution) AS execution, coalesce(jobs, 0) AS jobs,
+               {", ".join(f"coalesce({c}, 0) AS {c}" for c in ("stages", "tasks", *ops_metrics.SUMMED))},
+               max_result_size, max_peak_memory
+        FROM measured m FULL JOIN started s ON m.app = s.app AND m.execution IS NOT DISTINCT FROM s.execution"""
+)
+def log_execution_measures(spark, sf_dir):
+    """Tasks by way of stages and jobs to the SQL execution that they ran for."""
+    return ops_metrics.execution_measures(log_table(spark, sf_dir))
+
+
 @query(
     f"""SELECT app, time, CAST(sum(sum(delta)) OVER (PARTITION BY app ORDER BY time) AS BIGINT) AS executors FROM (
             SELECT app, ms AS time, 1 AS delta FROM {_EVENTS} WHERE kind = 'signup'

@@ -20,7 +20,7 @@ STREAM_RATES = {
     "spark.query.progress.input.rows.rate": "input_rate",
 }
 
-_SUMMED = (
+SUMMED = (
     "records_read",
     "bytes_read",
     "records_written",
@@ -68,12 +68,46 @@ def stage_measures(log: DataFrame) -> DataFrame:
         .groupBy("app", "stage", "stage_attempt")
         .agg(
             F.count(F.lit(1)).alias("tasks"),
-            *[F.sum(c).alias(c) for c in _SUMMED],
+            *[F.sum(c).alias(c) for c in SUMMED],
             *[F.max(c).alias(f"max_{c}") for c in _PEAKS],
         )
     )
 
 
+def execution_measures(log: DataFrame) -> DataFrame:
+    """Jobs, stages, tasks and what the tasks did, per application and SQL execution; jobs
+    outside SQL have a null execution, and so have tasks of stages that no job start names.
+
+    A stage that several jobs list ran for the first of them; the others skip it. Tasks are
+    summed up per stage first, so the join has a row per stage.
+    """
+    jobs = eventlog.job_starts(log)
+    owner = (
+        jobs.select("app", F.explode("stages").alias("stage"), F.struct("job", "execution").alias("owner"))
+        .groupBy("app", "stage")
+        .agg(F.min("owner").alias("owner"))
+    )
+    measured = (
+        stage_measures(log)
+        .join(owner, ["app", "stage"], "left")
+        .groupBy("app", F.col("owner.execution").alias("execution"))
+        .agg(
+            F.count_distinct("stage").alias("stages"),
+            *[F.sum(c).alias(c) for c in ("tasks", *SUMMED)],
+            *[F.max(f"max_{c}").alias(f"max_{c}") for c in _PEAKS],
+        )
+    )
+    started = jobs.groupBy(F.col("app").alias("_app"), F.col("execution").alias("_execution")).agg(F.count("*").alias("jobs"))
+    same = (F.col("app") == F.col("_app")) & F.col("execution").eqNullSafe(F.col("_execution"))
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("jobs", "stages", "tasks", *SUMMED)]
+    return measured.join(started, same, "full").select(
+        F.coalesce("app", "_app").alias("app"),
+        F.coalesce("execution", "_execution").alias("execution"),
+        *counts,
+        *[f"max_{c}" for c in _PEAKS],
+    )
+
+
 def executor_counts(log: DataFrame) -> DataFrame:
     """Live executors after every change: a running sum of joins and leaves.
 

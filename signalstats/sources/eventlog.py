@@ -17,6 +17,7 @@ _SQL = "org.apache.spark.sql.execution.ui.SparkListener"
 _STREAMING = "org.apache.spark.sql.streaming.StreamingQueryListener$"
 
 TASK_END = "SparkListenerTaskEnd"
+JOB_START = "SparkListenerJobStart"
 TASK_GETTING_RESULT = "SparkListenerTaskGettingResult"
 APPLICATION_START = "SparkListenerApplicationStart"
 APPLICATION_END = "SparkListenerApplicationEnd"
@@ -118,6 +119,18 @@ def task_ends(log: DataFrame) -> DataFrame:
     )
 
 
+def job_starts(log: DataFrame) -> DataFrame:
+    """``app, job, execution, stages``: the SQL execution that started a job (null for a job
+    without one) and the stages that the job may run."""
+    fields = "`Job ID` BIGINT, `Stage IDs` ARRAY<INT>, Properties MAP<STRING, STRING>"
+    return events_of(log, JOB_START).select("app", F.from_json("line", fields).alias("e")).select(
+        "app",
+        F.col("e.Job ID").alias("job"),
+        F.try_element_at("e.Properties", F.lit("spark.sql.execution.id")).cast("bigint").alias("execution"),
+        F.col("e.Stage IDs").alias("stages"),
+    )
+
+
 def executor_changes(log: DataFrame) -> DataFrame:
     """``app, time, delta``: +1 when an executor joins, -1 when it leaves."""
     changes = events_of(log, EXECUTOR_ADDED, EXECUTOR_REMOVED)

@@ -166,6 +166,11 @@ spark.stop()
     assert ops_metrics.stage_measures(log).agg(F.sum("records_written")).head()[0] >= 3
     assert [r.executors for r in ops_metrics.executor_counts(log).collect()] == [1]
     assert ops_metrics.sql_durations(log).filter("duration >= 0").count() >= 2
+    executions = ops_metrics.execution_measures(log).collect()
+    assert sum(r.tasks for r in executions) == outcomes.completed + outcomes.failed
+    known = {r.execution for r in ops_metrics.sql_durations(log).collect()}
+    assert {r.execution for r in executions if r.execution is not None} <= known
+    assert sum(r.records_written for r in executions if r.execution is not None) >= 3
     assert {"SparkListenerApplicationStart", "SparkListenerApplicationEnd", "QueryStartedEvent"} <= {
         r.event for r in ops_metrics.lifecycle(log).collect()
     }
