@@ -239,7 +239,8 @@ def substring_dedup(docs: DataFrame, min_words: int = 35) -> DataFrame:
         rows.join(candidates, ["a", "b"], "left")
         # A task that runs again must compare the same rows with each other.
         .sortWithinPartitions("a", "b")
-        .select("a", "b", "text", "refs", "copied")
+        # With the id, so that this shuffle of the texts serves the last join too.
+        .select("doc_id", "a", "b", "text", "refs", "copied")
         .mapInArrow(
             _second_level(min_words, base),
             "key bigint, a bigint, b bigint, ref bigint, kind int, mask bigint, hashes array<bigint>",
