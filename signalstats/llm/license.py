@@ -39,6 +39,15 @@ TEMPLATES: dict[str, str] = {
         "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
         "GNU General Public License for more details."
     ),
+    "ISC text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR "
+        "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, "
+        "DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
@@ -52,6 +61,18 @@ TEMPLATES: dict[str, str] = {
         "conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."
     ),
+    "MIT text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without '
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        'substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS '
+        "OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+        "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+        "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+        "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
@@ -60,32 +81,60 @@ TEMPLATES: dict[str, str] = {
 
 _SCHEMA = "doc_id bigint, template string, start_word bigint, end_word bigint, n_matched bigint, coverage double"
 _MATCH, _MISMATCH, _GAP = 2, -1, -1
+#: Cells of a row of the alignments that are made together.
+_CELLS = 1 << 20
+
 
+def banded_alignments(
+    template: np.ndarray, words: np.ndarray, first: np.ndarray, size: np.ndarray, diagonal: np.ndarray, band: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best local alignment of ``template`` with each of several texts, ``size[i]`` of the
+    ``words`` from ``first[i]`` on, within ``band[i]`` of ``text position - template position =
+    diagonal[i]``: matched words, first word and end in the text.
 
-def banded_alignment(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
-    """Best local alignment within ``band`` of ``text position - template position =
-    diagonal``: matched words, first word and end in ``text``."""
-    best = (0, 0, 0, 0)
-    above: dict[int, tuple[int, int, int]] = {}
-    for i, word in enumerate(template.tolist()):
-        row: dict[int, tuple[int, int, int]] = {}
-        low, high = max(0, i + diagonal - band), min(len(text), i + diagonal + band + 1)
-        left = (0, 0, low)
-        for j, other in enumerate(text[low:high].tolist(), low):
-            score, matched, start = above.get(j - 1, (0, 0, j))
-            if score == 0:
-                matched, start = 0, j
-            same = word == other
-            cell = (score + (_MATCH if same else _MISMATCH), matched + same, start)
-            if j in above and above[j][0] + _GAP > cell[0]:
-                cell = (above[j][0] + _GAP, *above[j][1:])
-            if left[0] + _GAP > cell[0]:
-                cell = (left[0] + _GAP, *left[1:])
-            left = row[j] = cell if cell[0] > 0 else (0, 0, j + 1)
-            if same and (cell[0], -cell[2]) > (best[0], -best[2]):
-                best = (*cell, j + 1)
-        above = row
-    return best[1], best[2], best[3]
+    All texts go through the template word by word together: a row per text, a column per
+    diagonal of the widest band. Of equal scores a match or replacement goes before a gap.
+    """
+    n, width = len(first), 2 * int(band.max()) + 1
+    low = diagonal - band.max()
+    column = np.arange(width)
+    reach = low[:, None] + np.arange(len(template) + width)
+    inside = (reach >= 0) & (reach < size[:, None])
+    text = words[np.where(inside, first[:, None] + reach, 0)]
+    allowed = np.abs(column - int(band.max())) <= band[:, None]
+    score, matched, start = (np.zeros((n, width), np.int64) for _ in range(3))
+    best, best_matched, best_start, best_end = (np.zeros(n, np.int64) for _ in range(4))
+    rows = np.arange(n)
+    for i, word in enumerate(template):
+        here, at = allowed & inside[:, i : i + width], reach[:, i : i + width]
+        same = (text[:, i : i + width] == word) & here
+        fresh = score == 0
+        new = score + np.where(same, _MATCH, _MISMATCH)
+        new_matched = np.where(fresh, 0, matched) + same
+        new_start = np.where(fresh, at, start)
+        # A word of the template left out: the same text position, one column further in the row before.
+        up = new[:, :-1] < score[:, 1:] + _GAP
+        new[:, :-1] = np.where(up, score[:, 1:] + _GAP, new[:, :-1])
+        new_matched[:, :-1] = np.where(up, matched[:, 1:], new_matched[:, :-1])
+        new_start[:, :-1] = np.where(up, start[:, 1:], new_start[:, :-1])
+        new = np.where(here, np.maximum(new, 0), 0)
+        # Words of the text left out cost one each, so the best of all cells to the left, the
+        # nearest of equals, is a running maximum.
+        ahead = np.maximum.accumulate((new - _GAP * column) * width + column, axis=1)
+        source = ahead % width
+        score = np.maximum(ahead // width + _GAP * column, 0) * here
+        matched = np.take_along_axis(new_matched, source, axis=1)
+        start = np.take_along_axis(new_start, source, axis=1)
+        # Of equal scores the earliest start, then the first end.
+        rank = np.where(same, score * (len(template) + 2 * width + 1) - (start - low[:, None]), -1)
+        top = rank.argmax(axis=1)
+        value, begin = score[rows, top], start[rows, top]
+        better = same[rows, top] & ((value > best) | ((value == best) & (begin < best_start)))
+        best = np.where(better, value, best)
+        best_matched = np.where(better, matched[rows, top], best_matched)
+        best_start = np.where(better, begin, best_start)
+        best_end = np.where(better, at[rows, top] + 1, best_end)
+    return best_matched, best_start, best_end
 
 
 class _Templates:
@@ -121,6 +170,19 @@ def fingerprints(
     return found[:, 0], found[:, 1], grams[found[:, 1]] if len(found) else np.zeros(0, np.uint64)
 
 
+def _alike(template: np.ndarray, width: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Places to align together: one template, bands of about one width, a bounded number of cells."""
+    order = np.lexsort((width, template))
+    at = 0
+    while at < len(order):
+        t, w = template[order[at]], width[order[at]]
+        most = max(_CELLS // int(sizes[t] + 4 * w + 1), 1)
+        group = order[at : at + most]
+        group = group[(template[group] == t) & (width[group] <= 2 * w + 1)]
+        yield group
+        at += len(group)
+
+
 def _scanner(index, gram: int, window: int, band: int, min_percent: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = index.value
@@ -143,19 +205,23 @@ def _scanner(index, gram: int, window: int, band: int, min_percent: int):
                     (own[1:] != own[:-1]) | (template[1:] != template[:-1]) | (np.diff(diagonal) > apart[1:]),
                 )
                 begin = np.flatnonzero(new)
+                end = np.append(begin[1:], len(new)) - 1
+                centre = (diagonal[begin] + diagonal[end]) // 2
+                width = apart[begin] + (diagonal[end] - diagonal[begin] + 1) // 2
                 ids = piece.column("doc_id").to_pylist()
-                for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(new)], strict=True):
-                    i, t = int(own[a]), int(template[a])
-                    body = known.words[t]
-                    centre = int(np.median(diagonal[a:b]))
-                    width = int(apart[a] + diagonal[b - 1] - diagonal[a])
-                    matched, start, end = banded_alignment(
-                        body, hashes[words.first[i] : words.first[i + 1]], centre, width
+                for chosen in _alike(template[begin], width, known.sizes):
+                    body, i = known.words[template[begin[chosen[0]]]], own[begin[chosen]]
+                    found = banded_alignments(
+                        body, hashes, words.first[i], words.counts[i], centre[chosen], width[chosen]
                     )
-                    if 100 * matched >= min_percent * len(body):
-                        rows.append((ids[i], known.names[t], start, end, matched, matched / len(body)))
+                    name = known.names[template[begin[chosen[0]]]]
+                    for text_number, matched, start, stop in zip(i.tolist(), *(x.tolist() for x in found), strict=True):
+                        if 100 * matched >= min_percent * len(body):
+                            rows.append((ids[text_number], name, start, stop, matched, matched / len(body), text_number))
+                # Each place once, whatever bands have led to it.
+                rows = [r[:-1] for r in sorted(set(rows), key=lambda r: (r[-1], r[2:4], r[1]))]
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-            columns = zip(*dict.fromkeys(rows), strict=True) if rows else [()] * len(kinds)
+            columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 ["doc_id", "template", "start_word", "end_word", "n_matched", "coverage"],
@@ -169,7 +235,7 @@ def scan_licenses(
     templates: Mapping[str, str] = TEMPLATES,
     gram: int = 3,
     window: int = 3,
-    band: int = 8,
+    band: int = 64,
     min_percent: int = 80,
 ) -> DataFrame:
     """One row per place in ``docs`` (``doc_id, text``) that holds a template: ``doc_id,
@@ -179,8 +245,9 @@ def scan_licenses(
     count them. Of every ``window`` consecutive ``gram``-word hashes the smallest is a
     fingerprint, so a run of ``gram + window - 1`` common words is never missed. An
     inverted index of the templates' fingerprints names candidates; seeds on diagonals
-    within ``band`` (half the template, if that is shorter) are one place. Sequence
-    alignment within as many words of those diagonals gives the matched words and their span; places with at least
+    within ``band`` (half the template, if that is shorter) are one place, so words put into
+    a notice, up to that many at a time, do not break it. Sequence alignment within as many
+    words of those diagonals gives the matched words and their span; places with at least
     ``min_percent`` % of the template's words are reported, each once.
 
     Null or empty text: no rows. Templates without ``gram`` words are never found. A
