@@ -1,61 +1,25 @@
 """Protobuf payloads.
 
 With the ``spark-protobuf`` package among the session's packages or jars the JVM
-decodes them; otherwise Arrow batches go through :mod:`signalstats.sources.wire`.
+decodes them; otherwise Arrow batches go to the protobuf runtime for Python, see
+:mod:`signalstats.sources.wire`.
 """
 
 from __future__ import annotations
 
-from functools import cache
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstats.model import ENUMS, MESSAGES, message_schema
+from signalstats.model import message_schema
 from signalstats.sources import wire
-
-try:
-    from google.protobuf import descriptor_pb2
-except ImportError:  # pragma: no cover
-    descriptor_pb2 = None
-
-_PACKAGE = "signalstats"
+from signalstats.sources.wire import PACKAGE, descriptor_set
 
 
 def in_jvm(spark: SparkSession) -> bool:
     """Whether the JVM package is there, and what describes the messages to it."""
     launched = (spark.conf.get(key, "") or "" for key in ("spark.jars.packages", "spark.jars"))
-    return descriptor_pb2 is not None and any("spark-protobuf" in names for names in launched)
-
-
-@cache
-def _file():
-    """File descriptor made from the tables of the data model."""
-    file = descriptor_pb2.FileDescriptorProto(name=f"{_PACKAGE}.proto", package=_PACKAGE, syntax="proto2")
-    for enum, names in ENUMS.items():
-        # Value names are scoped by the file, and two enums may share one;
-        # wrapping each enum in a message of its own keeps them apart.
-        holder = file.message_type.add(name=f"{enum}Values").enum_type.add(name=enum)
-        for number, name in names.items():
-            holder.value.add(name=name, number=number)
-    field = descriptor_pb2.FieldDescriptorProto
-    for message, fields in MESSAGES.items():
-        described = file.message_type.add(name=message)
-        for name, (number, kind) in fields.items():
-            added = described.field.add(name=name, number=number, label=field.LABEL_OPTIONAL)
-            if kind in MESSAGES:
-                added.type, added.type_name = field.TYPE_MESSAGE, f".{_PACKAGE}.{kind}"
-            elif kind in ENUMS:
-                added.type, added.type_name = field.TYPE_ENUM, f".{_PACKAGE}.{kind}Values.{kind}"
-            else:
-                added.type = getattr(field, f"TYPE_{kind.upper()}")
-    return file
-
-
-def descriptor_set() -> bytes:
-    """Binary descriptor set, as ``from_protobuf`` and ``to_protobuf`` take it."""
-    return descriptor_pb2.FileDescriptorSet(file=[_file()]).SerializeToString()
+    return wire.descriptor_pb2 is not None and any("spark-protobuf" in names for names in launched)
 
 
 def from_bytes(payload: Column, message: str = "CallEvent", jvm: bool = False) -> Column:
@@ -65,10 +29,11 @@ def from_bytes(payload: Column, message: str = "CallEvent", jvm: bool = False) -
 
         return from_protobuf(
             payload,
-            f"{_PACKAGE}.{message}",
+            f"{PACKAGE}.{message}",
             options={"mode": "PERMISSIVE"},
             binaryDescriptorSet=descriptor_set(),
         )
+
     @F.arrow_udf(message_schema(message))
     def parse(payloads: pa.Array) -> pa.Array:
         return wire.read(payloads, message)
@@ -83,7 +48,7 @@ def to_bytes(row: Column, message: str = "CallEvent", jvm: bool = False) -> Colu
     if jvm:
         from pyspark.sql.protobuf.functions import to_protobuf
 
-        return to_protobuf(row, f"{_PACKAGE}.{message}", binaryDescriptorSet=descriptor_set())
+        return to_protobuf(row, f"{PACKAGE}.{message}", binaryDescriptorSet=descriptor_set())
 
     @F.arrow_udf("binary")
     def serialise(rows: pa.Array) -> pa.Array:

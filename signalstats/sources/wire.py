@@ -1,292 +1,148 @@
-"""Protobuf wire format of the messages of the data model, a whole Arrow batch at a time.
+"""Messages of the data model by the protobuf runtime, an Arrow batch at a time.
 
-Reading walks all payloads in step: the n-th field of every payload is read by the
-same NumPy operations. Writing makes the bytes of one field of all rows at once. No
-Python object exists per row.
+For sessions without Spark's protobuf package. What the messages look like follows from
+the tables of the data model; the same description serves the JVM functions.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from functools import cache
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 from signalstats.model import ENUMS, MESSAGES
 
-_VARINT, _FIXED64, _BYTES, _FIXED32 = 0, 1, 2, 5
-_WIRE = {"uint64": _VARINT, "uint32": _VARINT, "double": _FIXED64, "float": _FIXED32, "string": _BYTES}
-_TYPES = {
-    "uint64": pa.int64(),
-    "uint32": pa.int64(),
-    "double": pa.float64(),
-    "float": pa.float32(),
-    "string": pa.string(),
-}
-_UINT32_MAX = 2**32 - 1
-
-
-def _wire(kind: str) -> int:
-    if kind in MESSAGES:
-        return _BYTES
-    return _VARINT if kind in ENUMS else _WIRE[kind]
-
-
-def spans(counts: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """``counts[i]`` consecutive numbers from ``begins[i]`` on, one after another."""
-    shift = begins - (np.cumsum(counts) - counts)
-    return np.arange(int(counts.sum())) + np.repeat(shift, counts)
-
-
-def _flat(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of a BINARY or STRING array and its offsets; NULL is empty."""
-    if not len(values):
-        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    values = pc.fill_null(values, b"" if pa.types.is_binary(values.type) else "")
-    _, where, data = values.buffers()
-    offsets = np.frombuffer(where, np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
-    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return raw, offsets
-
-
-# -- reading ----------------------------------------------------------------
-
-
-@dataclass
-class _Found:
-    """What has been read of one message for every row."""
-
-    message: str
-    rows: int
-    present: np.ndarray
-    values: dict[str, np.ndarray] = field(default_factory=dict)
-    known: dict[str, np.ndarray] = field(default_factory=dict)
-    inner: dict[str, _Found] = field(default_factory=dict)
-
-    @classmethod
-    def empty(cls, message: str, rows: int) -> _Found:
-        found = cls(message, rows, np.zeros(rows, bool))
-        for name, (_, kind) in MESSAGES[message].items():
+try:
+    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
+    from google.protobuf.message import DecodeError
+except ImportError:  # pragma: no cover
+    descriptor_pb2 = None
+
+PACKAGE = "signalstats"
+_UINT32_MAX, _UINT64 = 2**32 - 1, 2**64
+_TYPES = {"uint64": pa.int64(), "uint32": pa.int64(), "double": pa.float64(), "float": pa.float32()}
+_NUMBERS = {enum: {text: number for number, text in names.items()} for enum, names in ENUMS.items()}
+
+
+@cache
+def _file():
+    """File descriptor made from the tables of the data model."""
+    file = descriptor_pb2.FileDescriptorProto(name=f"{PACKAGE}.proto", package=PACKAGE, syntax="proto2")
+    for enum, names in ENUMS.items():
+        # Value names are scoped by the file, and two enums may share one;
+        # wrapping each enum in a message of its own keeps them apart.
+        holder = file.message_type.add(name=f"{enum}Values").enum_type.add(name=enum)
+        for number, name in names.items():
+            holder.value.add(name=name, number=number)
+    field = descriptor_pb2.FieldDescriptorProto
+    for message, fields in MESSAGES.items():
+        described = file.message_type.add(name=message)
+        for name, (number, kind) in fields.items():
+            added = described.field.add(name=name, number=number, label=field.LABEL_OPTIONAL)
             if kind in MESSAGES:
-                found.inner[name] = cls.empty(kind, rows)
+                added.type, added.type_name = field.TYPE_MESSAGE, f".{PACKAGE}.{kind}"
+            elif kind in ENUMS:
+                added.type, added.type_name = field.TYPE_ENUM, f".{PACKAGE}.{kind}Values.{kind}"
             else:
-                # Strings are kept as begin and end of their bytes.
-                found.values[name] = np.zeros((rows, 2) if kind == "string" else rows, np.uint64)
-                found.known[name] = np.zeros(rows, bool)
-        return found
+                added.type = getattr(field, f"TYPE_{kind.upper()}")
+    return file
 
 
-def _varints(raw: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values, positions after them, and which are complete."""
-    value, at = np.zeros(len(at), np.uint64), at.copy()
-    reading = np.ones(len(at), bool)
-    for group in range(10):
-        reading &= at < end
-        if not reading.any():
-            break
-        byte = raw[np.where(reading, at, 0)]
-        value |= np.where(reading, byte & 0x7F, 0).astype(np.uint64) << np.uint64(7 * group)
-        at += reading
-        reading &= byte >= 128
-    complete = (at > 0) & ~reading
-    last = raw[np.maximum(at - 1, 0)] if len(raw) else np.zeros(len(at), np.uint8)
-    return value, at, complete & (last < 128)
+def descriptor_set() -> bytes:
+    """Binary descriptor set, as ``from_protobuf`` and ``to_protobuf`` take it."""
+    return descriptor_pb2.FileDescriptorSet(file=[_file()]).SerializeToString()
 
 
-def _read(raw: np.ndarray, row: np.ndarray, at: np.ndarray, end: np.ndarray, found: _Found, bad: np.ndarray) -> None:
-    """Read one occurrence of the message per row; later fields replace earlier ones."""
-    found.present[row] = True
-    at = at.copy()
-    by_number = {number: (name, kind) for name, (number, kind) in MESSAGES[found.message].items()}
-    parts: dict[str, list[tuple]] = {name: [] for name in found.inner}
-    while True:
-        live = np.flatnonzero((at < end) & ~bad[row])
-        if not len(live):
-            break
-        own = row[live]
-        tag, after, good = _varints(raw, at[live], end[live])
-        good &= (after > at[live]) & (after - at[live] <= 5) & (tag <= _UINT32_MAX)
-        number, wire = tag >> np.uint64(3), (tag & np.uint64(7)).astype(np.int64)
-        good &= number > 0
-        value, begin = np.zeros(len(live), np.uint64), after
-        stop = after.copy()
-        pick = good & ((wire == _VARINT) | (wire == _BYTES))
-        if pick.any():
-            read, passed, complete = _varints(raw, after[pick], end[live][pick])
-            complete &= passed > after[pick]
-            value[pick], begin = read, after.copy()
-            begin[pick] = passed
-            size = np.where(wire[pick] == _BYTES, read, 0)
-            complete &= size <= (end[live][pick] - passed).astype(np.uint64)
-            stop[pick] = passed + np.where(complete, size, 0).astype(np.int64)
-            good[np.flatnonzero(pick)[~complete]] = False
-        for fixed, width in ((_FIXED64, 8), (_FIXED32, 4)):
-            pick = good & (wire == fixed)
-            if pick.any():
-                fits = after[pick] + width <= end[live][pick]
-                good[np.flatnonzero(pick)[~fits]] = False
-                pick &= good
-                stop[pick] = after[pick] + width
-                taken = raw[after[pick][:, None] + np.arange(width)]
-                value[pick] = np.ascontiguousarray(taken).view(f"<u{width}")[:, 0]
-        good &= np.isin(wire, (_VARINT, _FIXED64, _BYTES, _FIXED32))
-        bad[own[~good]] = True
-        for n in np.unique(number[good]).tolist():
-            if n not in by_number:
-                continue
-            name, kind = by_number[n]
-            chosen = np.flatnonzero(good & (number == n) & (wire == _wire(kind)))
-            if kind in MESSAGES:
-                parts[name].append((own[chosen], begin[chosen], stop[chosen]))
-                continue
-            if kind in ENUMS:
-                value[chosen] &= np.uint64(_UINT32_MAX)
-                chosen = chosen[np.isin(value[chosen], np.array(list(ENUMS[kind]), np.uint64))]
-            elif kind == "uint32":
-                value[chosen] &= np.uint64(_UINT32_MAX)
-            found.known[name][own[chosen]] = True
-            if kind == "string":
-                found.values[name][own[chosen]] = np.stack([begin[chosen], stop[chosen]], axis=1)
-            else:
-                found.values[name][own[chosen]] = value[chosen]
-        at[live] = stop
-    for name, occurrences in parts.items():
-        if not occurrences:
-            continue
-        owner, begin, stop = (np.concatenate(x) for x in zip(*occurrences, strict=True))
-        order = np.lexsort((begin, owner))
-        owner, begin, stop = owner[order], begin[order], stop[order]
-        # A message that occurs again adds to the first one.
-        first = np.searchsorted(owner, owner)
-        turn = np.arange(len(owner)) - first
-        for k in range(int(turn.max()) + 1 if len(turn) else 0):
-            _read(raw, owner[turn == k], begin[turn == k], stop[turn == k], found.inner[name], bad)
+@cache
+def _message_class(message: str):
+    if descriptor_pb2 is None:
+        raise ImportError("protobuf payloads need spark-protobuf in the session or protobuf for Python on the executors")
+    pool = descriptor_pool.DescriptorPool()
+    pool.Add(_file())
+    return message_factory.GetMessageClass(pool.FindMessageTypeByName(f"{PACKAGE}.{message}"))
 
 
-def _column(raw: np.ndarray, found: _Found, name: str, kind: str, bad: np.ndarray) -> pa.Array:
-    known = found.known[name]
-    values = found.values[name]
-    if kind == "string":
-        begin, stop = values.astype(np.int64).T
-        counts = np.where(known, stop - begin, 0)
-        data = raw[spans(counts, begin)]
-        offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
-        valid = pa.array(known).buffers()[1]
-        texts = pa.BinaryArray.from_buffers(pa.binary(), len(known), [valid, pa.py_buffer(offsets), pa.py_buffer(data)])
+def _texts(messages: list, known: list[bool], name: str, bad: list[bool]) -> list[str | None]:
+    texts = []
+    for i, (message, there) in enumerate(zip(messages, known, strict=True)):
         try:
-            return texts.cast(pa.string())
-        except pa.ArrowInvalid:
-            decoded = []
-            for i, text in enumerate(texts.to_pylist()):
-                try:
-                    decoded.append(None if text is None else text.decode())
-                except UnicodeDecodeError:
-                    bad[i] = True
-                    decoded.append(None)
-            return pa.array(decoded, pa.string())
+            texts.append(getattr(message, name) if there else None)
+        except UnicodeDecodeError:
+            bad[i] = True
+            texts.append(None)
+    return texts
+
+
+def _column(messages: list, name: str, kind: str, bad: list[bool]) -> pa.Array:
+    """One field of all messages: enums by name, 64-bit numbers as BIGINT."""
+    known = [m.HasField(name) for m in messages]
+    if kind in MESSAGES:
+        return _struct([getattr(m, name) for m in messages], kind, [not there for there in known], bad)
+    if kind == "string":
+        return pa.array(_texts(messages, known, name, bad), pa.string())
+    values = [getattr(m, name) if there else None for m, there in zip(messages, known, strict=True)]
     if kind in ENUMS:
-        numbers = np.array(sorted(ENUMS[kind]), np.uint64)
-        names = pa.array([ENUMS[kind][n] for n in numbers.tolist()], pa.string())
-        return names.take(pa.array(np.searchsorted(numbers, values), pa.int64(), mask=~known))
-    if kind == "float":
-        return pa.array(values.astype("<u4").view("<f4"), mask=~known)
-    if kind == "double":
-        return pa.array(values.view("<f8"), mask=~known)
-    return pa.array(values.view(np.int64), mask=~known)
+        return pa.array(map(ENUMS[kind].get, values), pa.string())
+    if kind == "uint64":
+        values = [v - _UINT64 if v is not None and v >= _UINT64 // 2 else v for v in values]
+    return pa.array(values, _TYPES[kind])
 
 
-def _struct(raw: np.ndarray, found: _Found, bad: np.ndarray) -> pa.StructArray:
-    columns = [
-        _struct(raw, found.inner[name], bad) if kind in MESSAGES else _column(raw, found, name, kind, bad)
-        for name, (_, kind) in MESSAGES[found.message].items()
-    ]
-    return pa.StructArray.from_arrays(columns, list(MESSAGES[found.message]), mask=pa.array(~found.present))
+def _struct(messages: list, message: str, missing: list[bool], bad: list[bool]) -> pa.StructArray:
+    columns = [_column(messages, name, kind, bad) for name, (_, kind) in MESSAGES[message].items()]
+    return pa.StructArray.from_arrays(columns, list(MESSAGES[message]), mask=pa.array(missing, pa.bool_()))
 
 
 def read(payloads: pa.Array, message: str) -> pa.StructArray:
     """Messages of BINARY payloads. Unset fields and unknown enum numbers are NULL, a
     payload that is NULL or malformed is NULL as a whole. Fields that the message does
-    not have are skipped; groups, which the format has given up, are malformed."""
-    raw, offsets = _flat(payloads)
-    given = payloads.is_valid().to_numpy(zero_copy_only=False)
-    found, bad = _Found.empty(message, len(payloads)), np.zeros(len(payloads), bool)
-    row = np.flatnonzero(given)
-    _read(raw, row, offsets[:-1][row], offsets[1:][row], found, bad)
-    built = _struct(raw, found, bad)
-    return pa.StructArray.from_arrays(built.flatten(), list(MESSAGES[message]), mask=pa.array(bad | ~given))
-
-
-# -- writing ----------------------------------------------------------------
-
-
-def _varint_bytes(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the wanted values and how many each row has."""
-    groups = values[:, None] >> np.arange(0, 70, 7, dtype=np.uint64).clip(max=63)
-    groups[:, 9] = values >> np.uint64(63)
-    size = np.maximum(1, 10 - np.argmax((groups != 0)[:, ::-1], axis=1))
-    size[values == 0] = 1
-    size = np.where(wanted, size, 0)
-    place = np.arange(10)
-    taken = place < size[:, None]
-    encoded = (groups & np.uint64(0x7F)).astype(np.uint8) | np.where(place < size[:, None] - 1, 0x80, 0).astype(np.uint8)
-    return encoded[taken], size
-
-
-def _fixed_bytes(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    width = values.dtype.itemsize
-    return np.ascontiguousarray(values[wanted]).view(np.uint8), np.where(wanted, width, 0)
-
-
-def _encoded(rows: pa.StructArray, message: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all rows, one after another, and the length of each."""
-    pieces: list[tuple[np.ndarray, np.ndarray]] = []
-    names = [f.name for f in rows.type]
-    columns = dict(zip(names, rows.flatten(), strict=True))
-    for name, (number, kind) in MESSAGES[message].items():
+    not have are skipped."""
+    new = _message_class(message)
+    nothing, messages, bad = new(), [], []
+    for payload in payloads.to_pylist():
+        try:
+            messages.append(nothing if payload is None else new.FromString(payload))
+            bad.append(payload is None)
+        except DecodeError:
+            messages.append(nothing)
+            bad.append(True)
+    built = _struct(messages, message, [False] * len(bad), bad)
+    return pa.StructArray.from_arrays(built.flatten(), list(MESSAGES[message]), mask=pa.array(bad, pa.bool_()))
+
+
+def _fill(messages: list, rows: pa.StructArray, message: str) -> None:
+    """Set the fields of all messages, one field after another."""
+    columns = dict(zip((f.name for f in rows.type), rows.flatten(), strict=True))
+    for name, (_, kind) in MESSAGES[message].items():
         column = columns.get(name)
         if column is None or pa.types.is_null(column.type):
             continue
-        wanted = column.is_valid().to_numpy(zero_copy_only=False)
-        tag = np.full(len(column), number << 3 | _wire(kind), np.uint64)
-        pieces.append(_varint_bytes(tag, wanted))
-        if kind in MESSAGES or kind == "string":
-            if kind == "string":
-                raw, offsets = _flat(column)
-                data, size = raw[offsets[0] : offsets[-1]], np.diff(offsets)
-            else:
-                data, size = _encoded(column, kind)
-            pieces += [_varint_bytes(size.astype(np.uint64), wanted), (data, size)]
-        elif kind in ENUMS:
-            numbers = {text: n for n, text in ENUMS[kind].items()}
-            place = pc.index_in(column, pa.array(list(numbers), pa.string()))
-            if place.null_count > column.null_count:
-                raise ValueError(f"a {name} is not among {sorted(numbers)}")
-            values = np.array(list(numbers.values()), np.uint64)[pc.fill_null(place, 0).to_numpy(zero_copy_only=False)]
-            pieces.append(_varint_bytes(values, wanted))
-        else:
-            values = pc.fill_null(column.cast(_TYPES[kind]), 0).to_numpy(zero_copy_only=False)
-            if kind == "uint32":
+        if kind in MESSAGES:
+            known = column.filter(column.is_valid())
+            inner = [getattr(m, name) for m, there in zip(messages, column.is_valid().to_pylist(), strict=True) if there]
+            for target in inner:
+                target.SetInParent()
+            _fill(inner, known, kind)
+            continue
+        for target, value in zip(messages, column.to_pylist(), strict=True):
+            if value is None:
+                continue
+            if kind in ENUMS:
+                if value not in _NUMBERS[kind]:
+                    raise ValueError(f"a {name} is not among {sorted(_NUMBERS[kind])}")
+                value = _NUMBERS[kind][value]
+            elif kind == "uint64":
+                value %= _UINT64
+            elif kind == "uint32":
                 # The field holds no more; a larger number is sent as the largest.
-                values = np.minimum(values, _UINT32_MAX)
-            if kind in ("float", "double"):
-                pieces.append(_fixed_bytes(values.astype("<f4" if kind == "float" else "<f8"), wanted))
-            else:
-                pieces.append(_varint_bytes(values.astype(np.int64).view(np.uint64), wanted))
-    total = np.zeros(len(rows), np.int64)
-    for _, size in pieces:
-        total += size
-    out = np.zeros(int(total.sum()), np.uint8)
-    begin = np.cumsum(total) - total
-    for data, size in pieces:
-        out[spans(size, begin)] = data
-        begin = begin + size
-    return out, total
+                value = min(value, _UINT32_MAX)
+            setattr(target, name, value)
 
 
 def write(rows: pa.StructArray, message: str) -> pa.Array:
     """BINARY payloads of messages; NULL fields stay unset, NULL rows are NULL."""
-    data, size = _encoded(rows, message)
-    offsets = np.append(0, np.cumsum(size)).astype(np.int32)
-    valid = pa.array(rows.is_valid()).buffers()[1]
-    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [valid, pa.py_buffer(offsets), pa.py_buffer(data)])
+    new, there = _message_class(message), rows.is_valid()
+    messages = [new() for _ in range(len(rows) - rows.null_count)]
+    _fill(messages, rows.filter(there), message)
+    payloads = iter([m.SerializeToString() for m in messages])
+    return pa.array([next(payloads) if known else None for known in there.to_pylist()], pa.binary())
