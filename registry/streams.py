@@ -259,7 +259,10 @@ def stream_open_keys(spark, sf_dir):
     return held.select("metric", F.unix_millis("_window").alias("closes_at"))
 
 
-@query(f"SELECT chunk AS batch_id, chunk AS to_offset, count(*) AS rows, sum(count(*)) OVER (ORDER BY chunk) AS rows_so_far FROM {_SQL_CHUNKED} GROUP BY chunk")
+@query(
+    f"""SELECT chunk AS batch_id, chunk AS to_offset, count(*) AS rows,
+               sum(count(*)) OVER (ORDER BY chunk) AS rows_so_far FROM {_SQL_CHUNKED} GROUP BY chunk"""
+)
 def stream_offsets(spark, sf_dir):
     """What each trigger has read from the source, and the running total."""
     folder = new_folder(spark, "stream_offsets")

@@ -76,12 +76,17 @@ def report(**more):
 
 def test_offsets_per_partition(spark):
     topic = {"description": "topic", "numInputRows": 7, "inputRowsPerSecond": 1.0}
+    first, second = '{"a":{"0":5,"1":9}}', '{"a":{"0":8,"1":10},"b":{"0":2}}'
+    files = {"description": "files", "startOffset": '{"logOffset":3}', "endOffset": '{"logOffset":4}', "numInputRows": 11}
+    rate = {"description": "rate", "startOffset": "1", "endOffset": "2", "numInputRows": 4}
+    other = {"description": "other", "startOffset": "x", "endOffset": "y", "numInputRows": 1}
+    held = ['{"a":{"0":8,"1":9}}', '{"a":{"0":8,"1":30},"b":{"0":2}}']
     texts = [
-        report(batchId=0, sources=[{**topic, "startOffset": None, "endOffset": '{"a":{"0":5,"1":9}}', "latestOffset": '{"a":{"0":8,"1":9}}'}]),
-        report(batchId=1, sources=[{**topic, "startOffset": '{"a":{"0":5,"1":9}}', "endOffset": '{"a":{"0":8,"1":10},"b":{"0":2}}', "latestOffset": '{"a":{"0":8,"1":30},"b":{"0":2}}'}]),
-        report(batchId=2, sources=[{"description": "files", "startOffset": '{"logOffset":3}', "endOffset": '{"logOffset":4}', "numInputRows": 11}, {"description": "rate", "startOffset": "1", "endOffset": "2", "numInputRows": 4}, {"description": "other", "startOffset": "x", "endOffset": "y", "numInputRows": 1}]),
+        report(batchId=0, sources=[{**topic, "startOffset": None, "endOffset": first, "latestOffset": held[0]}]),
+        report(batchId=1, sources=[{**topic, "startOffset": first, "endOffset": second, "latestOffset": held[1]}]),
+        report(batchId=2, sources=[files, rate, other]),
         report(batchId=3, sources=[]),
-    ]
+    ]
     reports = spark.createDataFrame([(t,) for t in texts], "progress string")
     rows = progress.consumption(progress.offset_rows(progress.progress_rows(reports)))
     columns = "batch_id source description topic partition from_offset to_offset rows backlog rows_so_far backlog_change".split()
@@ -137,7 +142,9 @@ def test_final_rows_wait_for_the_end(spark, tmp_path):
 
 
 def test_jobs_that_write_final_rows_wait_for_the_end():
-    assert [JobConfig(**x).closing for x in ({}, {"final_rows": True}, {"output_mode": "append"}, {"final_rows": True, "closes": "start"})] == ["start", "end", "end", "start"]
+    cases = [({}, "start"), ({"final_rows": True}, "end"), ({"output_mode": "append"}, "end")]
+    cases += [({"final_rows": True, "closes": "start"}, "start"), ({"closes": "end"}, "end")]
+    assert all(JobConfig(**settings).closing == want for settings, want in cases)
     assert JobConfig.from_mapping({"closes": "end"}).closing == "end"
 
 
