@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from signalstats.sources.scratch import new_folder
+from signalstats.sources.scratch import new_folder, remove
 
 #: Bytes of text that one step of an Arrow function works on; longer texts are a step of their own.
 PIECE_BYTES = 2_000_000
@@ -29,7 +29,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables of :func:`stored` that nothing reads any more."""
+    for table in tables:
+        remove(table.sparkSession, table.stored_path)
 
 
 def byte_table(*ranges: tuple[int, int]) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalstats.llm.common import stored
+from signalstats.llm.common import dropped, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,17 +18,18 @@ def components(edges: DataFrame) -> DataFrame:
     round. Every table is written: a lost executor repeats one step only, and joins
     read plain shuffles that adaptive execution can split for nodes with many edges.
     """
-    rest = stored(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL").distinct(), "edges")
-    labels = stored(rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct(), "nodes").select(
-        "node", F.col("node").alias("root")
-    )
-    rest = rest.where("a != b")
+    table = stored(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL").distinct(), "edges")
+    nodes = stored(table.select(F.col("a").alias("node")).union(table.select("b")).distinct(), "nodes")
+    labels, rest = nodes.select("node", F.col("node").alias("root")), table.where("a != b")
     while rest.take(1):
         both = rest.union(rest.select("b", "a"))
         hooks = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).where("root < node")
         hooks = _shortened(stored(hooks, "hooks"))
-        labels = stored(_renamed(labels, "root", hooks), "labels")
-        rest = stored(_renamed(_renamed(rest, "a", hooks), "b", hooks).where("a != b").distinct(), "edges")
+        before = nodes, table, hooks
+        labels = nodes = stored(_renamed(labels, "root", hooks), "labels")
+        rest = table = stored(_renamed(_renamed(rest, "a", hooks), "b", hooks).where("a != b").distinct(), "edges")
+        dropped(*before)
+    dropped(table)
     return labels
 
 
@@ -43,6 +44,7 @@ def _shortened(hooks: DataFrame) -> DataFrame:
     while True:
         further = stored(_renamed(hooks, "root", hooks), "hooks")
         moved = further.join(hooks, ["node", "root"], "left_anti").take(1)
+        dropped(hooks)
         hooks = further
         if not moved:
             return hooks

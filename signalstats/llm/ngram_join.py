@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalstats.llm import graph
-from signalstats.llm.common import Words, mix, ngrams, per_text, pieces, signed, spans, stored, windows
+from signalstats.llm.common import Words, dropped, mix, ngrams, per_text, pieces, signed, spans, stored, windows
 
 _CHUNK = 500_000
 _OPEN, _MET, _SETTLED = 0, 1, 2
@@ -329,7 +329,9 @@ def _able(shared: DataFrame, percent: int) -> DataFrame:
         .withColumn("need", _needed(percent))
         .where("c >= need")
     )
-    return stored(sets.drop("low", "high"), "able-sets")
+    found = stored(sets.drop("low", "high"), "able-sets")
+    dropped(tokens)
+    return found
 
 
 def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
@@ -363,18 +365,24 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
     compared. Comparison walks a trie of the ordered sets of a probe's candidates.
     """
     spark = docs.sparkSession
+    used: list[DataFrame] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        used.append(stored(df, name))
+        return used[-1]
+
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"),
         F.xxhash64("text").alias("mark"),
         "text",
     )
-    members = stored(
+    members = kept(
         rows.mapInArrow(
             _set_rows(length), "id bigint, mark bigint, n bigint, sampled bigint, set_a bigint, set_b bigint"
         ),
         "shingle-sets",
     )
-    classes = stored(
+    classes = kept(
         members.where("n > 0")
         .groupBy("set_a", "set_b", "n")
         .agg(
@@ -406,11 +414,13 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         .where(F.col("sampled") - F.coalesce("repeated", F.lit(0)) < prefix)
         .select("set_a", "row.id", "row.mark")
     )
-    able = stored(able, "able-classes")
+    able = kept(able, "able-classes")
     # Up to a size that fits every executor the few rows go to the texts, not the texts to them.
     few = able.limit(_BROADCAST_ROWS + 1).count() <= _BROADCAST_ROWS
     named = rows.join(F.broadcast(able) if few else able, ["id", "mark"])
-    texts = stored(named.select("set_a", "text"), "able-texts")
+    texts = kept(named.select("set_a", "text"), "able-texts")
+    if texts.count() > able.count():  # repeated rows: one text per class is enough
+        texts = kept(texts.groupBy("set_a").agg(F.first("text").alias("text")), "class-texts")
 
     counted = texts.mapInArrow(_bucket_counts(length), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n"))
     table = counted.toArrow()
@@ -420,7 +430,7 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
     rank[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
     ranks = spark.sparkContext.broadcast(rank)
 
-    shared = stored(
+    shared = kept(
         texts.mapInArrow(
             _postings(length, percent, ranks), "key bigint, token bigint, set_a bigint, n bigint, kind int"
         )
@@ -436,10 +446,10 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
     sharing = _able(shared.withColumn("root", F.col("set_a")), percent)
 
     # One representative per class, the one with which it shares most shingles.
-    spread = stored(
+    spread = kept(
         sharing.select("set_a", "c", F.explode("tokens.token").alias("token")), "sharing-shingles"
     )
-    heads = stored(spread.groupBy("token").agg(F.max_by("set_a", F.struct("c", "set_a")).alias("head")), "heads")
+    heads = kept(spread.groupBy("token").agg(F.max_by("set_a", F.struct("c", "set_a")).alias("head")), "heads")
     stars = (
         spread.join(heads, "token")
         .where(F.col("set_a") != F.col("head"))
@@ -449,7 +459,7 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         .agg(F.max_by("head", F.struct("c", "head")).alias("head"))
         .select(F.col("head").alias("a"), F.col("set_a").alias("b"))
     )
-    links = stored(_verified(stored(stars, "stars"), texts, length, percent, ranks), "star-links")
+    links = kept(_verified(kept(stars, "stars"), texts, length, percent, ranks), "star-links")
     labels = graph.components(links)
 
     # Whatever shares enough across components.
@@ -457,9 +467,9 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
     named = sharing.drop("root").join(roots, "set_a", "left").select(
         "set_a", "n", F.coalesce("root", "set_a").alias("root"), F.explode("tokens.token").alias("token")
     )
-    apart = _able(stored(named, "named-shingles"), percent)
+    apart = _able(kept(named, "named-shingles"), percent)
     # Of the shared shingles of a set the rarest come first; ``left`` are those from here on.
-    looked_up = stored(
+    looked_up = kept(
         apart.select(
             "set_a", "n", "root", "c", F.posexplode(F.expr("slice(tokens, 1, cast(c - need + 1 as int)).token"))
         ).select(
@@ -467,7 +477,7 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         ),
         "looked-up-shingles",
     )
-    mixed = stored(
+    mixed = kept(
         looked_up.groupBy("token", "root")
         .agg(F.count("*").alias("c"))
         .groupBy("token")
@@ -476,13 +486,13 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         .select("token", "main"),
         "mixed-shingles",
     )
-    across = stored(looked_up.join(mixed, "token"), "mixed-postings")
+    across = kept(looked_up.join(mixed, "token"), "mixed-postings")
     others = across.where("root != main").select(
         "token", *(F.col(c).alias(f"x_{c}") for c in ("set_a", "n", "root", "left"))
     )
     # Two sets with enough in common meet at a shingle from which on both have as many left.
     enough = _common(F.col("x_n"), F.col("n"), percent)
-    pairs = stored(
+    pairs = kept(
         others.join(across, "token")
         .where("x_root != root AND (root = main OR x_set_a < set_a)")
         .where(100 * F.least("x_n", "n") >= percent * F.greatest("x_n", "n"))
@@ -499,13 +509,13 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         .where(F.size(F.array_intersect("x_tokens", "y_tokens")) >= _common(F.col("x_n"), F.col("y_n"), percent))
         .select(F.col("x").alias("a"), F.col("y").alias("b"))
     )
-    more = stored(_verified(stored(alike, "alike-pairs"), texts, length, percent, ranks), "more-links")
+    more = kept(_verified(kept(alike, "alike-pairs"), texts, length, percent, ranks), "more-links")
     labels = graph.components(links.unionByName(more)) if more.take(1) else labels
 
     roots = labels.select(F.col("node").alias("set_a"), "root")
     ids = classes.join(roots, "set_a", "left").withColumn("root", F.coalesce("root", "set_a"))
-    least = stored(ids.groupBy("root").agg(F.min("least").alias("component_id")), "least-ids")
-    found = stored(
+    least = kept(ids.groupBy("root").agg(F.min("least").alias("component_id")), "least-ids")
+    found = kept(
         ids.join(least, "root").select(
             F.col("set_a").alias("a"),
             F.col("set_b").alias("b"),
@@ -515,6 +525,7 @@ def ngram_components(docs: DataFrame, length: int = 5, percent: int = 80) -> Dat
         ),
         "components",
     )
+    dropped(*(t for t in used if t is not members and t is not found))
     same = (F.col("set_a") == F.col("a")) & (F.col("set_b") == F.col("b")) & (F.col("n") == F.col("size"))
     own = F.when(F.col("id") != _NO_ID, F.col("id"))
     return (
