@@ -267,7 +267,8 @@ def test_matching_is_the_largest_there_is():
 
 def test_deep_and_wide_pages(spark):
     deep = "<div>" * 3000 + "<p>text {}"
-    wide = "".join(f"<div class=c{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}>x{{0}}</div>" for i in range(1500))
+    names = ("".join(chr(97 + i // k % 26) for k in (1, 26, 676)) for i in range(1500))
+    wide = "".join(f"<div class=c{name}>x{{0}}</div>" for name in names)
     rows = [(i, "http://deep.example/", deep.format(i)) for i in range(5)]
     rows += [(10 + i, "http://wide.example/", wide.format(i)) for i in range(5)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
@@ -360,6 +361,29 @@ def test_notices_in_a_row_are_reported_one_by_one(spark):
     assert [tuple(r) for r in found] == [("MIT", i, i + 5) for i in (0, 5, 10)]
 
 
+def test_words_put_into_a_notice_do_not_hide_it(spark):
+    words = license.TEMPLATES["Apache-2.0 header"].split()
+    rows = [(n, " ".join(words[:40] + [f"w{i}" for i in range(n)] + words[40:])) for n in (0, 5, 12, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in license.scan_licenses(docs).where("template = 'Apache-2.0 header'").collect()}
+    assert set(found) == {0, 5, 12, 40}
+    assert len({r.n_matched for r in found.values()}) == 1
+    assert all(r.coverage == 1.0 and r.end_word - r.start_word - r.n_matched == n for n, r in found.items())
+
+
+def test_licenses_of_awkward_tables(spark):
+    """No rows, repeated rows, very long texts, rows without id, other columns."""
+    empty = spark.createDataFrame([], "doc_id long, text string, coverage string")
+    assert license.scan_licenses(empty).collect() == []
+    notice = license.TEMPLATES["MIT"]
+    long = " ".join(f"w{i % 5000}" for i in range(200_000))
+    rows = [(1, f"{long} {notice} {long}", "a"), (2, notice, "b"), (2, notice, "b"), (None, notice, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, template string")
+    found = license.scan_licenses(docs).select("doc_id", "template", "start_word", "end_word")
+    want = [(1, "MIT", 200_000, 200_005), (2, "MIT", 0, 5), (2, "MIT", 0, 5), (None, "MIT", 0, 5)]
+    assert result(found, *found.columns) == sorted(want, key=repr)
+
+
 # -- toxicity -----------------------------------------------------------------
 
 
@@ -477,10 +501,11 @@ def test_rows_that_reach_the_driver_are_bounded(spark, monkeypatch):
         return found
 
     monkeypatch.setattr(type(spark.range(0)), "toPandas", counted)
-    texts = "concat('you stupid idiot ', 'a', id % 7, ' gribble ', repeat('x ', int(id % 900)), id % 11, ' vile') AS text"
+    texts = "concat('you stupid idiot a', id % 7, ' gribble ', repeat('x ', int(id % 900)), id % 11) AS text"
     hot = spark.range(0, 3000).selectExpr("if(id % 2 = 0, NULL, 5L) AS doc_id", texts)
     same = spark.range(0, 3000).selectExpr("cast(null AS bigint) AS doc_id", "'you stupid idiot gribble' AS text")
-    taught = spark.range(100, 400).selectExpr("id AS doc_id", "concat(if(id % 2 = 0, 'b', 'c'), id, if(id % 2 = 0, ' gribble', ' fine'), ' day') AS text")
+    own = "concat(if(id % 2 = 0, 'b', 'c'), id, if(id % 2 = 0, ' gribble', ' fine'), ' day') AS text"
+    taught = spark.range(100, 400).selectExpr("id AS doc_id", own)
     labels = spark.range(100, 400).selectExpr("id AS doc_id", "int(id % 2 = 0) AS toxic")
     model = toxicity.fit_toxicity(hot.union(same).union(taught), labels, max_rows=100)
     assert fetched and max(fetched) <= 200
