@@ -25,6 +25,8 @@ SEED_WORDS = (
 VOTERS = ("lexicon_a", "lexicon_b", "lexicon_c", "lexicon_d", "seed", "several", "dense", "shouting", "nothing")
 #: Labels that go to every task; more are joined by shuffling.
 _BROADCAST_LABELS = 500_000
+#: Words that go to every task; contexts of more are joined by shuffling.
+_BROADCAST_WORDS = 2_000_000
 _DENSE = ("any", "several", "log_hits", "share", "seed")
 
 
@@ -49,6 +51,63 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _contexts_of(words):
+    """The contexts of some words alone."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = words.value
+        for found in _contexts(batches):
+            word = found.column("word").to_numpy()
+            place = np.minimum(np.searchsorted(known, word), max(len(known) - 1, 0))
+            own = known[place] == word if len(known) else np.zeros(len(word), bool)
+            context = found.column("context").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(word[own]), pa.array(context[own])], ["word", "context"])
+
+    return find
+
+
+def _rates(clean: Column, totals: tuple[int, int]) -> tuple[Column, Column]:
+    """A word's share of the contexts of toxic and of clean texts."""
+    return F.col("toxic") / max(totals[0], 1), (clean + 0.5) / max(totals[1], 1)
+
+
+def _rated_words(
+    taught: DataFrame, seeds: np.ndarray, min_contexts: int
+) -> tuple[DataFrame, tuple[int, int]]:
+    """``word, toxic, clean``: different contexts of each word that has enough of them in
+    toxic texts, and of the seed words; and about how many contexts there are in all.
+
+    Words that toxic texts hardly hold are left out before clean texts are looked at; the
+    contexts of the rest are made distinct by one shuffle of two numbers each.
+    """
+    spark = taught.sparkSession
+    schema = "word bigint, context bigint, toxic int, clean int"
+    counts = (F.approx_count_distinct(F.when(F.col(c) == 1, F.col("context")), 0.01) for c in ("toxic", "clean"))
+    totals = tuple(taught.mapInArrow(_contexts, schema).agg(*counts).first())
+    in_toxic = taught.where("toxic > 0").mapInArrow(_contexts, schema).select("word", "context").distinct()
+    seeded = spark.createDataFrame([(w, 0) for w in signed(seeds).tolist()], "word bigint, toxic bigint")
+    candidates = stored(
+        in_toxic.groupBy("word")
+        .agg(F.count("*").alias("toxic"))
+        .where((F.col("toxic") >= min_contexts) | F.col("word").isin(signed(seeds).tolist()))
+        .unionByName(seeded)
+        .groupBy("word")
+        .agg(F.max("toxic").alias("toxic")),
+        "toxic-words",
+    )
+    clean = taught.where("toxic <= 0")
+
+    if candidates.count() <= _BROADCAST_WORDS:
+        words = np.sort(candidates.select("word").toArrow().column(0).to_numpy())
+        find = _contexts_of(spark.sparkContext.broadcast(words))
+        contexts = clean.mapInArrow(find, "word bigint, context bigint")
+    else:
+        contexts = clean.mapInArrow(_contexts, schema).join(candidates, "word", "left_semi").select("word", "context")
+    in_clean = contexts.distinct().groupBy("word").agg(F.count("*").alias("n"))
+    rated = candidates.join(in_clean, "word", "left").select("word", "toxic", F.coalesce("n", F.lit(0)).alias("clean"))
+    return stored(rated, "rated-words"), totals
+
+
 def _observed(
     texts: pa.Array, known: np.ndarray, tier: np.ndarray, seeds: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -217,7 +276,7 @@ def fit_toxicity(
     """Model from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``).
 
     Voters are a learnt lexicon in quarters, seed words and patterns. The lexicon is
-    learnt from all labelled rows (copies of a text count once): words after at least
+    learnt from all labelled rows: words after at least
     ``min_contexts`` different words in toxic texts, at ``min_ratio`` times the rate of
     clean texts; ``max_words`` with the clearest difference, far more than such words,
     bound what every task gets. Contexts are counted, not texts, since near copies repeat
@@ -250,23 +309,11 @@ def fit_toxicity(
     )
 
     small = known.limit(_BROADCAST_LABELS + 1).count() <= _BROADCAST_LABELS
-    teaching = stored(
-        rows.where(F.col("text").isNotNull())
-        .join(F.broadcast(known) if small else known, "doc_id")
-        .groupBy(F.sha2("text", 256).alias("text_hash"))
-        .agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
-        .select("toxic", "text"),
-        "toxic-teaching",
-    )
-    contexts = (
-        teaching.mapInArrow(_contexts, "word bigint, context bigint, toxic int, clean int")
-        .groupBy("word", "context")
-        .agg(F.max("toxic").alias("toxic"), F.max("clean").alias("clean"))
-    )
-    totals = contexts.agg(F.sum("toxic"), F.sum("clean")).first()
-    toxic_rate = F.col("toxic") / (totals[0] or 1)
-    clean_rate = (F.col("clean") + 0.5) / (totals[1] or 1)
-    rated = contexts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    taught = rows.where(F.col("text").isNotNull()).join(F.broadcast(known) if small else known, "doc_id")
+    taught = taught.select("toxic", "text")
+    seeds = Words(pa.array([" ".join(SEED_WORDS)]), NON_ALPHANUMERIC).hashes()
+    rated, totals = _rated_words(taught, seeds, min_contexts)
+    toxic_rate, clean_rate = _rates(F.col("clean"), totals)
     telling = toxic_rate >= min_ratio * clean_rate
     lexicon = (
         rated.where(F.col("toxic") >= min_contexts)
@@ -276,7 +323,6 @@ def fit_toxicity(
         .select("word")
     )
     strongest = np.array([r.word for r in lexicon.collect()], np.int64).view(np.uint64)
-    seeds = Words(pa.array([" ".join(SEED_WORDS)]), NON_ALPHANUMERIC).hashes()
     common = (
         rated.where(F.col("word").isin(signed(seeds).tolist()))
         .where(F.col("toxic") + F.col("clean") >= 2)
