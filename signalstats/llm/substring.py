@@ -207,10 +207,9 @@ def substring_dedup(docs: DataFrame, min_words: int = 35) -> DataFrame:
     Texts are told apart by 128 bits of hash, and copies of one text are one text from the
     second level on, so time grows in line with their number. A task compares its own rows
     first and sends one row per key for what it has met more than once, so what repeats
-    arrives once per task, however many copies there are. At the second level windows over the edge of a frequent passage, each with
-    words of its own, still share that passage's key: one or two short rows per
-    document that holds it, sorted with spilling. The text is shuffled once, by
-    document.
+    arrives once per task, however many copies there are. At the second level windows meet
+    by their whole hash, so those over the edge of a frequent passage, each with words of its
+    own, are spread over all tasks. The text is shuffled once, by its hash.
     """
     if not 2 <= min_words < 2**_RUN_BITS:
         raise ValueError(f"a window has 2 to {2**_RUN_BITS - 1} words")
@@ -245,19 +244,17 @@ def substring_dedup(docs: DataFrame, min_words: int = 35) -> DataFrame:
             _second_level(min_words, base),
             "key bigint, a bigint, b bigint, ref bigint, kind int, mask bigint, hashes array<bigint>",
         )
-        .repartition("key")
+        # Equal windows have the key and the whole hash in common, so a frequent key is split.
         .select("key", "a", "b", "ref", "kind", "mask", F.posexplode_outer("hashes").alias("offset", "hash"))
+        .repartition("key", "hash")
         .withColumn("n", _met_again(["key", "hash"]))
-        .groupBy("key", "a", "b", "ref", "kind")
-        .agg(
-            (
-                F.max("mask")
-                + F.sum(
-                    F.when((F.col("kind") == _OPEN) & (F.col("n") > 1), F.expr("shiftleft(1L, offset)")).otherwise(0)
-                )
-            ).alias("mask")
+        .where((F.col("kind") == _SETTLED) | ((F.col("kind") == _OPEN) & (F.col("n") > 1)))
+        .select(
+            "a",
+            "b",
+            (F.col("ref") + F.coalesce("offset", F.lit(0))).alias("ref"),
+            F.when(F.col("kind") == _SETTLED, F.col("mask")).otherwise(1).alias("mask"),
         )
-        .where("mask != 0")
         .groupBy("a", "b")
         .agg(F.collect_list(F.struct("ref", "mask")).alias("found"))
     )
