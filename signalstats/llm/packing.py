@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import itertools
 import os
 import zlib
 from collections import Counter
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from signalstats.llm.common import pieces, range_hashes, spans, stored, text_bytes
 
 #: Chunks of text whose tokens a Python worker remembers at least, and at most twice.
-_REMEMBERED = 1 << 18
+_REMEMBERED = 1 << 19
 #: Chunks that are tokenized as one text.
 _JOINED = 500
 
@@ -33,10 +34,11 @@ _JOINED = 500
 
 
 class _ChunkTokens:
-    """Token ids of chunks of text, as bytes of 32-bit numbers.
+    """Token ids of chunks of text, remembered in arrays: no Python object exists per chunk.
 
-    Chunks seen before are remembered in two generations: when the younger is full, it
-    becomes the older one, and what is not asked for again is forgotten with that.
+    Texts and ids of the remembered chunks lie one after another in the order in which they
+    came. Sorted hashes lead to them, and the bytes decide whether a chunk is the same. When
+    there are too many, those that were asked for last are kept.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,60 +52,137 @@ class _ChunkTokens:
         self._size = np.zeros(self._tokenizer.get_vocab_size() + 1, np.int64)
         for token, i in self._tokenizer.get_vocab().items():
             self._size[i] = len(str(added[i].content).encode()) if i in added else len(token)
-        self._young: dict[bytes, bytes] = {}
-        self._old: dict[bytes, bytes] = {}
-
-    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        #: Hashes in order, and the number of the chunk that each belongs to.
+        self._keys, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        #: Of each chunk: when it was asked for last, where its text and its ids begin and end.
+        self._used = np.zeros(0, np.int64)
+        self._texts, self._text_edges = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self._ids, self._id_edges = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self._time = 0
+
+    def _encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and how many each has."""
         found = self._tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-        return [np.array(x.ids, np.uint32) for x in found]
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        """Chunks that begin with a blank and end visibly are independent of each other even
-        when joined, so they cost one call for many; the tokens' sizes tell them apart."""
-        join = [c for c in chunks if c[0] == 0x20 and 0x20 < c[-1] < 0x7F]
-        for at in range(0, len(join), _JOINED):
-            part = join[at : at + _JOINED]
-            ids = self._encode([b"".join(part)])[0]
-            ends = np.cumsum([len(c) for c in part])
+        ids = [x.ids for x in found]
+        size = np.array([len(x) for x in ids], np.int64)
+        return np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum())), size
+
+    def _encode_joined(self, texts: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for chunks that are independent of each other even when joined, so they
+        cost one call for many; the tokens' sizes tell them apart."""
+        flat, sizes = [], []
+        for at in range(0, len(ends), _JOINED):
+            begin = int(ends[at - 1]) if at else 0
+            part = ends[at : at + _JOINED] - begin
+            text = texts[begin : begin + int(part[-1])]
+            ids, size = self._encode([text])
             upto = np.cumsum(self._size[ids])
-            last = np.searchsorted(upto, ends)
-            if last[-1] < len(upto) and (upto[last] == ends).all():
-                plain, edges = ids.tobytes(), [0, *((last + 1) * 4).tolist()]
-                self._young.update((c, plain[s:e]) for c, s, e in zip(part, edges[:-1], edges[1:], strict=True))
+            last = np.searchsorted(upto, part)
+            if last[-1] < len(upto) and (upto[last] == part).all():
+                size = np.diff(last, prepend=-1)
             else:  # not a token per byte: some other kind of vocabulary
-                self._young.update((c, x.tobytes()) for c, x in zip(part, self._encode(part), strict=True))
-        other = [c for c in chunks if not (c[0] == 0x20 and 0x20 < c[-1] < 0x7F)]
-        self._young.update((c, x.tobytes()) for c, x in zip(other, self._encode(other), strict=True))
-
-    def of(self, chunks: list[bytes]) -> list[bytes]:
-        """Tokens of distinct chunks, none of them empty."""
-        young, old = self._young, self._old
-        again = [c for c in chunks if c not in young and c in old]
-        young.update((c, old[c]) for c in again)
-        self._learn([c for c in chunks if c not in young])
-        found = [young[c] for c in chunks]
-        if len(young) >= _REMEMBERED:
-            self._young, self._old = {}, young
+                edges = [0, *part.tolist()]
+                ids, size = self._encode([text[s:e] for s, e in itertools.pairwise(edges)])
+            flat.append(ids)
+            sizes.append(size)
+        if not flat:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _find(self, raw: np.ndarray, starts: np.ndarray, size: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the chunks, -1 for one that is not remembered."""
+        found = np.full(len(keys), -1)
+        if not len(self._keys):
+            return found
+        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+        number = self._numbers[at]
+        begin = self._text_edges[number]
+        like = np.flatnonzero((self._keys[at] == keys) & (self._text_edges[number + 1] - begin == size))
+        owner, here = spans(size[like], starts[like])
+        there = spans(size[like], begin[like])[1]
+        found[like] = number[like]
+        found[like[owner[raw[here] != self._texts[there]]]] = -1
         return found
 
+    def _learn(self, raw: np.ndarray, starts: np.ndarray, size: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Numbers of chunks that are new; their keys are in order."""
+        # What begins with a blank and ends where a chunk can end may be joined.
+        alone = (raw[starts] != 0x20) | ~_word_ends(raw)[starts + size - 1]
+        order = np.argsort(alone, kind="stable")
+        starts, size, many = starts[order], size[order], len(order) - int(alone.sum())
+        texts = raw[spans(size, starts)[1]]
+        ends = np.cumsum(size)
+        plain = texts.tobytes()
+        ids, count = self._encode_joined(plain, ends[:many])
+        edges = zip((ends - size)[many:].tolist(), ends[many:].tolist(), strict=True)
+        more, count_more = self._encode([plain[s:e] for s, e in edges])
+        known = len(self._used)
+        numbers = np.empty(len(order), np.int64)
+        numbers[order] = known + np.arange(len(order))
+        self._texts = np.concatenate([self._texts, texts])
+        self._text_edges = np.append(self._text_edges, self._text_edges[-1] + ends)
+        self._ids = np.concatenate([self._ids, ids, more])
+        self._id_edges = np.append(self._id_edges, self._id_edges[-1] + np.cumsum(np.append(count, count_more)))
+        self._used = np.append(self._used, np.zeros(len(order), np.int64))
+        place = np.searchsorted(self._keys, keys)
+        self._keys = np.insert(self._keys, place, keys)
+        self._numbers = np.insert(self._numbers, place, numbers)
+        return numbers
+
+    def _forget(self) -> None:
+        """Keep the chunks that were asked for last."""
+        keep = np.zeros(len(self._used), bool)
+        keep[np.argsort(self._used, kind="stable")[-_REMEMBERED:]] = True
+        left = keep[self._numbers]
+        self._keys, self._numbers = self._keys[left], (np.cumsum(keep) - 1)[self._numbers[left]]
+        self._used = self._used[keep]
+        size = np.diff(self._text_edges)
+        self._texts = self._texts[np.repeat(keep, size)]
+        self._text_edges = np.append(0, np.cumsum(size[keep]))
+        size = np.diff(self._id_edges)
+        self._ids = self._ids[np.repeat(keep, size)]
+        self._id_edges = np.append(0, np.cumsum(size[keep]))
+
+    def of(
+        self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks, one after another, and how many each has. The chunks are
+        byte ranges of ``raw``, none of them empty, with their hashes in order."""
+        numbers = self._find(raw, starts, ends - starts, keys)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = self._learn(raw, starts[new], (ends - starts)[new], keys[new])
+        self._time += 1
+        self._used[numbers] = self._time
+        begin = self._id_edges[numbers]
+        size = self._id_edges[numbers + 1] - begin
+        ids = self._ids[spans(size, begin)[1]]
+        if len(self._used) > 2 * _REMEMBERED:
+            self._forget()
+        return ids, size
+
 
 _chunk_tokens = functools.cache(_ChunkTokens)
 
 
+def _word_ends(raw: np.ndarray) -> np.ndarray:
+    """Where a blank that follows begins a new word: bytes that are visible, or the last of
+    a longer character, unless its lead byte could begin a kind of blank."""
+    ends = (raw > 0x20) & (raw < 0x7F)
+    wide = raw >= 0x80
+    if wide.any():
+        blank = np.zeros(len(raw), bool)
+        blank[1:] = raw[:-1] == 0xC2
+        blank[2:] |= (raw[:-2] >= 0xE1) & (raw[:-2] <= 0xE3)
+        ends |= wide & ~blank
+    return ends
+
+
 def _chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where texts and chunks begin: at a blank that follows something visible. There a
     byte-level tokenizer always begins a new word, whatever comes before or after."""
-    before = raw[:-1]
-    visible = (before > 0x20) & (before < 0x7F)
-    # The last byte of a longer character, unless its lead byte could begin a kind of blank.
-    if len(raw) > 3 and (before >= 0x80).any():
-        wide = before >= 0x80
-        blank = np.zeros(len(before), bool)
-        blank[1:] = before[:-1] == 0xC2
-        blank[2:] |= (before[:-2] >= 0xE1) & (before[:-2] <= 0xE3)
-        visible |= wide & ~blank
     cut = np.zeros(len(raw) + 1, bool)
-    cut[1:-1] = visible & (raw[1:] == 0x20)
+    cut[1:-1] = _word_ends(raw)[:-1] & (raw[1:] == 0x20)
     cut[offsets[:-1]] = True
     cut[len(raw)] = False
     return np.flatnonzero(cut)
@@ -119,12 +198,8 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
     starts = _chunk_starts(raw, offsets)
     ends = np.append(starts[1:], len(raw))
-    _, example, which = np.unique(range_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-    whole = raw.tobytes()
-    chunks = [whole[s:e] for s, e in zip(starts[example].tolist(), ends[example].tolist(), strict=True)]
-    ids = _chunk_tokens(path).of(chunks)
-    flat = np.frombuffer(b"".join(ids), np.uint32)
-    size = np.array([len(x) // 4 for x in ids], np.int64)
+    keys, example, which = np.unique(range_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+    flat, size = _chunk_tokens(path).of(raw, starts[example], ends[example], keys)
     begin = np.cumsum(size) - size
     _, at = spans(size[which], begin[which])
     edges = np.append(0, np.cumsum(size[which]))

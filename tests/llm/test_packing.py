@@ -43,6 +43,53 @@ def test_worker_memory_is_bounded(path, plain, monkeypatch):
         assert [ids[s:e].tolist() for s, e in zip(edges[:-1], edges[1:])] == [plain(t) for t in texts]
 
 
+class Counted:
+    """A tokenizer that notes the texts it gets."""
+
+    def __init__(self, inner):
+        self.inner, self.texts = inner, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_chunks_reach_the_tokenizer_joined_and_once(path, plain, monkeypatch):
+    """Words of any script are joined, and what has been seen in an earlier batch costs no call."""
+    memory = packing._ChunkTokens(path)
+    memory._tokenizer = counted = Counted(memory._tokenizer)
+    monkeypatch.setattr(packing, "_chunk_tokens", lambda _: memory)
+    words = [f"{end}{i}{end}" for i in range(200) for end in ("é", "ción", "漢", "в", "\U0001f600", "a")]
+    for texts in ([" ".join(words)], [" ".join(words[::-1])], [" ".join(words), " ".join(words)]):
+        ids, edges = packing.token_ids(pa.array(texts), path)
+        assert [ids[s:e].tolist() for s, e in zip(edges[:-1], edges[1:])] == [plain(t) for t in texts]
+    assert len(counted.texts) <= 6
+    # The first word of the first two texts comes with a blank and without.
+    assert sum(t.count(" ") for t in counted.texts) == len(words)
+
+
+def test_memory_tells_chunks_of_one_hash_apart(path, plain, monkeypatch):
+    """The bytes decide: every chunk of these batches has the same hash as one before."""
+    real = packing.range_hashes
+    monkeypatch.setattr(packing, "range_hashes", lambda raw, starts, ends: real(raw, starts, ends) % np.uint64(2))
+    memory = packing._ChunkTokens(path)
+    monkeypatch.setattr(packing, "_chunk_tokens", lambda _: memory)
+    for text in ("one", "two", "three", "one", "other", "three", "six"):
+        assert packing.token_ids(pa.array([text]), path)[0].tolist() == plain(text)
+
+
+def test_what_was_asked_for_last_is_kept(path, plain, monkeypatch):
+    monkeypatch.setattr(packing, "_REMEMBERED", 4)
+    memory = packing._ChunkTokens(path)
+    memory._tokenizer = counted = Counted(memory._tokenizer)
+    monkeypatch.setattr(packing, "_chunk_tokens", lambda _: memory)
+    for i in range(40):
+        text = f"often new{i}"
+        assert packing.token_ids(pa.array([text]), path)[0].tolist() == plain(text)
+        assert len(memory._keys) <= 8
+    assert counted.texts.count("often") == 1
+
+
 def lengths(kind, n, rng):
     return {
         "even": lambda: rng.randrange(1, 1025),
