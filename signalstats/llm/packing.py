@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -437,38 +436,23 @@ def pack(pieces_of: DataFrame, capacity: int = 1024, max_steps: int = 10_000) ->
     gives an empty one; a length outside the bounds, or none, is refused.
 
     At most ``capacity`` counts reach the driver, and the places, a row for every
-    length of a class of bins, go back to the tasks. Pieces of a length are numbered by
-    the tasks that write them, with a row per task and length to put these numbers one
-    after another: a length that a third of all pieces have meets in no task.
+    length of a class of bins, go back to the tasks. Pieces of a length are numbered
+    within the task that wrote them, with a row per task and length to put these numbers
+    one after another: a length that a third of all pieces have meets in no task.
+
+    The pieces are stored as they come, without a Python step of this function: a task that
+    makes them in Python would keep two workers, and in time each would hold the tokenizer
+    and its remembered chunks.
     """
     spark = pieces_of.sparkSession
     plain = pieces_of.drop("sequence_id", "offset")
     schema = plain.schema
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, task = np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
-        for batch in batches:
-            length = batch.column("length").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            if not len(length):
-                continue
-            if length.min() < 1 or length.max() > capacity:
-                raise ValueError(f"a piece has 1 to {capacity} tokens")
-            order = np.argsort(length, kind="stable")
-            ordered = length[order]
-            new = np.append(True, ordered[1:] != ordered[:-1])
-            group = np.flatnonzero(new)
-            within = np.empty(len(length), np.int64)
-            within[order] = np.arange(len(length)) - np.repeat(group, np.diff(np.append(group, len(length))))
-            numbers = seen[length] + within
-            seen += np.bincount(length, minlength=capacity + 1)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(len(length), task)), pa.array(numbers)],
-                [*batch.schema.names, "__task", "__number"],
-            )
-
-    extra = [T.StructField(x, T.LongType()) for x in ("__task", "__number")]
-    numbered = stored(plain.mapInArrow(number, T.StructType([*schema, *extra])), "pieces")
-    cells = stored(numbered.groupBy("length", "__task").agg(F.count("*").alias("n")), "piece-counts")
+    bad = F.raise_error(F.lit(f"a piece has 1 to {capacity} tokens"))
+    length = F.when(F.col("length").between(1, capacity), F.col("length")).otherwise(bad)
+    # The number of the row has its task in the upper bits.
+    rows = plain.withColumn("length", length).withColumn("__row", F.monotonically_increasing_id())
+    written = stored(rows, "pieces").withColumn("__task", F.shiftright("__row", 33))
+    cells = stored(written.groupBy("length", "__task").agg(F.count("*").alias("n")), "piece-counts")
     counts = {r.length: r.n for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = _places(local_search(best_fit(counts, capacity), capacity, max_steps))
     known = spark.sparkContext.broadcast(places)
@@ -495,6 +479,8 @@ def pack(pieces_of: DataFrame, capacity: int = 1024, max_steps: int = 10_000) ->
                 [*batch.schema.names[:-1], "sequence_id", "offset"],
             )
 
+    within = F.row_number().over(Window.partitionBy("length", "__task").orderBy("__row")) - 1
+    numbered = written.withColumn("__number", within)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("__task")) - F.col("n")
     # A row per task and length grows with the table, so it is not broadcast.
     starts = cells.select(

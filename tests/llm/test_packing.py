@@ -195,3 +195,17 @@ def test_empty_table_and_bad_lengths(spark, no_docs, path):
         table = spark.createDataFrame([(1, bad)], "doc_id long, length int")
         with pytest.raises(Exception, match="a piece has 1 to 1024 tokens"):
             packing.pack(table).collect()
+
+
+def test_a_task_has_one_python_worker(spark, docs, path, monkeypatch):
+    """Two steps in one task are two workers, and each comes to hold a tokenizer and what it remembers."""
+    plans, real = [], packing.stored
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(packing, "stored", noted)
+    packed = packing.pack(packing.token_pieces(docs, path))
+    plans.append(packed._jdf.queryExecution().optimizedPlan().toString())
+    assert [p.count("MapInArrow") for p in plans] == [1, 0, 1]
