@@ -25,7 +25,9 @@ from pyspark.sql import types as T
 from signalstats.llm.common import pieces, range_hashes, spans, stored, text_bytes
 
 #: Chunks of text whose tokens a Python worker remembers at least, and at most twice.
-_REMEMBERED = 1 << 19
+_REMEMBERED = 1 << 18
+#: Bytes of text in one step of a worker, whose arrays grow with it.
+_STEP_BYTES = 500_000
 #: Chunks that are tokenized as one text.
 _JOINED = 500
 
@@ -218,7 +220,7 @@ def token_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", _STEP_BYTES):
             ids, edges = token_ids(batch.column("text"), tokenizer)
             n = batch.num_rows
             size = np.diff(edges) + 1
